@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +17,6 @@ from ..schemas import (
     Table,
 )
 
-_SEQ = "__seq"
-
 
 def consolidate_events(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Event rows that name an artist, reduced to the columns the lookup tables need."""
@@ -29,12 +27,13 @@ def _id(events: DataFrame, name: str):
     return to_id(name) if dict(events.dtypes)[name] == "string" else F.col(name).cast("bigint")
 
 
-def _keyed(events: DataFrame, table: Table, columns: Mapping, seq: Sequence[str]) -> DataFrame:
+def _keyed(events: DataFrame, table: Table, columns: dict, seq: Sequence[str]) -> DataFrame:
     """Rows with a complete key, the last one written per key."""
+    order = {f"__seq{i}": F.col(c) for i, c in enumerate(seq)}
     rows = events.select(
-        *(value.alias(name) for name, value in columns.items()), F.struct(*seq).alias(_SEQ)
+        *(value.alias(name) for name, value in (columns | order).items())
     ).dropna(subset=list(table.required))
-    return last_per_key(rows, table.key, [_SEQ]).select(table.columns)
+    return last_per_key(rows, table.key, list(order)).select(table.columns)
 
 
 def session_library(events: DataFrame, seq: Sequence[str]) -> DataFrame:

@@ -228,6 +228,6 @@ def load_lookup_tables(
     written = {}
     for table, build in zip(KEYED, builders, strict=True):
         path = f"{out}/{table.name}"
-        write_keyed(build(events, ["arrival"]), table, path)
+        write_keyed(build(events, ["arrival.file", "arrival.block", "arrival.row"]), table, path)
         written[table.name] = read_parquet(spark, path, table.schema)
     return written

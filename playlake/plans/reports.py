@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import first_per_key, top_k, top_k_per_group
+from ..operators import first_per_key, plays, resolve_all, top_k, top_k_per_group
+from ..operators.resolve import MATCH
 
 # Fixed value: the level of a paying user.
 PAID = "paid"
@@ -16,6 +17,17 @@ PAID = "paid"
 BROADCAST_ROWS = 100_000
 
 
+def play_counts(log: DataFrame, catalog: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Songs with their number of ``plays``, per value of the log columns ``by``.
+
+    To be reported on like a fact, without resolving every play: plays are counted by
+    title, artist and length before the catalog is joined. The join then sees each song
+    once, however often it was played, and the log is shuffled only as counts.
+    """
+    counts = plays(log).groupBy(*(a for a, _ in MATCH), *by).agg(F.count("*").alias("plays"))
+    return resolve_all(counts, catalog)
+
+
 def _named(
     best: DataFrame, dim: DataFrame, group: Sequence[str], key: str, label: str
 ) -> DataFrame:
@@ -28,8 +40,9 @@ def _top(fact: DataFrame, dim: DataFrame, key: str, label: str, k: int) -> DataF
     best = top_k(fact, [key], k)
     return (
         _named(F.broadcast(best) if k <= BROADCAST_ROWS else best, dim, [], key, label)
-        .orderBy(F.desc("plays"), key)
         .select(key, label, "plays")
+        .orderBy(F.desc("plays"), key)
+        .limit(k)
     )
 
 

@@ -66,10 +66,10 @@ def session_library(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_roles("activity", _SESSION_SQL + """
 SELECT artist, song_title, song_length FROM session_library
-WHERE session_id = 4 AND item_in_session = 1
+WHERE session_id = 4 AND item_in_session = 6
 """))
 def session_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed.session_item(_session_library(spark, sf_dir), 4, 1)
+    return keyed.session_item(_session_library(spark, sf_dir), 4, 6)
 
 
 @query(with_roles("activity", _SESSION_SQL + "SELECT * FROM session_library WHERE session_id = 4"))

@@ -152,7 +152,7 @@ def users_latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_latest_sql("ts", "AND page = 'NextSong'"))
 def users_latest_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users as of their latest play, compared by millisecond."""
-    return star.users_latest(plays(activity(spark, sf_dir, *_USER_COLUMNS)), precision="ms")
+    return star.users_latest(plays(activity(spark, sf_dir, *_USER_COLUMNS, plays_only=True)), precision="ms")
 
 
 @query(with_roles("event_log", """
@@ -190,7 +190,8 @@ def songs_by_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str, **rules) -> DataFrame:
-    return star.songplays(activity(spark, sf_dir, *PLAY_COLUMNS), catalog(spark, sf_dir), **rules)
+    log = activity(spark, sf_dir, *PLAY_COLUMNS, plays_only=True)
+    return star.songplays(log, catalog(spark, sf_dir), **rules)
 
 
 @query(with_roles("activity catalog plays", f"SELECT {FACT_SQL} FROM plays"))
@@ -204,7 +205,7 @@ SELECT DISTINCT {FACT_SQL} FROM (
 """))
 def songplays_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first items of every session come twice, as from a file loaded again."""
-    log = activity(spark, sf_dir, *PLAY_COLUMNS, "itemInSession")
+    log = activity(spark, sf_dir, *PLAY_COLUMNS, "itemInSession", plays_only=True)
     replayed = log.unionByName(log.filter("itemInSession = 1"))
     return star.songplays(replayed, catalog(spark, sf_dir), dedupe=True)
 
@@ -236,7 +237,7 @@ FROM plays
 """))
 def songplays_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consecutive ids in time order."""
-    log = activity(spark, sf_dir, *PLAY_COLUMNS, "itemInSession", "suppKey")
+    log = activity(spark, sf_dir, *PLAY_COLUMNS, "itemInSession", "suppKey", plays_only=True)
     rows = resolve_all(plays(log), catalog(spark, sf_dir)).select(
         event_time("ts").alias("start_time"),
         to_id("userId").alias("user_id"),

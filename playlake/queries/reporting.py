@@ -14,6 +14,13 @@ from .roles import FACT_SQL, activity, catalog, event_log, with_roles
 
 MATCH_COLUMNS = ("artist", "song", "length", "page")
 
+
+def counts(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
+    """Play counts per song, for the reports that need no single play."""
+    log = activity(spark, sf_dir, *MATCH_COLUMNS, *by, plays_only=True)
+    return reports.play_counts(log, catalog(spark, sf_dir), by)
+
+
 _FIRST_ARTIST_SQL = """, artist AS (
   SELECT artist_id, min(artist_name) AS name FROM catalog GROUP BY artist_id)
 , song AS (SELECT song_id, min(title) AS title FROM catalog GROUP BY song_id)
@@ -22,7 +29,7 @@ _FIRST_ARTIST_SQL = """, artist AS (
 
 def fact(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Resolved plays with only the columns a report needs; those of the match come along."""
-    log = activity(spark, sf_dir, *MATCH_COLUMNS, *columns)
+    log = activity(spark, sf_dir, *MATCH_COLUMNS, *columns, plays_only=True)
     return resolve_all(plays(log), catalog(spark, sf_dir))
 
 
@@ -33,7 +40,7 @@ SELECT artist_id, name, plays FROM (
 """))
 def top_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
     artists = star.artist_columns(catalog(spark, sf_dir))
-    return reports.top_artists(fact(spark, sf_dir), artists)
+    return reports.top_artists(counts(spark, sf_dir), artists)
 
 
 @query(with_roles("activity catalog plays", _FIRST_ARTIST_SQL + """
@@ -42,7 +49,7 @@ SELECT song_id, title, plays FROM (
   ORDER BY count(*) DESC, song_id LIMIT 5) JOIN song USING (song_id)
 """))
 def top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_songs(fact(spark, sf_dir), star.songs(catalog(spark, sf_dir), dedupe=False))
+    return reports.top_songs(counts(spark, sf_dir), star.songs(catalog(spark, sf_dir), dedupe=False))
 
 
 def _by_country_sql(key: str, dim: str, label: str) -> str:
@@ -58,13 +65,13 @@ WHERE pos <= 5
 @query(_by_country_sql("artist_id", "artist", "name"))
 def top_artists_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     artists = star.artist_columns(catalog(spark, sf_dir))
-    return reports.top_artists_by_country(fact(spark, sf_dir, "location"), artists)
+    return reports.top_artists_by_country(counts(spark, sf_dir, "location"), artists)
 
 
 @query(_by_country_sql("song_id", "song", "title"))
 def top_songs_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     songs = star.songs(catalog(spark, sf_dir), dedupe=False)
-    return reports.top_songs_by_country(fact(spark, sf_dir, "location"), songs)
+    return reports.top_songs_by_country(counts(spark, sf_dir, "location"), songs)
 
 
 @query(with_roles("activity catalog plays", """

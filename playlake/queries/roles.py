@@ -86,15 +86,20 @@ _FROM_NATION = {"location": lambda: F.col("n_name")}
 _COLUMNS = {**_FROM_LINEITEM, **_FROM_PART, **_FROM_ORDERS, **_FROM_CUSTOMER, **_FROM_NATION}
 
 
-def activity(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+def activity(
+    spark: SparkSession, sf_dir: str, *columns: str, plays_only: bool = False
+) -> DataFrame:
     """The log columns asked for, all of ``LOG_FILE`` by default.
 
     Only the tables those columns come from are joined. The foreign keys are complete, so
-    a join that adds no column would neither add nor drop rows.
+    a join that adds no column would neither add nor drop rows. ``plays_only`` gives the
+    lines of the play page, as a filter that the scan can use.
     """
     columns = columns or tuple(LOG_FILE.fieldNames())
     wanted = set(columns)
     rows = table(spark, sf_dir, "lineitem")
+    if plays_only:
+        rows = rows.filter(F.col("l_returnflag") == "R")
     if wanted & _FROM_PART.keys():
         rows = rows.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     customer = bool(wanted & {*_FROM_CUSTOMER, *_FROM_NATION})

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import plays
 from ..plans import loads, quality
 from ..schemas import EVENT_CSV_COLUMNS, KEYED, LOG_FILE, STAGING_EVENTS, STAR
 from ..sources import typed_events
-from ..streaming import append_batch, each_new_file, load_activity_files, read_batches
+from ..streaming import (
+    append_batch,
+    each_new_file,
+    load_activity_files,
+    merge_users_batch,
+    read_batches,
+    users_now,
+)
 from ..workspace import scratch_path
 from .registry import query
 from .reporting import _COUNT_SQL
@@ -125,17 +133,6 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _incremental_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return load_activity_files(
-        spark,
-        _split_files(spark, sf_dir),
-        catalog(spark, sf_dir),
-        scratch_path(spark, "star-incremental"),
-        scratch_path(spark, "progress"),
-        files_per_batch=_SPLIT // 2,
-    )
-
-
 @query(with_roles("activity", f"""
 , played AS (
   SELECT *, row_number() OVER (PARTITION BY userId ORDER BY ts, sessionId, itemInSession) AS n
@@ -147,7 +144,16 @@ FROM played GROUP BY userId
 """))
 def incremental_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users merged batch by batch."""
-    return _incremental_star(spark, sf_dir)["users"]
+    out = scratch_path(spark, "user-states")
+    each_new_file(
+        spark,
+        _split_files(spark, sf_dir),
+        LOG_FILE,
+        scratch_path(spark, "progress"),
+        lambda rows, batch: merge_users_batch(plays(typed_events(rows)), out, batch),
+        files_per_batch=_SPLIT // 2,
+    )
+    return users_now(spark, out)
 
 
 @query(_report_sql(
@@ -157,7 +163,14 @@ def incremental_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 ))
 def incremental_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users, time and fact written batch by batch, song play ids counted on."""
-    tables = _incremental_star(spark, sf_dir)
+    tables = load_activity_files(
+        spark,
+        _split_files(spark, sf_dir),
+        catalog(spark, sf_dir),
+        scratch_path(spark, "star-incremental"),
+        scratch_path(spark, "progress"),
+        files_per_batch=_SPLIT // 2,
+    )
     return quality.load_report({
         t.name: (tables[t.name], list(t.key)) for t in STAR if t.name in tables
     })

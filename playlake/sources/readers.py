@@ -120,7 +120,7 @@ def scan_report(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(path)
-        .select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+        .select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
     )
     counts = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
     return files.join(counts, "file", "left").select(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import plays
@@ -21,6 +22,8 @@ Handler = Callable[[DataFrame, int], None]
 _BATCH = T.StructField("batch", T.LongType())
 _SEQ = T.StructType([STAGING_EVENTS.schema[c] for c in star.ARRIVAL])
 
+ID_END = Table("songplay_end", T.StructType([T.StructField("next_id", T.LongType())]))
+
 USER_STATES = Table(
     "user_states",
     T.StructType([
@@ -69,14 +72,11 @@ def append_batch(rows: DataFrame, path: str, batch: int) -> None:
 
 
 def read_batches(
-    spark: SparkSession, path: str, table: Table, before: int | None = None
+    spark: SparkSession, path: str, table: Table
 ) -> DataFrame:
-    """The rows of all batches of a dataset, or of those before a batch number."""
+    """The rows of all batches of a dataset."""
     schema = T.StructType([*table.schema.fields, _BATCH])
-    rows = spark.read.schema(schema).parquet(path)
-    if before is not None:
-        rows = rows.filter(rows["batch"] < before)
-    return rows.select(table.columns)
+    return spark.read.schema(schema).parquet(path).select(table.columns)
 
 
 def merge_users_batch(log: DataFrame, base: str, batch: int) -> None:
@@ -101,6 +101,19 @@ def users_now(spark: SparkSession, base: str) -> DataFrame:
     return read_version(spark, base, USER_STATES, version).select(USERS.columns)
 
 
+def _append_numbered(fact: DataFrame, out: str, batch: int) -> None:
+    """Append fact rows with ids that go on from the batch before, whose end was noted."""
+    spark = fact.sparkSession
+    ends = f"{out}/songplay_end"
+    last = current_version(spark, ends, before=batch)
+    start = 1 if last is None else read_version(spark, ends, ID_END, last).first()["next_id"]
+    append_batch(star.keyed_songplays(fact, "dense", start=start), f"{out}/songplay", batch)
+    rows = spark.read.schema(SONGPLAY.schema).parquet(f"{out}/songplay/batch={batch}")
+    write_version(
+        rows.agg((F.count("*") + start).alias("next_id")), ends, batch
+    )
+
+
 def load_activity_files(
     spark: SparkSession,
     source: str,
@@ -128,12 +141,7 @@ def load_activity_files(
         )
         append_batch(times, f"{out}/time", batch)
         fact = star.songplays(log, catalog, match="first", precision="ms")
-        start = 1
-        if batch > 0:
-            start += read_batches(raw.sparkSession, f"{out}/songplay", SONGPLAY, batch).count()
-        append_batch(
-            star.keyed_songplays(fact, "dense", start=start), f"{out}/songplay", batch
-        )
+        _append_numbered(fact, out, batch)
 
     each_new_file(
         spark, source, LOG_FILE, checkpoint, handler, files_per_batch=files_per_batch
