@@ -28,14 +28,15 @@ def read_json(
     A malformed line gives a row of NULLs; with ``keep_corrupt`` its text is kept in
     ``_corrupt_record`` so that it can be set aside (see ``operators.split_corrupt``).
     """
-    if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).option("recursiveFileLookup", recursive)
+    reader = spark.read.option("recursiveFileLookup", recursive)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.json(paths)
+    if not keep_corrupt:
+        return reader.schema(schema).json(paths)
+    # Parsed from text lines: a JSON scan would refuse to return the malformed text alone.
+    fields = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("value", fields, {"columnNameOfCorruptRecord": CORRUPT})
+    return reader.text(paths).filter(F.trim("value") != "").select(parsed.alias("r")).select("r.*")
 
 
 def _read_csv(
@@ -113,7 +114,7 @@ def scan_report(
 
     ``rows`` is a scan of ``path``. The file list comes from a listing that never opens
     the files, and the counts are combined map-side, so one huge file costs no more
-    than its own scan.
+    than its own scan. Files of zero bytes are not listed, as Spark never scans them.
     """
     files = (
         spark.read.format("binaryFile")
