@@ -21,8 +21,11 @@ def distinct_rows(df: DataFrame, columns: Sequence[str | Column] | None = None)
 
 
 def _best(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ties: bool) -> DataFrame:
+    # The ranking sorts by the keys as listed; numbers first makes most comparisons cheap.
+    kinds = dict(df.dtypes)
+    listed = sorted(keys, key=lambda c: kinds.get(c) == "string")
     rank = (F.rank() if ties else F.row_number()).over(
-        Window.partitionBy(*keys).orderBy(*order)
+        Window.partitionBy(*listed).orderBy(*order)
     )
     return df.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK)
 

@@ -14,7 +14,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import LOG_FILE, SONG_FILE
+from ..schemas import EVENT_CSV_COLUMNS, LOG_FILE, SONG_FILE
 from ..workspace import scratch_path
 
 # Arrival order of activity rows; unique on the driver's tables.
@@ -200,12 +200,23 @@ def with_roles(names: str, body: str) -> str:
 def _raw(app_id: str, sf_dir: str, role: str) -> str:
     spark = SparkSession.active()
     path = scratch_path(spark, f"raw-{role}")
-    rows = catalog(spark, sf_dir) if role == "catalog" else activity(spark, sf_dir)
-    fields = SONG_FILE if role == "catalog" else LOG_FILE
-    rows.select(fields.fieldNames()).write.json(path)
+    if role == "catalog":
+        catalog(spark, sf_dir).select(SONG_FILE.fieldNames()).write.json(path)
+        return path
+    # By session, as an application would write its logs, into as many files as there are tasks.
+    if role == "activity":
+        rows = activity(spark, sf_dir).repartition("sessionId")
+        rows.select(LOG_FILE.fieldNames()).write.json(path)
+    else:
+        rows = activity(spark, sf_dir, *EVENT_CSV_COLUMNS).repartition("sessionId")
+        artist = F.when(F.col("page") == "NextSong", F.col("artist"))
+        rows.withColumn("artist", artist).write.option("header", True).option(
+            "escape", '"'
+        ).csv(path)
     return path
 
 
 def raw_files(spark: SparkSession, sf_dir: str, role: str) -> str:
-    """The catalog or activity role as JSON files; written once per application."""
+    """The ``catalog`` or ``activity`` role as JSON files, or as ``event_csv`` files that name
+    the artist on plays only; written once per application."""
     return _raw(spark.sparkContext.applicationId, sf_dir, role)

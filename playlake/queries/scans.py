@@ -12,7 +12,6 @@ from ..operators import append_unique
 from ..plans import keyed, star
 from ..schemas import (
     ARTIST,
-    EVENT_CSV_COLUMNS,
     LOG_FILE,
     SONG,
     SONG_FILE,
@@ -24,7 +23,6 @@ from ..workspace import scratch_path
 from .registry import query
 from .roles import (
     LOG_COLUMNS_SQL,
-    activity,
     catalog,
     event_log,
     raw_files,
@@ -120,11 +118,9 @@ FROM activity WHERE page = 'NextSong'
 """))
 def csv_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event CSV to the consolidated CSV and back; rows without an artist are left out."""
-    raw, out = scratch_path(spark, "event-csv"), scratch_path(spark, "consolidated")
-    rows = activity(spark, sf_dir, *EVENT_CSV_COLUMNS)
-    rows = rows.withColumn("artist", F.when(F.col("page") == "NextSong", F.col("artist")))
-    rows.write.option("header", True).option("escape", '"').csv(raw)
-    sources.write_consolidated(keyed.consolidate_events(sources.read_event_csv(spark, raw)), out)
+    out = scratch_path(spark, "consolidated")
+    raw = sources.read_event_csv(spark, raw_files(spark, sf_dir, "event_csv"))
+    sources.write_consolidated(keyed.consolidate_events(raw), out)
     return sources.read_consolidated(spark, out)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import plays
 from ..plans import loads, quality
-from ..schemas import EVENT_CSV_COLUMNS, KEYED, LOG_FILE, STAGING_EVENTS, STAR
+from ..schemas import KEYED, LOG_FILE, STAGING_EVENTS, STAR
 from ..sources import typed_events
 from ..streaming import (
     append_batch,
@@ -19,7 +19,7 @@ from ..streaming import (
 from ..workspace import scratch_path
 from .registry import query
 from .reporting import _COUNT_SQL
-from .roles import activity, catalog, raw_files, with_roles
+from .roles import catalog, raw_files, with_roles
 
 _ARTIST_ROWS = (
     "(SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude"
@@ -91,27 +91,21 @@ def load_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_report_sql(
     session_library=("n", "(SELECT row_number() OVER () AS n FROM (SELECT DISTINCT sessionId,"
-                          " itemInSession FROM activity))"),
+                          " itemInSession FROM activity WHERE page = 'NextSong'))"),
     user_activity=("n", "(SELECT row_number() OVER () AS n FROM (SELECT DISTINCT userId,"
-                        " sessionId, itemInSession FROM activity))"),
+                        " sessionId, itemInSession FROM activity WHERE page = 'NextSong'))"),
     song_library=("n", "(SELECT row_number() OVER () AS n FROM (SELECT DISTINCT song, userId"
-                       " FROM activity))"),
+                       " FROM activity WHERE page = 'NextSong'))"),
 ))
 def load_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = scratch_path(spark, "event-csv")
-    rows = activity(spark, sf_dir, *EVENT_CSV_COLUMNS)
-    rows.write.option("header", True).option("escape", '"').csv(raw)
+    raw = raw_files(spark, sf_dir, "event_csv")
     tables = loads.load_lookup_tables(spark, raw, scratch_path(spark, "lookups"))
     return quality.load_report({t.name: (tables[t.name], list(t.key)) for t in KEYED})
 
 
-_SPLIT = 4  # files of the incremental runs; two per batch
-
-
-def _split_files(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_path(spark, "arriving")
-    activity(spark, sf_dir).repartition(_SPLIT).write.json(path)
-    return path
+def _half(spark: SparkSession, path: str) -> int:
+    """Half the number of files below a path, for runs of two batches."""
+    return -(-len(spark.read.text(path).inputFiles()) // 2)
 
 
 @query(with_roles("activity", """
@@ -119,14 +113,14 @@ SELECT sessionId, itemInSession, ts, page, song, artist, CAST(userId AS BIGINT)
 """))
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files loaded batch by batch into one dataset; the sum is the same as in one read."""
-    out = scratch_path(spark, "appended")
+    source, out = raw_files(spark, sf_dir, "activity"), scratch_path(spark, "appended")
     each_new_file(
         spark,
-        _split_files(spark, sf_dir),
+        source,
         LOG_FILE,
         scratch_path(spark, "progress"),
         lambda rows, batch: append_batch(typed_events(rows), out, batch),
-        files_per_batch=_SPLIT // 2,
+        files_per_batch=_half(spark, source),
     )
     return read_batches(spark, out, STAGING_EVENTS).select(
         "sessionId", "itemInSession", "ts", "page", "song", "artist", "userId"
@@ -144,14 +138,14 @@ FROM played GROUP BY userId
 """))
 def incremental_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users merged batch by batch."""
-    out = scratch_path(spark, "user-states")
+    source, out = raw_files(spark, sf_dir, "activity"), scratch_path(spark, "user-states")
     each_new_file(
         spark,
-        _split_files(spark, sf_dir),
+        source,
         LOG_FILE,
         scratch_path(spark, "progress"),
         lambda rows, batch: merge_users_batch(plays(typed_events(rows)), out, batch),
-        files_per_batch=_SPLIT // 2,
+        files_per_batch=_half(spark, source),
     )
     return users_now(spark, out)
 
@@ -163,13 +157,14 @@ def incremental_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 ))
 def incremental_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users, time and fact written batch by batch, song play ids counted on."""
+    source = raw_files(spark, sf_dir, "activity")
     tables = load_activity_files(
         spark,
-        _split_files(spark, sf_dir),
+        source,
         catalog(spark, sf_dir),
         scratch_path(spark, "star-incremental"),
         scratch_path(spark, "progress"),
-        files_per_batch=_SPLIT // 2,
+        files_per_batch=_half(spark, source),
     )
     return quality.load_report({
         t.name: (tables[t.name], list(t.key)) for t in STAR if t.name in tables
