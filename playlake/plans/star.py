@@ -117,7 +117,11 @@ def merge_user_states(states: DataFrame) -> DataFrame:
 
 
 def users_upsert(log: DataFrame, seq: Sequence[str] = ARRIVAL) -> DataFrame:
-    """Users with names from their first line and the level from their last one."""
+    """Users with names from their first line and the level from their last one.
+
+    The level is the most recent one even if a user went from free to paid and back:
+    equal rows are not dropped before the merge, which would lose the way back.
+    """
     return user_states(log, seq).select(USERS.columns)
 
 

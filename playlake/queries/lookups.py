@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import keyed
@@ -81,15 +81,9 @@ def session_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.lookup(stored, SESSION_LIBRARY, SESSION_LIBRARY.columns, session_id=4)
 
 
-@query(with_roles("activity", _USER_SQL + """
-SELECT *, CAST(row_number() OVER (PARTITION BY user_id, session_id ORDER BY item_in_session)
-               AS INTEGER) AS pos
-FROM user_activity
-"""))
+@query(with_roles("activity", _USER_SQL + "SELECT * FROM user_activity"))
 def user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole table, with the position of each row in its partition."""
-    order = Window.partitionBy(*USER_ACTIVITY.partition_key).orderBy(*USER_ACTIVITY.clustering_key)
-    return _user_activity(spark, sf_dir).withColumn("pos", F.row_number().over(order))
+    return _user_activity(spark, sf_dir)
 
 
 @query(with_roles("activity", _USER_SQL + """

@@ -9,11 +9,13 @@ from ..functions import event_time, to_id
 from ..operators import (
     dense_key,
     distinct_rows,
+    hash_key,
     insert_absent,
     known_users,
     latest_per_key,
     plays,
     resolve_all,
+    sparse_key,
 )
 from ..plans import reports, star
 from ..schemas import ARTIST
@@ -276,14 +278,10 @@ SELECT CAST(count(*) AS BIGINT) AS sparse_ids, CAST(count(*) AS BIGINT) AS hash_
 def songplay_sparse_hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many different ids the two unstored modes give: one per row."""
     rows = fact(spark, sf_dir, dedupe=True)
-    sparse = star.keyed_songplays(rows, "sparse").agg(
-        F.countDistinct("songplay_id").alias("sparse_ids")
+    keyed = sparse_key(hash_key(rows, "by_hash", rows.columns), "sparse")
+    return keyed.agg(
+        F.countDistinct("sparse").alias("sparse_ids"), F.countDistinct("by_hash").alias("hash_ids")
     )
-    hashed = star.keyed_songplays(rows, "hash").agg(
-        F.countDistinct("songplay_id").alias("hash_ids")
-    )
-    # Two single-row aggregates side by side.
-    return sparse.join(hashed, F.lit(True))
 
 
 @query(with_roles("activity", """

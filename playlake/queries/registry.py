@@ -7,6 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..settings import configure
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -22,7 +24,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         @wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            configure(spark).conf.set("spark.sql.session.timeZone", "UTC")
             return build(spark, sf_dir)
 
         QUERIES[build.__name__] = run

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import event_time, to_id
-from ..operators import plays, resolve_all
+from ..operators import known_users, plays, resolve_all
 from ..plans import quality, reports, star
 from .modeling import PLAY_COLUMNS
 from .registry import query
-from .roles import FACT_SQL, activity, catalog, event_log, with_roles
+from .roles import FACT_SQL, activity, catalog, event_log, table, with_roles
 
 MATCH_COLUMNS = ("artist", "song", "length", "page")
 
@@ -97,6 +97,43 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.songplay_columns(first)
 
 
+@query(with_roles("event_log", """
+SELECT DISTINCT TRY_CAST(userId AS BIGINT) AS user_id, level FROM event_log WHERE userId <> ''
+ORDER BY user_id, level LIMIT 5
+"""))
+def preview_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users = known_users(event_log(spark, sf_dir)).select(to_id("userId").alias("user_id"), "level")
+    return reports.preview(users.distinct(), ["user_id", "level"])
+
+
+@query(with_roles("catalog", """
+SELECT song_id, title, artist_id, year, duration FROM catalog ORDER BY song_id LIMIT 5
+"""))
+def preview_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.preview(star.songs(catalog(spark, sf_dir)), ["song_id"])
+
+
+@query(with_roles("catalog", """
+SELECT DISTINCT artist_id, artist_name AS name, artist_location AS location,
+       artist_latitude AS latitude, artist_longitude AS longitude
+FROM catalog ORDER BY artist_id, location LIMIT 5
+"""))
+def preview_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.preview(star.artists(catalog(spark, sf_dir)), ["artist_id", "location"])
+
+
+@query("""
+SELECT DISTINCT l_shipdate AS start_time, CAST(0 AS INTEGER) AS hour,
+       CAST(day(l_shipdate) AS INTEGER) AS day, CAST(week(l_shipdate) AS INTEGER) AS week,
+       CAST(month(l_shipdate) AS INTEGER) AS month, CAST(year(l_shipdate) AS INTEGER) AS year,
+       CAST(dayofweek(l_shipdate) AS INTEGER) AS weekday
+FROM lineitem ORDER BY start_time LIMIT 5
+""")
+def preview_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    times = star.time_dimension(table(spark, sf_dir, "lineitem"), "l_shipdate")
+    return reports.preview(times, ["start_time"])
+
+
 _COUNT_SQL = """
 SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS row_count,
        CAST(count(DISTINCT {key}) AS BIGINT) AS key_count,

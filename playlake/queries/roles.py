@@ -102,15 +102,17 @@ def activity(
         rows = rows.filter(F.col("l_returnflag") == "R")
     if wanted & _FROM_PART.keys():
         rows = rows.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    customer = bool(wanted & {*_FROM_CUSTOMER, *_FROM_NATION})
-    if customer or wanted & _FROM_ORDERS.keys():
-        rows = rows.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    if customer:
-        rows = rows.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    if wanted & _FROM_NATION.keys():
-        rows = rows.join(
-            table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-        )
+    if wanted & {*_FROM_ORDERS, *_FROM_CUSTOMER, *_FROM_NATION}:
+        # Orders are completed before they meet the far more numerous line items, which
+        # then take one shuffle for all of it.
+        buyers = table(spark, sf_dir, "orders")
+        if wanted & {*_FROM_CUSTOMER, *_FROM_NATION}:
+            customers = table(spark, sf_dir, "customer")
+            if wanted & _FROM_NATION.keys():
+                nations = table(spark, sf_dir, "nation")
+                customers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+            buyers = buyers.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        rows = rows.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.select([_COLUMNS[c]().alias(c) for c in columns])
 
 

@@ -6,6 +6,7 @@ import pytest
 
 from playlake.operators import (
     first_per_key,
+    last_per_key,
     latest_per_key,
     merge_fields,
     resolve_all,
@@ -16,6 +17,7 @@ from playlake.operators import (
 from playlake.plans import keyed, reports, star
 from playlake.queries import ORACLE, QUERIES
 from playlake.schemas import SESSION_LIBRARY, SONGPLAY
+from playlake.settings import ADAPTIVE
 from playlake.sources import read_parquet, write_keyed, write_parquet
 from playlake.workspace import scratch_path
 
@@ -99,6 +101,20 @@ def test_a_hot_song_is_split_over_tasks(spark, tmp_path, settings, resolve):
     assert joined.count() == 300_000
 
 
+def test_rows_joined_on_part_of_the_key_are_still_pruned_before_a_shuffle(spark, settings):
+    """A per-key choice must not go on from a join on one key column with all of its rows."""
+    settings(SKEW | ADAPTIVE)
+    left = spark.range(1000).selectExpr("id % 5 AS k", "id % 7 AS item", "id AS seq")
+    right = spark.range(5).selectExpr("id AS k", "'x' AS v")
+    chosen = last_per_key(left.join(right, "k"), ["k", "item"], ["seq"])
+    physical = plan(chosen).split("== Physical Plan ==")[1]
+    final, partial = physical.index("Final"), physical.index("Partial")
+    assert "Exchange hashpartitioning(k" in physical[final:partial]
+    distinct = plan(left.join(right, "k").select("k", "item", "v").distinct())
+    between = distinct.split("== Physical Plan ==")[1].split("SortMergeJoin")[0]
+    assert "Exchange hashpartitioning(k" in between
+
+
 def test_counting_first_sends_a_hot_song_to_the_join_as_one_row(spark, tmp_path, settings):
     settings(SKEW)
     log, catalog = hot_song(spark, tmp_path)
@@ -150,7 +166,7 @@ def test_no_query_forces_pairs_of_rows(spark, name):
     if name.startswith(("load_", "incremental_", "scan_", "stage_")):
         pytest.skip("runs jobs to build its plan; covered by the oracle test")
     physical = plan(QUERIES[name](spark, SF))
-    assert "CartesianProduct" not in physical
+    assert "CartesianProduct" not in physical and "NestedLoop" not in physical
     assert "Python" not in physical and "InPandas" not in physical
 
 
