@@ -13,9 +13,9 @@ Three presets give the same five tables under different rules:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -43,6 +43,7 @@ from ..sources import (
     write_keyed,
     write_parquet,
 )
+from ..workspace import at_once
 from . import keyed, star
 
 
@@ -84,19 +85,15 @@ PRESETS = {
 }
 
 
-def _at_once(write: Callable, items: Iterable) -> list:
-    """Run independent writes side by side, so that one's last tasks leave no cluster idle."""
-    with ThreadPoolExecutor(max_workers=5) as pool:
-        return list(pool.map(write, items))
-
-
 def stage(
     spark: SparkSession, song_paths: str | Sequence[str], log_paths: str | Sequence[str], out: str
 ) -> tuple[DataFrame, DataFrame]:
     """Parse the raw files once into typed Parquet below ``out``; (events, songs)."""
     events, catalog = f"{out}/{STAGING_EVENTS.name}", f"{out}/{STAGING_SONGS.name}"
-    write_parquet(stage_events(spark, log_paths), events)
-    write_parquet(stage_songs(spark, song_paths), catalog)
+    at_once(
+        partial(write_parquet, stage_events(spark, log_paths), events),
+        partial(write_parquet, stage_songs(spark, song_paths), catalog),
+    )
     return (
         read_parquet(spark, events, STAGING_EVENTS.schema),
         read_parquet(spark, catalog, STAGING_SONGS.schema),
@@ -142,22 +139,23 @@ def load_activity(
     }
 
 
+def _unnumbered(log: DataFrame, catalog: DataFrame, preset: str) -> dict[str, DataFrame]:
+    tables = {**load_catalog(catalog, preset), **load_activity(log, catalog, preset)}
+    if PRESETS[preset].enforce:
+        tables = {t.name: enforce_required(tables[t.name], t.required) for t in STAR}
+    return tables
+
+
+def _numbered(fact: DataFrame, rules: Preset) -> DataFrame:
+    return star.keyed_songplays(fact, rules.key_mode, start=rules.key_start)
+
+
 def build_star(
     log: DataFrame, catalog: DataFrame, preset: str = "warehouse"
 ) -> dict[str, DataFrame]:
     """All five tables of a preset. Numbering the fact densely stores it, which runs a job."""
-    rules = PRESETS[preset]
-    tables = {**load_catalog(catalog, preset), **load_activity(log, catalog, preset)}
-    if rules.enforce:
-        tables = {
-            t.name: enforce_required(
-                tables[t.name], [c for c in t.required if c in tables[t.name].columns]
-            )
-            for t in STAR
-        }
-    tables[SONGPLAY.name] = star.keyed_songplays(
-        tables[SONGPLAY.name], rules.key_mode, start=rules.key_start
-    )
+    tables = _unnumbered(log, catalog, preset)
+    tables[SONGPLAY.name] = _numbered(tables[SONGPLAY.name], PRESETS[preset])
     return tables
 
 
@@ -198,20 +196,22 @@ def load_star(
     """
     rules = PRESETS[preset]
     log, catalog = stage(spark, song_paths, log_paths, out)
-    tables = build_star(log, catalog, preset)
+    tables = _unnumbered(log, catalog, preset)
     if rules.unique_songs:
         assert_unique(tables[SONG.name], SONG.key)
 
     def write(table: Table) -> tuple[str, DataFrame]:
         rows, schema = tables[table.name], table.schema
-        if table == SONGPLAY and rules.by_month:
-            rows, schema = star.with_year_month(rows), _month_columns(table)
+        if table == SONGPLAY:
+            rows = _numbered(rows, rules)
+            if rules.by_month:
+                rows, schema = star.with_year_month(rows), _month_columns(table)
         path = f"{out}/{table.name}"
         write_parquet(rows, path, partition_by=_partitions(table, rules, by_id))
         return table.name, read_parquet(spark, path, schema)
 
     first = [SONG, ARTIST, USERS, SONGPLAY, *([] if rules.time_of_fact else [TIME])]
-    written = dict(_at_once(write, first))
+    written = dict(at_once(*(partial(write, table) for table in first)))
     if rules.time_of_fact:
         tables[TIME.name] = star.time_dimension(
             written[SONGPLAY.name], distinct=rules.distinct_time, style=rules.weekday
@@ -236,10 +236,10 @@ def load_lookup_tables(
     write_consolidated(events, f"{out}/events")
     builders = (keyed.session_library, keyed.user_activity, keyed.song_library)
 
-    def write(item: tuple[Table, Callable]) -> tuple[str, DataFrame]:
-        table, build = item
+    def write(table: Table, build: Callable) -> tuple[str, DataFrame]:
         path = f"{out}/{table.name}"
         write_keyed(build(events, ["arrival.file", "arrival.block", "arrival.row"]), table, path)
         return table.name, read_parquet(spark, path, table.schema)
 
-    return dict(_at_once(write, zip(KEYED, builders, strict=True)))
+    pairs = zip(KEYED, builders, strict=True)
+    return dict(at_once(*(partial(write, table, build) for table, build in pairs)))

@@ -7,6 +7,7 @@ a failure and therefore replaces what it wrote for that batch number instead of
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from ..operators import plays
 from ..plans import star
 from ..schemas import LOG_FILE, SONGPLAY, STAGING_EVENTS, TIME, USERS, Table
 from ..sources import current_version, read_version, typed_events, write_version
+from ..workspace import at_once
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -135,13 +137,15 @@ def load_activity_files(
             f"{out}/events/batch={batch}"
         )
         log = plays(stored)
-        merge_users_batch(log, f"{out}/users", batch)
         times = star.time_dimension(
             star.log_times(log, precision="ms"), distinct=False, style="mon0"
         )
-        append_batch(times, f"{out}/time", batch)
         fact = star.songplays(log, catalog, match="first", precision="ms")
-        _append_numbered(fact, out, batch)
+        at_once(
+            partial(merge_users_batch, log, f"{out}/users", batch),
+            partial(append_batch, times, f"{out}/time", batch),
+            partial(_append_numbered, fact, out, batch),
+        )
 
     each_new_file(
         spark, source, LOG_FILE, checkpoint, handler, files_per_batch=files_per_batch
