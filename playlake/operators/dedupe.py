@@ -2,7 +2,7 @@
 
 The per-key operators are written as a ranking filtered to rank 1. Spark then prunes
 each task's rows to the best per key *before* the shuffle, so a key holding a third of
-all rows sends a few rows per task, not all of them.
+all rows sends one row per task, not all of them.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_RANK = "__rank"
+_RANK, _MOMENT, _TASK, _KEY, _LATEST = "__rank", "__moment", "__task", "__key", "__latest"
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str | Column] | None = None) -> DataFrame:
@@ -40,6 +40,22 @@ def last_per_key(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> Data
     return _best(df, keys, [F.desc(c) for c in seq], ties=False)
 
 
+def _all_latest(known: DataFrame, key: str, ts: Column) -> DataFrame:
+    """Tied rows cannot be pruned to a few, so they must not meet in one task.
+
+    Each task first drops what is not latest among its own rows of a key; what is left is
+    joined with the keys' greatest times, a join that adaptive execution can split even
+    where copies of a single row make up most of it.
+    """
+    moments = known.withColumn(_MOMENT, ts)
+    own = moments.withColumn(_TASK, F.spark_partition_id())
+    candidates = _best(own, [key, _TASK], [F.desc(_MOMENT)], ties=True)
+    latest = moments.groupBy(F.col(key).alias(_KEY)).agg(F.max(_MOMENT).alias(_LATEST))
+    return candidates.join(
+        latest, (F.col(key) == F.col(_KEY)) & (F.col(_MOMENT) == F.col(_LATEST))
+    ).select(known.columns)
+
+
 def latest_per_key(
     df: DataFrame,
     key: str,
@@ -48,7 +64,7 @@ def latest_per_key(
     ties: str = "all",
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """The rows of each key at its greatest ``ts``, in one pass instead of a self-join.
+    """The rows of each key at its greatest ``ts``.
 
     ``ties='all'`` keeps every row at that time. ``ties='one'`` keeps one, the greatest by
     ``tie_break``, which should make the order total. Rows without a key or a time match
@@ -59,5 +75,5 @@ def latest_per_key(
     ts = F.col(ts) if isinstance(ts, str) else ts
     known = df.filter(F.col(key).isNotNull() & ts.isNotNull())
     if ties == "all":
-        return _best(known, [key], [ts.desc()], ties=True)
+        return _all_latest(known, key, ts)
     return _best(known, [key], [ts.desc(), *(F.desc(c) for c in tie_break)], ties=False)

@@ -23,6 +23,7 @@ from ..operators import (
     resolve_first,
     surrogate_key,
 )
+from ..operators.resolve import MATCH
 from ..schemas import SESSION, SONG, SONGPLAY, TIME, USERS
 
 ARRIVAL = ("ts", "sessionId", "itemInSession")
@@ -158,6 +159,10 @@ def songplays(
     ``dedupe`` drops rows equal in all columns, such as a repeat within one second.
     """
     resolve = {"all": resolve_all, "first": resolve_first}[match]
+    if dedupe:
+        # Copies of a song only repeat rows that would be dropped after the join.
+        matched = ("song_id", "artist_id", *(b for _, b in MATCH))
+        catalog = catalog.select(*matched).distinct()
     rows = songplay_columns(resolve(plays(log), catalog, scale=scale), precision)
     return rows.distinct() if dedupe else rows
 

@@ -199,26 +199,22 @@ def with_roles(names: str, body: str) -> str:
 
 
 @cache
-def _raw(app_id: str, sf_dir: str, role: str) -> str:
-    spark = SparkSession.active()
+def raw_files(spark: SparkSession, sf_dir: str, role: str) -> str:
+    """The ``catalog`` or ``activity`` role as JSON files, or as ``event_csv`` files that name
+    the artist on plays only; written once per session."""
     path = scratch_path(spark, f"raw-{role}")
     if role == "catalog":
         catalog(spark, sf_dir).select(SONG_FILE.fieldNames()).write.json(path)
         return path
-    # By session, as an application would write its logs, into as many files as there are tasks.
+    # The roles come out of joins in few tasks; spread, they become several files.
     if role == "activity":
-        rows = activity(spark, sf_dir).repartition("sessionId")
+        rows = activity(spark, sf_dir).repartition("sessionId", "itemInSession", "ts")
         rows.select(LOG_FILE.fieldNames()).write.json(path)
     else:
-        rows = activity(spark, sf_dir, *EVENT_CSV_COLUMNS).repartition("sessionId")
+        rows = activity(spark, sf_dir, *EVENT_CSV_COLUMNS)
+        rows = rows.repartition("sessionId", "itemInSession", "ts")
         artist = F.when(F.col("page") == "NextSong", F.col("artist"))
         rows.withColumn("artist", artist).write.option("header", True).option(
             "escape", '"'
         ).csv(path)
     return path
-
-
-def raw_files(spark: SparkSession, sf_dir: str, role: str) -> str:
-    """The ``catalog`` or ``activity`` role as JSON files, or as ``event_csv`` files that name
-    the artist on plays only; written once per application."""
-    return _raw(spark.sparkContext.applicationId, sf_dir, role)

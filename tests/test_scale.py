@@ -115,6 +115,17 @@ def test_rows_joined_on_part_of_the_key_are_still_pruned_before_a_shuffle(spark,
     assert "Exchange hashpartitioning(k" in between
 
 
+def test_copies_of_a_latest_row_are_split_over_tasks(spark, tmp_path, settings):
+    """A third of the log is one line, which is its user's latest; all copies are kept."""
+    settings(SKEW | ADAPTIVE)
+    spark.range(300_000).selectExpr(
+        "if(id % 3 = 0, -1, id) AS user", "if(id % 3 = 0, 9, id) AS ts", "uuid() AS note",
+    ).repartition(16).write.parquet(str(tmp_path / "log"))
+    latest = latest_per_key(spark.read.parquet(str(tmp_path / "log")), "user", "ts")
+    assert "skew=true" in executed(latest)
+    assert latest.count() == 300_000
+
+
 def test_counting_first_sends_a_hot_song_to_the_join_as_one_row(spark, tmp_path, settings):
     settings(SKEW)
     log, catalog = hot_song(spark, tmp_path)
