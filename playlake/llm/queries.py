@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .hostrules import STATISTICS, judged
+from .mixing import taken_words
+from .sharding import SHARDS, shard_rows
+from .simhash import near_duplicates
 from .suffixes import repeated_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +28,39 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    return taken_words(documents(spark, sf_dir).select("doc_id", "source", "text"))
+
+
+@query
+def op3_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of equal row counts, each with the mixture of the whole."""
+    rows = documents(spark, sf_dir).select(
+        "doc_id", "source",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    return shard_rows(rows, SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's SimHash fingerprint and near-duplicate component."""
+    found = near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+                        "component_id")
+
+
+@query
+def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's statistics, its own failures, and the verdict with its host's."""
+    found = judged(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    return found.select("doc_id", *STATISTICS, "base_failed", "kept")
+
+
 @query
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each document keeps when passages of 50 bytes that an earlier one holds are cut out."""
