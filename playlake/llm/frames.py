@@ -13,8 +13,8 @@ from ..workspace import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def take(table: DataFrame, *names: str, rest: str | None = None) -> DataFrame:
-    """The named columns only; with ``rest`` also all columns as one struct ``rest``.
+def take(table: DataFrame, *names: str, rest: str | None = None, without: str = "") -> DataFrame:
+    """The named columns only; with ``rest`` also all columns but one as one struct ``rest``.
 
     Columns are found by their exact name, so further columns whose names differ in case only,
     or equal an operator's own columns, are no hindrance. ``spread`` gives the struct back.
@@ -22,7 +22,7 @@ def take(table: DataFrame, *names: str, rest: str | None = None) -> DataFrame:
     plain = table.toDF(*[f"c{i}" for i in range(len(table.columns))])
     kept = [F.col(f"c{table.columns.index(name)}").alias(name) for name in names]
     if rest is not None:
-        kept.append(F.struct(*plain.columns).alias(rest))
+        kept.append(F.struct(*[c for c, n in zip(plain.columns, table.columns, strict=True) if n != without]).alias(rest))
     return plain.select(*kept)
 
 

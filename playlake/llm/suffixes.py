@@ -25,15 +25,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, StringType
 
 from .frames import spread, take
 
 SPAN = 50
-PIECE = 16  # bytes hashed for an anchor
+PIECE = 24  # bytes hashed for an anchor
 CHUNK_BYTES = 4 << 20  # text of a chunk
+RUN = 32  # windows of a string; so it has at most span + 31 columns
 SLICE = 1 << 19  # windows that are hashed at once
 HOT = 50_000  # runs of an anchor from which its windows are spread singly
 SORTED_AT_ONCE = 4_096  # strings that are sorted together, but for larger groups
@@ -73,20 +76,29 @@ def _anchors(data: np.ndarray, span: int) -> np.ndarray:
     return (low & ~np.uint64(255)).view(np.int64)
 
 
+@F.arrow_udf(BinaryType())
+def packed(texts: pa.Array) -> pa.Array:
+    """Texts as compressed bytes, which halves what is shuffled; null and empty ones as they are."""
+    pack = zstandard.ZstdCompressor().compress
+    return pa.array([pack(t) if t else t for t in texts.cast(pa.large_binary()).to_pylist()], pa.binary())
+
+
 class Chunk:
     """The texts of a chunk in one array, cut into runs of windows with the same anchor."""
 
     def __init__(self, docs: pa.Table, span: int):
-        texts = docs["text"].cast(pa.large_binary()).combine_chunks()
-        texts = texts if isinstance(texts, pa.Array) else pa.chunked_array([texts]).combine_chunks()
-        self.texts = [t or b"" for t in texts.to_pylist()]
-        sizes = np.array([len(t) for t in self.texts], np.int64)
+        unpack = zstandard.ZstdDecompressor().decompress
+        texts = [unpack(t) if t else t for t in docs["packed"].to_pylist()]
+        ids = docs["doc_id"].to_pylist()
+        # a shuffle delivers rows in any order, but strings must have the same number every time
+        order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0, texts[k] or b""))
+        self.docs, self.texts, ids = docs.take(order), [texts[k] for k in order], [ids[k] for k in order]
+        sizes = np.array([len(t or b"") for t in self.texts], np.int64)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        ids = docs["doc_id"].to_pylist()
         self.known = np.array([i is not None for i in ids], bool)
         self.ids = np.array([0 if i is None else i for i in ids], np.int64)
-        self.data = np.frombuffer(b"".join(self.texts), np.uint8)
+        self.data = np.frombuffer(b"".join(t or b"" for t in self.texts), np.uint8)
         self.span = span
         self.runs()
 
@@ -121,7 +133,13 @@ class Chunk:
                 anchor.append(a[at])
                 row.append(usable[np.searchsorted(open_, at + low, "right") - 1])
         join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        self.first, self.count, self.anchor, self.row = map(join, (first, count, anchor, row))
+        first, count, anchor, row = map(join, (first, count, anchor, row))
+        # text that goes on repeating itself keeps its anchor: cut it, or its columns have no end
+        cuts = -(-count // RUN)
+        step = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+        self.first = np.repeat(first, cuts) + RUN * step
+        self.count = np.minimum(np.repeat(count, cuts) - RUN * step, RUN)
+        self.anchor, self.row = np.repeat(anchor, cuts), np.repeat(row, cuts)
 
     def listed(self) -> np.ndarray:
         """Each anchor once; low byte 0: in one document, else the runs it has, 255 at most."""
@@ -251,7 +269,8 @@ def cut_strings(docs: pa.Table, shared: pa.Table, span: int, buckets: int) -> pa
     keys, bounds = _bounds(bucket[order])
     bodies = list(numbers)
     size = np.fromiter(map(len, bodies), np.int64, n)
-    joined = [b"".join(bodies[k] for k in order[a:b].tolist())
+    pack = zstandard.ZstdCompressor().compress
+    joined = [pack(b"".join(bodies[k] for k in order[a:b].tolist()))
               for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     return pa.Table.from_arrays([
         pa.array(keys, pa.int64()), pa.array(np.full(len(keys), docs["chunk"][0].as_py()), pa.int64()),
@@ -260,6 +279,17 @@ def cut_strings(docs: pa.Table, shared: pa.Table, span: int, buckets: int) -> pa
         _lists(last[order], bounds, pa.int64()), pa.array(joined, pa.binary())], schema=STRINGS)
 
 
+def _least(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The smallest value of each range, by the smallest of every 1, 2, 4, ... values in a row."""
+    power = np.frexp((end - begin).astype(np.float64))[1] - 1
+    found, row = np.empty(len(begin), values.dtype), values
+    for k in range(int(power.max()) + 1):
+        here = np.flatnonzero(power == k)
+        found[here] = np.minimum(row[begin[here]], row[end[here] - (1 << k)])
+        row = np.minimum(row[:-(1 << k)], row[1 << k:])
+    return found
+
+
 def column_wise(strings: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order and common prefixes of a collection, built one column per round.
 
@@ -275,17 +305,17 @@ def column_wise(strings: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarra
     ends = start + size
     transform = np.where(size > 0, symbols[np.maximum(ends - 1, 0)], 0).astype(np.uint16)
     common = np.zeros(m, np.uint8)
-    suffix = ends + np.arange(m)  # a place for each end
+    suffix = (ends + np.arange(m)).astype(np.int32)  # a place for each end
     place, active = np.arange(m), np.arange(m)
     for done in range(1, int(size.max(initial=0)) + 1):
         stay = size[active] >= done
         active, place = active[stay], place[stay]
         total = len(transform)
         order = np.argsort(transform, kind="stable")
-        rank = np.empty(total, np.int64)
-        rank[order] = np.arange(total)
+        rank = np.empty(total, np.int32)
+        rank[order] = np.arange(total, dtype=np.int32)
         blank = int(np.count_nonzero(transform == 0))
-        mine = rank[place]
+        mine = rank[place].astype(np.int64)
         sorted_symbols = transform[order]
         # common prefixes of the new suffixes and of those that follow them
         fresh = np.zeros(total + 1, bool)
@@ -296,11 +326,8 @@ def column_wise(strings: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarra
         touched = touched[sorted_symbols[touched] == sorted_symbols[touched - 1]]
         value = np.zeros(total, np.uint8)
         if len(touched):
-            pairs = np.empty(2 * len(touched), np.int64)
-            pairs[0::2] = order[touched - 1] + 1
-            pairs[1::2] = order[touched] + 1
-            closed = np.append(common, np.uint8(0))
-            value[touched] = np.minimum(np.minimum.reduceat(closed, pairs)[0::2], depth - 1) + 1
+            least = _least(common, order[touched - 1] + 1, order[touched] + 1)
+            value[touched] = np.minimum(least, depth - 1) + 1
         # the new suffixes go between the old ones
         size_now = m + total - blank
         is_new = np.zeros(size_now, bool)
@@ -316,7 +343,7 @@ def column_wise(strings: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarra
         at = start[active] + size[active] - done
         left = np.where(size[active] > done, symbols[np.maximum(at - 1, 0)], 0)
         new_transform[new_place] = left
-        new_suffix = np.empty(size_now, np.int64)
+        new_suffix = np.empty(size_now, np.int32)
         new_suffix[is_old] = suffix
         new_suffix[new_place] = at + active
         transform, common, suffix, place = new_transform, grown, new_suffix, new_place
@@ -343,7 +370,7 @@ def sort_strings(rows: pa.Table, span: int) -> pa.Table:
     owner, last, number = (_joined(rows, n) for n in ("owner", "last", "number"))
     each = np.concatenate([np.diff(c.offsets.to_numpy()) for c in rows["number"].chunks])
     chunk = np.repeat(rows["chunk"].to_numpy(), each)
-    body = b"".join(rows["body"].to_pylist())
+    body = b"".join(map(zstandard.ZstdDecompressor().decompress, rows["body"].to_pylist()))
     ends = np.cumsum(size)
     numbers: dict[bytes, int] = {}
     put = numbers.setdefault
@@ -399,8 +426,8 @@ def _spans(docs: pa.Table, told: pa.Table, span: int) -> tuple[Chunk, np.ndarray
     """Step 5: which bytes of a chunk go."""
     chunk = Chunk(docs, span)
     gone = np.zeros(len(chunk.data) + 1, np.int32)
-    shared = told.filter(pa.compute.is_valid(told["anchors"]))
-    owned = told.filter(pa.compute.is_valid(told["number"]))
+    shared = told.filter(pc.is_valid(told["anchors"]))
+    owned = told.filter(pc.is_valid(told["number"]))
     if owned.num_rows:
         chunk.strings(np.sort(_joined(shared, "anchors")))
         numbers = _joined(owned, "number").astype(np.int64)
@@ -437,7 +464,7 @@ def remove_spans(docs: pa.Table, told: pa.Table, span: int) -> pa.Table:
         ends.append(change[1::2].tolist())
         kept.append(chunk.data[a:b][~mask].tobytes())
     return pa.Table.from_arrays([
-        docs["doc_id"], docs["rest"], pa.array(chunk.ends - chunk.starts, pa.int64()),
+        chunk.docs["doc_id"], chunk.docs["rest"], pa.array(chunk.ends - chunk.starts, pa.int64()),
         pa.array(kept, pa.binary()), pa.array(starts, pa.list_(pa.int64())),
         pa.array(ends, pa.list_(pa.int64()))],
         names=["doc_id", "rest", "n_bytes", "kept", "span_starts", "span_ends"])
@@ -454,21 +481,21 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, chunk_bytes: int = CHUNK_B
 
     Takes ``doc_id`` (integer) and ``text``. Every byte covered by a string of ``span`` bytes that
     also starts in a document with a smaller id is removed; strings are judged on the input, so
-    overlapping ones all count, and matches never cross documents. Returns ``doc_id``, all input
-    columns as the struct ``rest``, ``n_bytes``, ``kept`` (the remaining bytes) and the removed
+    overlapping ones all count, and matches never cross documents. Returns ``doc_id``, all other
+    input columns as the struct ``rest``, ``n_bytes``, ``kept`` (the remaining bytes) and the removed
     spans as ``span_starts`` and ``span_ends`` (the end is outside).
 
-    A null text counts as empty. A null id is in no order with others: such a row neither loses
+    A null text has no bytes, and null is kept of it. A null id is in no order with others: such a row neither loses
     bytes nor makes others lose them. Rows with the same id don't take from each other. An empty
     table gives an empty table. Further columns are carried in ``rest``.
     """
-    table = take(docs, "doc_id", "text", rest="rest")
+    table = take(docs, "doc_id", "text", rest="rest", without="text")
     size = take(docs, "text").agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     chunks = max(1, -(-size // chunk_bytes))
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chunks // 16))
-    table = (table.select(F.col("doc_id").cast("long"), "text", "rest")
-             .withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
+    table = (table.select(F.col("doc_id").cast("long"), packed("text").alias("packed"), "rest",
+                          F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"))
              .repartition(parts, "chunk"))
     anchors = (table.groupBy("chunk")
                .applyInArrow(lambda t: list_anchors(t, span, chunks), _spark_schema(ANCHORS)))
@@ -501,7 +528,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     found = repeated_spans(docs, span)
     cut = F.size("span_starts") > 0
     at = docs.columns.index
-    text = F.when(cut, whole_characters("kept")).otherwise(F.col(f"rest.c{at('text')}"))
+    text = whole_characters("kept")
     changed = {"text": text}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
