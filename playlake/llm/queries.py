@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .fingerprints import compare_with_edited
 from .hostrules import STATISTICS, judged
+from .importance import resampled
+from .licenses import license_scan
 from .mixing import taken_words
+from .packing import packed
 from .sharding import SHARDS, shard_rows
 from .simhash import near_duplicates
 from .suffixes import repeated_spans
@@ -34,6 +38,12 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(documents(spark, sf_dir).select("doc_id", "source", "text"))
 
 
+@query
+def op2_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each text and its edited text, and how alike they are."""
+    return compare_with_edited(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 @query
 def op3_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of equal row counts, each with the mixture of the whole."""
@@ -54,6 +64,26 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 512 to 8192 words."""
+    return packed(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases, tags and expressions of each document."""
+    rows = documents(spark, sf_dir).select("doc_id", license_scan(F.col("text")).alias("found"))
+    return rows.select("doc_id", "found.*")
+
+
+@query
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that importance resampling towards those labelled good keeps."""
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 AND toxic = 0").select("doc_id")
+    return resampled(documents(spark, sf_dir).select("doc_id", "text"), good)
+
+
 @query
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's statistics, its own failures, and the verdict with its host's."""
@@ -65,8 +95,9 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each document keeps when passages of 50 bytes that an earlier one holds are cut out."""
     found = repeated_spans(documents(spark, sf_dir).select("doc_id", "text"), span=50)
+    kept = F.coalesce("kept", F.lit(b""))
     return found.select(
         "doc_id", "n_bytes",
-        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        (F.col("n_bytes") - F.length(kept)).alias("n_removed"),
         F.size("span_starts").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"))
+        F.sha2(kept, 256).alias("kept_sha256"))
