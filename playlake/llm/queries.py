@@ -16,6 +16,7 @@ from .packing import packed
 from .sharding import SHARDS, shard_rows
 from .simhash import near_duplicates
 from .suffixes import repeated_spans
+from .warc import derivatives, responses
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +92,12 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *STATISTICS, "base_failed", "kept")
 
 
+@query
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of all pages."""
+    return derivatives(responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
 @query
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each document keeps when passages of 50 bytes that an earlier one holds are cut out."""
