@@ -37,7 +37,10 @@ def best_fit(sizes: list[int], lengths: tuple[int, ...] = LENGTHS) -> tuple[list
     rooms = 0  # bit r: some bin has r left
     filled: list[int] = []
     bins, offsets = [], []
-    remaining = sum(sizes)
+    below = np.zeros(max(lengths) + 1, np.int64)  # words in pieces of at most so many words
+    np.add.at(below, np.array(sizes, np.int64), np.array(sizes, np.int64))
+    below = np.cumsum(below).tolist()
+    remaining, open_room = sum(sizes), 0
     for size in sizes:
         fitting = rooms >> size
         if fitting:
@@ -47,14 +50,17 @@ def best_fit(sizes: list[int], lengths: tuple[int, ...] = LENGTHS) -> tuple[list
                 rooms &= ~(1 << left)
         else:
             behind = remaining - size
-            left = min((n for n in lengths if n >= size),
-                       key=lambda n: cost(n) / (size + min(n - size, behind)))
+            # what may still fill the gap: pieces that fit and have no room elsewhere
+            left = min((n for n in lengths if n >= size), key=lambda n: cost(n) / (
+                size + min(n - size, max(0, min(below[n - size], behind) - open_room))))
             which = len(filled)
             filled.append(0)
+            open_room += left
         bins.append(which)
         offsets.append(filled[which])
         filled[which] += size
         remaining -= size
+        open_room -= size
         if left > size:
             room.setdefault(left - size, []).append(which)
             rooms |= 1 << (left - size)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .fingerprints import compare_with_edited
 from .hostrules import STATISTICS, judged
 from .importance import resampled
@@ -21,7 +22,13 @@ from .warc import derivatives, responses
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_source_mixing": oracles.MIXING,
+    "op3_stratified_shards": oracles.SHARDING,
+    "op8_host_rules": oracles.HOST_RULES,
+    "op9_warc_derivatives": oracles.WARC,
+    "op10_suffix_array_dedup": oracles.SUFFIXES,
+}
 
 
 def query(build: Query) -> Query:

@@ -422,6 +422,13 @@ def sort_strings(rows: pa.Table, span: int) -> pa.Table:
         _lists(length, cuts, pa.int32()), _lists(flat[at], cuts, pa.int64())], schema=OWNERS)
 
 
+def _nullable(kind: pa.DataType) -> pa.DataType:
+    """A type whose inner fields may be null, as the declared result has them."""
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(f.name, _nullable(f.type)) for f in kind])
+    return pa.list_(_nullable(kind.value_type)) if pa.types.is_list(kind) else kind
+
+
 def _spans(docs: pa.Table, told: pa.Table, span: int) -> tuple[Chunk, np.ndarray]:
     """Step 5: which bytes of a chunk go."""
     chunk = Chunk(docs, span)
@@ -464,7 +471,7 @@ def remove_spans(docs: pa.Table, told: pa.Table, span: int) -> pa.Table:
         ends.append(change[1::2].tolist())
         kept.append(chunk.data[a:b][~mask].tobytes())
     return pa.Table.from_arrays([
-        chunk.docs["doc_id"], chunk.docs["rest"], pa.array(chunk.ends - chunk.starts, pa.int64()),
+        chunk.docs["doc_id"], chunk.docs["rest"].cast(_nullable(docs["rest"].type)), pa.array(chunk.ends - chunk.starts, pa.int64()),
         pa.array(kept, pa.binary()), pa.array(starts, pa.list_(pa.int64())),
         pa.array(ends, pa.list_(pa.int64()))],
         names=["doc_id", "rest", "n_bytes", "kept", "span_starts", "span_ends"])
@@ -513,7 +520,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, chunk_bytes: int = CHUNK_B
 
 
 def _nothing(docs: pa.Table) -> pa.Table:
-    return pa.table({"doc_id": docs["doc_id"], "rest": docs["rest"],
+    return pa.table({"doc_id": docs["doc_id"], "rest": docs["rest"].cast(_nullable(docs["rest"].type)),
                      "n_bytes": pa.array([], pa.int64()), "kept": pa.array([], pa.binary()),
                      "span_starts": pa.array([], pa.list_(pa.int64())),
                      "span_ends": pa.array([], pa.list_(pa.int64()))})
@@ -540,5 +547,5 @@ def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
 @F.arrow_udf(StringType())
 def whole_characters(data: pa.Array) -> pa.Array:
     """Bytes as text, without broken characters."""
-    return pa.array([None if b is None else b.as_py().decode("utf-8", "ignore") for b in data], pa.string())
+    return pa.array([None if b is None else b.decode("utf-8", "ignore") for b in data.to_pylist()], pa.string())
 
