@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import full_name, to_float, to_id
-from ..operators import last_per_key, with_artist
+from ..operators import enforce_required, last_per_key, with_artist
 from ..schemas import (
     CONSOLIDATED_COLUMNS,
     SESSION_LIBRARY,
@@ -27,16 +27,28 @@ def _id(events: DataFrame, name: str):
     return to_id(name) if dict(events.dtypes)[name] == "string" else F.col(name).cast("bigint")
 
 
-def _keyed(events: DataFrame, table: Table, columns: dict, seq: Sequence[str]) -> DataFrame:
-    """Rows with a complete key, the last one written per key."""
+def _user() -> Column:
+    """First and last name; a CSV scan reads a blank one as NULL, which leaves its part blank."""
+    return full_name(*(F.coalesce(c, F.lit("")) for c in ("firstName", "lastName")))
+
+
+def _keyed(
+    events: DataFrame, table: Table, columns: dict, seq: Sequence[str], incomplete: str
+) -> DataFrame:
+    """The last row written per key.
+
+    A row without a complete key fails the job; with ``incomplete='drop'`` it is left out.
+    """
     order = {f"__seq{i}": F.col(c) for i, c in enumerate(seq)}
-    rows = events.select(
-        *(value.alias(name) for name, value in (columns | order).items())
-    ).dropna(subset=list(table.required))
+    rows = enforce_required(
+        events.select(*(value.alias(name) for name, value in (columns | order).items())),
+        table.required,
+        incomplete,
+    )
     return last_per_key(rows, table.key, list(order)).select(table.columns)
 
 
-def session_library(events: DataFrame, seq: Sequence[str]) -> DataFrame:
+def session_library(events: DataFrame, seq: Sequence[str], incomplete: str = "raise") -> DataFrame:
     """What was played at each item of each session."""
     return _keyed(
         events,
@@ -49,10 +61,11 @@ def session_library(events: DataFrame, seq: Sequence[str]) -> DataFrame:
             "song_length": to_float("length"),
         },
         seq,
+        incomplete,
     )
 
 
-def user_activity(events: DataFrame, seq: Sequence[str]) -> DataFrame:
+def user_activity(events: DataFrame, seq: Sequence[str], incomplete: str = "raise") -> DataFrame:
     """What each user played in each session, by item."""
     return _keyed(
         events,
@@ -61,15 +74,16 @@ def user_activity(events: DataFrame, seq: Sequence[str]) -> DataFrame:
             "user_id": _id(events, "userId"),
             "session_id": _id(events, "sessionId"),
             "item_in_session": _id(events, "itemInSession"),
-            "user": full_name("firstName", "lastName"),
+            "user": _user(),
             "artist": F.col("artist"),
             "song_title": F.col("song"),
         },
         seq,
+        incomplete,
     )
 
 
-def song_library(events: DataFrame, seq: Sequence[str]) -> DataFrame:
+def song_library(events: DataFrame, seq: Sequence[str], incomplete: str = "raise") -> DataFrame:
     """Who listened to each title."""
     return _keyed(
         events,
@@ -77,9 +91,10 @@ def song_library(events: DataFrame, seq: Sequence[str]) -> DataFrame:
         {
             "song_title": F.col("song"),
             "user_id": _id(events, "userId"),
-            "user": full_name("firstName", "lastName"),
+            "user": _user(),
         },
         seq,
+        incomplete,
     )
 
 

@@ -18,11 +18,15 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import assert_unique, enforce_required, plays
 from ..schemas import (
     ARTIST,
+    CONSOLIDATED_COLUMNS,
+    CORRUPT,
+    FAULT,
     KEYED,
     SONG,
     SONGPLAY,
@@ -34,11 +38,14 @@ from ..schemas import (
     Table,
 )
 from ..sources import (
+    FAULTY,
+    checked_events,
+    checked_songs,
     read_event_csv,
     read_parquet,
-    stage_events,
-    stage_songs,
+    refuse_faults,
     with_arrival,
+    with_fault,
     write_consolidated,
     write_keyed,
     write_parquet,
@@ -62,6 +69,7 @@ class Preset:
     key_start: int = 0
     enforce: bool = False
     by_month: bool = False
+    pattern: str | None = None
 
 
 PRESETS = {
@@ -73,6 +81,7 @@ PRESETS = {
         match="first",
         weekday="mon0",
         key_start=1,
+        pattern="*.json",
     ),
     "warehouse": Preset(
         users="latest_lines",
@@ -85,19 +94,46 @@ PRESETS = {
 }
 
 
+def _checked(rows: DataFrame, schema: T.StructType, name: str, out: str, bad: str) -> DataFrame:
+    """Rows with their faults, stored below ``out`` without the faulty ones.
+
+    ``bad='fail'``: the first faulty row fails the load. ``bad='quarantine'``: faulty rows go to
+    ``out/quarantine/name`` with the reason, the malformed line and the rest of the row.
+    """
+    if bad not in ("fail", "quarantine"):
+        raise ValueError(f"bad must be 'fail' or 'quarantine', not {bad!r}")
+    spark, path = rows.sparkSession, f"{out}/{name}"
+    if bad == "fail":
+        write_parquet(refuse_faults(rows), path)
+        return read_parquet(spark, path, schema)
+    write_parquet(rows, path)
+    stored = read_parquet(spark, path, rows.schema)
+    faulty = stored.filter(F.col(FAULT).isNotNull())
+    row = F.to_json(F.struct(*schema.fieldNames())).alias("row")
+    write_parquet(faulty.select(*FAULTY, row), f"{out}/quarantine/{name}")
+    return stored.filter(F.col(FAULT).isNull()).select(schema.fieldNames())
+
+
 def stage(
-    spark: SparkSession, song_paths: str | Sequence[str], log_paths: str | Sequence[str], out: str
+    spark: SparkSession,
+    song_paths: str | Sequence[str],
+    log_paths: str | Sequence[str],
+    out: str,
+    *,
+    pattern: str | None = None,
+    bad: str = "fail",
 ) -> tuple[DataFrame, DataFrame]:
-    """Parse the raw files once into typed Parquet below ``out``; (events, songs)."""
-    events, catalog = f"{out}/{STAGING_EVENTS.name}", f"{out}/{STAGING_SONGS.name}"
-    at_once(
-        partial(write_parquet, stage_events(spark, log_paths), events),
-        partial(write_parquet, stage_songs(spark, song_paths), catalog),
-    )
-    return (
-        read_parquet(spark, events, STAGING_EVENTS.schema),
-        read_parquet(spark, catalog, STAGING_SONGS.schema),
-    )
+    """Parse the raw files once into typed Parquet below ``out``; (events, songs).
+
+    Every file below the paths is read, or those whose name matches ``pattern``. Malformed lines
+    and rows without a required column fail the load, or are set aside (see ``_checked``).
+    """
+    events = checked_events(spark, log_paths, pattern=pattern)
+    songs = checked_songs(spark, song_paths, pattern=pattern)
+    return tuple(at_once(
+        partial(_checked, events, STAGING_EVENTS.schema, STAGING_EVENTS.name, out, bad),
+        partial(_checked, songs, STAGING_SONGS.schema, STAGING_SONGS.name, out, bad),
+    ))
 
 
 def _users(log: DataFrame, preset: Preset) -> DataFrame:
@@ -187,15 +223,21 @@ def load_star(
     preset: str = "warehouse",
     *,
     by_id: bool = False,
+    pattern: str | None = None,
+    bad: str = "fail",
 ) -> dict[str, DataFrame]:
     """Raw files to the five tables of a preset, written below ``out`` and read back.
 
     Each raw file is parsed once; a time table taken from the fact reads the written fact.
+    All files below the paths are read, with the ``keyed`` preset those named ``*.json``;
+    ``pattern`` names others. ``bad`` says what becomes of rows that can't be loaded (``stage``).
     ``by_id`` lays the lake's songs out by year and artist and its users by id: one folder
     per value, to be used for few values only.
     """
     rules = PRESETS[preset]
-    log, catalog = stage(spark, song_paths, log_paths, out)
+    log, catalog = stage(
+        spark, song_paths, log_paths, out, pattern=pattern or rules.pattern, bad=bad
+    )
     tables = _unnumbered(log, catalog, preset)
     if rules.unique_songs:
         assert_unique(tables[SONG.name], SONG.key)
@@ -221,18 +263,32 @@ def load_star(
 
 
 def load_lookup_tables(
-    spark: SparkSession, csv_paths: str | Sequence[str], out: str
+    spark: SparkSession,
+    csv_paths: str | Sequence[str],
+    out: str,
+    *,
+    pattern: str | None = None,
+    multiline: bool = False,
+    bad: str = "fail",
 ) -> dict[str, DataFrame]:
     """Event CSV files to the consolidated file set and the three lookup tables.
 
+    Every file below the paths is read, or those whose name matches ``pattern``. Rows that name an
+    artist need a title and whole numbers as ids; ``bad`` says what becomes of others and of
+    malformed lines, which include records with a line break inside unless ``multiline``.
+
     Where a key is written more than once the last row wins: by file, then by line. The
     files are parsed once, into Parquet that also keeps the place of each line; the
     consolidated CSV itself has no column for it.
     """
-    staged = f"{out}/staging"
-    raw = with_arrival(read_event_csv(spark, csv_paths))
-    write_parquet(keyed.consolidate_events(raw, ["arrival"]), staged)
-    events = spark.read.parquet(staged)
+    raw = with_arrival(
+        read_event_csv(spark, csv_paths, pattern=pattern, multiline=multiline, keep_corrupt=True)
+    )
+    wanted = raw.filter((F.col("artist") != "") | F.col(CORRUPT).isNotNull())
+    checked = with_fault(wanted, ["song"], ["sessionId", "itemInSession", "userId"])
+    rows = checked.select(*CONSOLIDATED_COLUMNS, "arrival", *FAULTY)
+    schema = rows.drop(*FAULTY).schema
+    events = _checked(rows, schema, "staging", out, bad)
     write_consolidated(events, f"{out}/events")
     builders = (keyed.session_library, keyed.user_activity, keyed.song_library)
 

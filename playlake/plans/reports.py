@@ -13,9 +13,6 @@ from ..operators.resolve import MATCH
 # Fixed value: the level of a paying user.
 PAID = "paid"
 
-# A top-k result is broadcast only up to this many rows; larger ones take an ordinary join.
-BROADCAST_ROWS = 100_000
-
 
 def play_counts(log: DataFrame, catalog: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Songs with their number of ``plays``, per value of the log columns ``by``.
@@ -39,7 +36,7 @@ def _named(
 def _top(fact: DataFrame, dim: DataFrame, key: str, label: str, k: int) -> DataFrame:
     best = top_k(fact, [key], k)
     return (
-        _named(F.broadcast(best) if k <= BROADCAST_ROWS else best, dim, [], key, label)
+        _named(best, dim, [], key, label)
         .select(key, label, "plays")
         .orderBy(F.desc("plays"), key)
         .limit(k)

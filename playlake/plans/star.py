@@ -139,6 +139,15 @@ def time_dimension(
     return start.withColumns(time_parts("start_time", style)).select(TIME.columns)
 
 
+def under_stored_artist(catalog: DataFrame, seq: Sequence[str] = ("song_id",)) -> DataFrame:
+    """Catalog rows with the artist name that ``artists(one_per_id=True)`` keeps for their id.
+
+    A spelling that only a later song of the artist has is not a name that plays are matched by.
+    """
+    stored = artists(catalog, one_per_id=True, seq=seq).select("artist_id", F.col("name").alias("artist_name"))
+    return catalog.drop("artist_name").join(stored, "artist_id").select(catalog.columns)
+
+
 def log_times(log: DataFrame, *, precision: str = "s") -> DataFrame:
     """The ``start_time`` of every log line."""
     return log.select(event_time("ts", precision).alias("start_time"))
@@ -155,10 +164,13 @@ def songplays(
 ) -> DataFrame:
     """The fact rows, without a surrogate key.
 
-    ``match='all'`` gives one row per matching song, ``'first'`` at most one per play.
+    ``match='all'`` gives one row per matching song, ``'first'`` at most one per play, matched by
+    the name under which the artist is stored.
     ``dedupe`` drops rows equal in all columns, such as a repeat within one second.
     """
     resolve = {"all": resolve_all, "first": resolve_first}[match]
+    if match == "first":
+        catalog = under_stored_artist(catalog)
     if dedupe:
         # Copies of a song only repeat rows that would be dropped after the join.
         matched = ("song_id", "artist_id", *(b for _, b in MATCH))

@@ -20,6 +20,7 @@ _TYPES = {
 }
 
 CORRUPT = "_corrupt_record"
+FAULT = "fault"  # why a row was not loaded
 
 
 def layout(text: str) -> T.StructType:

@@ -19,9 +19,21 @@ from .sinks import (
     write_parquet,
     write_version,
 )
-from .staging import read_mapped_json, stage_events, stage_songs, typed_events, typed_songs
+from .staging import (
+    FAULTY,
+    checked_events,
+    checked_songs,
+    read_mapped_json,
+    refuse_faults,
+    stage_events,
+    stage_songs,
+    typed_events,
+    typed_songs,
+    with_fault,
+)
 
 __all__ = [
+    "FAULTY", "checked_events", "checked_songs", "refuse_faults", "with_fault",
     "create_tables", "current_version", "drop_tables", "expire_versions", "insert_into",
     "read_consolidated", "read_event_csv", "read_json", "read_mapped_json", "read_parquet",
     "read_version", "reset_tables", "scan_report", "stage_events", "stage_songs", "typed_events",

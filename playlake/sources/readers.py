@@ -20,10 +20,11 @@ def read_json(
     schema: T.StructType,
     *,
     recursive: bool = True,
-    pattern: str | None = "*.json",
+    pattern: str | None = None,
     keep_corrupt: bool = False,
 ) -> DataFrame:
-    """JSON lines from every matching file at any depth.
+    """JSON lines from every file at any depth, compressed or not; with ``pattern`` only from
+    files whose name matches.
 
     A malformed line gives a row of NULLs; with ``keep_corrupt`` its text is kept in
     ``_corrupt_record`` so that it can be set aside (see ``operators.split_corrupt``).
@@ -45,9 +46,12 @@ def _read_csv(
     schema: T.StructType,
     pattern: str | None,
     multiline: bool,
+    keep_corrupt: bool,
 ) -> DataFrame:
+    fields = [*schema.fields, *([T.StructField(CORRUPT, T.StringType())] if keep_corrupt else [])]
     reader = (
-        spark.read.schema(schema)
+        spark.read.schema(T.StructType(fields))
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("escape", '"')
@@ -63,26 +67,28 @@ def read_event_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     *,
-    pattern: str | None = "*.csv",
+    pattern: str | None = None,
     multiline: bool = False,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Event CSV files, columns bound by position, one header line per file, all text.
 
     ``multiline`` accepts line breaks inside quoted fields, at the price of reading each
-    file in a single task.
+    file in a single task. Without it such a record comes apart into lines of the wrong
+    length; ``keep_corrupt`` keeps those in ``_corrupt_record``.
     """
-    return _read_csv(spark, paths, EVENT_CSV, pattern, multiline)
+    return _read_csv(spark, paths, EVENT_CSV, pattern, multiline, keep_corrupt)
 
 
 def read_consolidated(
     spark: SparkSession,
     paths: str | Sequence[str],
     *,
-    pattern: str | None = "*.csv",
+    pattern: str | None = None,
     multiline: bool = False,
 ) -> DataFrame:
     """The consolidated event file set written by ``sinks.write_consolidated``."""
-    return _read_csv(spark, paths, CONSOLIDATED_CSV, pattern, multiline)
+    return _read_csv(spark, paths, CONSOLIDATED_CSV, pattern, multiline, False)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -108,22 +114,25 @@ def with_arrival(rows: DataFrame, name: str = "arrival") -> DataFrame:
 
 
 def scan_report(
-    spark: SparkSession, rows: DataFrame, path: str, *, pattern: str = "*.json"
+    spark: SparkSession, rows: DataFrame, path: str, *, pattern: str | None = None
 ) -> DataFrame:
     """One row per input file with its row count; files without rows count 0.
 
     ``rows`` is a scan of ``path``. The file list comes from a listing that never opens
     the files, and the counts are combined map-side, so one huge file costs no more
-    than its own scan. Files of zero bytes are not listed, as Spark never scans them.
+    than its own scan. Files of zero bytes, which Spark never scans, are listed by name.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    found = reader.load(path)
+    # the listing writes local names with an empty host, the scan without
+    listed = [(name.replace("file:///", "file:/", 1),) for name in found.inputFiles()]
+    names = spark.createDataFrame(listed, "file string")
+    sizes = found.select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
     counts = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
-    return files.join(counts, "file", "left").select(
-        "file", "bytes", F.coalesce("n", F.lit(0)).alias("rows")
+    return names.join(sizes, "file", "left").join(counts, "file", "left").select(
+        "file",
+        F.coalesce("bytes", F.lit(0)).alias("bytes"),
+        F.coalesce("n", F.lit(0)).alias("rows"),
     )

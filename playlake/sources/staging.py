@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clip_text, to_id
-from ..schemas import LOG_FILE, SONG_FILE, STAGING_EVENTS, STAGING_SONGS, TEXT_WIDTH
+from ..schemas import CORRUPT, FAULT, LOG_FILE, SONG_FILE, STAGING_EVENTS, STAGING_SONGS, TEXT_WIDTH
 from .readers import read_json
 
 
@@ -32,7 +32,7 @@ def read_mapped_json(
     paths: str | Sequence[str],
     mapping: Mapping[str, tuple[str, T.DataType]],
     *,
-    pattern: str | None = "*.json",
+    pattern: str | None = None,
 ) -> DataFrame:
     """JSON lines through a column map ``target: (json path, type)``.
 
@@ -55,7 +55,12 @@ def read_mapped_json(
     return read_json(spark, paths, _nested(tree), pattern=pattern).select(columns)
 
 
-def _typed(df: DataFrame, schema: T.StructType, clip: bool) -> DataFrame:
+FAULTY = (FAULT, CORRUPT)
+
+
+def _typed(
+    df: DataFrame, schema: T.StructType, clip: bool, extra: Sequence[str] = ()
+) -> DataFrame:
     def column(field: T.StructField):
         value = F.col(field.name)
         if isinstance(field.dataType, T.LongType):
@@ -64,7 +69,7 @@ def _typed(df: DataFrame, schema: T.StructType, clip: bool) -> DataFrame:
             value = clip_text(value, TEXT_WIDTH)
         return value.alias(field.name)
 
-    return df.select([column(f) for f in schema])
+    return df.select([column(f) for f in schema] + list(extra))
 
 
 def typed_events(rows: DataFrame, *, clip: bool = False) -> DataFrame:
@@ -78,14 +83,59 @@ def typed_songs(rows: DataFrame, *, clip: bool = True) -> DataFrame:
 
 
 def stage_events(
-    spark: SparkSession, paths: str | Sequence[str], *, clip: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    clip: bool = False,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Activity files as ``staging_events`` rows."""
-    return typed_events(read_json(spark, paths, LOG_FILE), clip=clip)
+    return typed_events(read_json(spark, paths, LOG_FILE, pattern=pattern), clip=clip)
 
 
 def stage_songs(
-    spark: SparkSession, paths: str | Sequence[str], *, clip: bool = True
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    clip: bool = True,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Song files as ``staging_songs`` rows."""
-    return typed_songs(read_json(spark, paths, SONG_FILE), clip=clip)
+    return typed_songs(read_json(spark, paths, SONG_FILE, pattern=pattern), clip=clip)
+
+
+def with_fault(
+    rows: DataFrame, required: Sequence[str] = (), numbers: Sequence[str] = ()
+) -> DataFrame:
+    """Adds ``fault``: why a row can't be loaded, or NULL.
+
+    A row is at fault if its line was malformed (``_corrupt_record``, where the scan kept it),
+    a ``required`` column is NULL, or one of ``numbers`` holds text that is no whole number.
+    """
+    reasons = [F.when(F.col(c).isNull(), f"{c} must not be null") for c in required]
+    reasons += [F.when(to_id(c).isNull(), f"{c} must be a whole number") for c in numbers]
+    if CORRUPT in rows.columns:
+        reasons.insert(0, F.when(F.col(CORRUPT).isNotNull(), "malformed line"))
+    return rows.withColumn(FAULT, F.coalesce(*reasons, F.lit(None).cast("string")))
+
+
+def refuse_faults(rows: DataFrame) -> DataFrame:
+    """Rows of ``with_fault``; the job that reads them fails on the first one at fault."""
+    told = F.raise_error(F.concat(F.lit("cannot load: "), F.col(FAULT))).cast("boolean")
+    return rows.filter(F.when(F.col(FAULT).isNull(), True).otherwise(told)).drop(FAULT, CORRUPT)
+
+
+def checked_events(
+    spark: SparkSession, paths: str | Sequence[str], *, pattern: str | None = None
+) -> DataFrame:
+    """Activity files as ``staging_events`` rows with their ``fault`` and malformed lines."""
+    raw = read_json(spark, paths, LOG_FILE, pattern=pattern, keep_corrupt=True)
+    return _typed(with_fault(raw, STAGING_EVENTS.required), STAGING_EVENTS.schema, False, FAULTY)
+
+
+def checked_songs(
+    spark: SparkSession, paths: str | Sequence[str], *, pattern: str | None = None
+) -> DataFrame:
+    """Song files as ``staging_songs`` rows with their ``fault`` and malformed lines."""
+    raw = read_json(spark, paths, SONG_FILE, pattern=pattern, keep_corrupt=True)
+    return _typed(with_fault(raw, STAGING_SONGS.required), STAGING_SONGS.schema, True, FAULTY)

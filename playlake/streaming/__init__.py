@@ -1,5 +1,7 @@
 from .incremental import (
+    activity_tables,
     append_batch,
+    claim,
     each_new_file,
     load_activity_files,
     merge_users_batch,
@@ -8,6 +10,6 @@ from .incremental import (
 )
 
 __all__ = [
-    "append_batch", "each_new_file", "load_activity_files", "merge_users_batch", "read_batches",
+    "activity_tables", "append_batch", "claim", "each_new_file", "load_activity_files", "merge_users_batch", "read_batches",
     "users_now",
 ]

@@ -6,6 +6,7 @@ a failure and therefore replaces what it wrote for that batch number instead of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -16,7 +17,13 @@ from pyspark.sql import types as T
 from ..operators import plays
 from ..plans import star
 from ..schemas import LOG_FILE, SONGPLAY, STAGING_EVENTS, TIME, USERS, Table
-from ..sources import current_version, read_version, typed_events, write_version
+from ..sources import (
+    current_version,
+    expire_versions,
+    read_version,
+    typed_events,
+    write_version,
+)
 from ..workspace import at_once
 
 Handler = Callable[[DataFrame, int], None]
@@ -24,8 +31,11 @@ Handler = Callable[[DataFrame, int], None]
 _BATCH = T.StructField("batch", T.LongType())
 _SEQ = T.StructType([STAGING_EVENTS.schema[c] for c in star.ARRIVAL])
 
+_COMMIT = T.StructType([_BATCH])
 ID_END = Table("songplay_end", T.StructType([T.StructField("next_id", T.LongType())]))
 
+OWNER = Table("owner", T.StructType([T.StructField("id", T.StringType())]))
+
 USER_STATES = Table(
     "user_states",
     T.StructType([
@@ -44,18 +54,16 @@ def each_new_file(
     checkpoint: str,
     handler: Handler,
     *,
-    pattern: str = "*.json",
+    pattern: str | None = None,
     files_per_batch: int | None = None,
 ) -> None:
     """Hand all files not seen before to ``handler(rows, batch number)`` and stop.
 
     ``checkpoint`` remembers the files; a run that finds no new ones does nothing.
     """
-    reader = (
-        spark.readStream.schema(schema)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-    )
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     (
@@ -74,11 +82,34 @@ def append_batch(rows: DataFrame, path: str, batch: int) -> None:
 
 
 def read_batches(
-    spark: SparkSession, path: str, table: Table
+    spark: SparkSession, path: str, table: Table, up_to: int | None = None
 ) -> DataFrame:
-    """The rows of all batches of a dataset."""
+    """The rows of all batches of a dataset, or of those up to a batch number."""
     schema = T.StructType([*table.schema.fields, _BATCH])
-    return spark.read.schema(schema).parquet(path).select(table.columns)
+    rows = spark.read.schema(schema).parquet(path)
+    if up_to is not None:
+        rows = rows.filter(F.col("batch") <= up_to)
+    return rows.select(table.columns)
+
+
+def _owner(spark: SparkSession, base: str) -> str | None:
+    last = current_version(spark, f"{base}/owner")
+    return None if last is None else read_version(spark, f"{base}/owner", OWNER, last).first()["id"]
+
+
+def claim(spark: SparkSession, out: str, checkpoint: str) -> None:
+    """Tie an output to the progress folder that numbers its batches.
+
+    With another progress folder numbering begins anew, and batch 0 would replace the output's
+    batch 0: that is refused. Both folders keep the same id.
+    """
+    mine, theirs = _owner(spark, checkpoint), _owner(spark, out)
+    if theirs is not None and mine != theirs:
+        raise ValueError(f"{out} holds batches of another progress folder than {checkpoint}")
+    if theirs is None:
+        name = mine or uuid.uuid4().hex
+        for base in ([] if mine else [checkpoint]) + [out]:
+            write_version(spark.createDataFrame([(name,)], OWNER.schema), f"{base}/owner", 0)
 
 
 def merge_users_batch(log: DataFrame, base: str, batch: int) -> None:
@@ -95,9 +126,9 @@ def merge_users_batch(log: DataFrame, base: str, batch: int) -> None:
     write_version(states, base, batch)
 
 
-def users_now(spark: SparkSession, base: str) -> DataFrame:
-    """The users table as of the last merged batch."""
-    version = current_version(spark, base)
+def users_now(spark: SparkSession, base: str, up_to: int | None = None) -> DataFrame:
+    """The users table as of the last merged batch, or of the last one up to a batch number."""
+    version = current_version(spark, base, before=None if up_to is None else up_to + 1)
     if version is None:
         raise ValueError(f"no completed version below {base}")
     return read_version(spark, base, USER_STATES, version).select(USERS.columns)
@@ -124,9 +155,13 @@ def load_activity_files(
     checkpoint: str,
     *,
     files_per_batch: int | None = None,
+    pattern: str | None = "*.json",
 ) -> dict[str, DataFrame]:
     """New activity files to users, time and songplay below ``out``, under the ``keyed`` rules.
 
+    A batch counts once all three tables have it: what is returned ends with the last batch
+    noted in ``out/commits``. ``out`` belongs to ``checkpoint`` from the first run on (``claim``).
+
     ``catalog`` must be complete before: a play whose song arrives later stays unresolved.
     Song play ids go on from the rows of earlier batches.
     """
@@ -141,17 +176,37 @@ def load_activity_files(
             star.log_times(log, precision="ms"), distinct=False, style="mon0"
         )
         fact = star.songplays(log, catalog, match="first", precision="ms")
+        session = raw.sparkSession
         at_once(
             partial(merge_users_batch, log, f"{out}/users", batch),
             partial(append_batch, times, f"{out}/time", batch),
             partial(_append_numbered, fact, out, batch),
         )
+        write_version(session.createDataFrame([(batch,)], _COMMIT), f"{out}/commits", batch)
+        # the batch before stays for readers that have begun, and for a replay of this one
+        for versioned in ("users", "songplay_end", "commits"):
+            expire_versions(session, f"{out}/{versioned}", keep=3)
 
+    claim(spark, out, checkpoint)
     each_new_file(
-        spark, source, LOG_FILE, checkpoint, handler, files_per_batch=files_per_batch
+        spark,
+        source,
+        LOG_FILE,
+        checkpoint,
+        handler,
+        pattern=pattern,
+        files_per_batch=files_per_batch,
     )
+    return activity_tables(spark, out)
+
+
+def activity_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The tables of ``load_activity_files`` as of the last batch that all of them have."""
+    last = current_version(spark, f"{out}/commits")
+    if last is None:
+        raise ValueError(f"no completed batch below {out}")
     return {
-        USERS.name: users_now(spark, f"{out}/users"),
-        TIME.name: read_batches(spark, f"{out}/time", TIME),
-        SONGPLAY.name: read_batches(spark, f"{out}/songplay", SONGPLAY),
+        USERS.name: users_now(spark, f"{out}/users", last),
+        TIME.name: read_batches(spark, f"{out}/time", TIME, last),
+        SONGPLAY.name: read_batches(spark, f"{out}/songplay", SONGPLAY, last),
     }

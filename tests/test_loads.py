@@ -7,6 +7,7 @@ from playlake.schemas import KEYED, STAR, STAGING_EVENTS
 from playlake.sources import read_json, typed_events
 from playlake.schemas import LOG_FILE
 from playlake.streaming import (
+    activity_tables,
     append_batch,
     each_new_file,
     load_activity_files,
@@ -168,8 +169,59 @@ def test_incremental_and_batch_loads_agree(spark, raw, tmp_path):
     assert rows(found["songplay"], "songplay_id") == [(1,), (2,), (3,)]
 
 
-def test_corrupt_lines_do_not_stop_a_load(spark, tmp_path):
+def test_corrupt_lines_do_not_stop_a_scan(spark, tmp_path):
     add_file(tmp_path / "in", "a.json", {"ts": 1})
     with (tmp_path / "in" / "a.json").open("a") as f:
         f.write("{broken\n")
     assert read_json(spark, str(tmp_path / "in"), LOG_FILE).count() == 2
+
+
+def test_broken_lines_fail_a_load_or_are_set_aside(spark, tmp_path):
+    add_file(tmp_path / "log", "a.json", {"ts": 1, "itemInSession": 3}, {"ts": 2})
+    with (tmp_path / "log" / "a.json").open("a") as f:
+        f.write("{broken\n")
+    add_file(tmp_path / "songs", "s.json", {"song_id": "S1"})
+    paths = str(tmp_path / "songs"), str(tmp_path / "log")
+    with pytest.raises(Exception, match="cannot load"):
+        loads.stage(spark, *paths, str(tmp_path / "failed"))
+    out = str(tmp_path / "out")
+    events, songs = loads.stage(spark, *paths, out, bad="quarantine")
+    assert rows(events, "ts") == [(1,)] and songs.count() == 1
+    aside = spark.read.parquet(f"{out}/quarantine/staging_events")
+    assert rows(aside, "fault", "_corrupt_record") == [
+        ("itemInSession must not be null", None), ("malformed line", "{broken")
+    ]
+
+
+def test_bad_csv_rows_fail_a_load_or_are_set_aside(spark, tmp_path):
+    event_csv(tmp_path / "in" / "a.txt", {}, {4: "oops"}, {0: ""}, {13: "two\nlines", 4: "5"})
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    with pytest.raises(Exception, match="cannot load"):
+        loads.load_lookup_tables(spark, source, str(tmp_path / "failed"))
+    tables = loads.load_lookup_tables(spark, source, out, bad="quarantine")
+    assert rows(tables["session_library"], "item_in_session") == [(4,)]
+    faults = [r.fault for r in spark.read.parquet(f"{out}/quarantine/staging").collect()]
+    assert len(faults) == 3 and "itemInSession must be a whole number" in faults
+    whole = loads.load_lookup_tables(spark, source, str(tmp_path / "whole"), bad="quarantine", multiline=True)
+    assert rows(whole["session_library"], "item_in_session", "song_title") == [(4, "Song"), (5, "two\nlines")]
+
+
+def test_another_progress_folder_is_refused(spark, raw, tmp_path):
+    catalog, out = data.songs(spark, *SONGS), str(tmp_path / "inc")
+    found = load_activity_files(spark, raw[1], catalog, out, str(tmp_path / "progress"))
+    with pytest.raises(ValueError, match="another progress folder"):
+        load_activity_files(spark, raw[1], catalog, out, str(tmp_path / "anew"))
+    again = load_activity_files(spark, raw[1], catalog, out, str(tmp_path / "progress"))
+    for name in found:
+        assert rows(found[name]) == rows(again[name])
+
+
+def test_a_batch_that_not_all_tables_have_is_not_read(spark, raw, tmp_path):
+    catalog, out = data.songs(spark, *SONGS), str(tmp_path / "inc")
+    before = load_activity_files(spark, raw[1], catalog, out, str(tmp_path / "progress"))
+    seen = {name: rows(df) for name, df in before.items()}
+    # the next batch dies between two tables
+    log = typed_events(data.log(spark, {"userId": "77", "ts": 5}))
+    merge_users_batch(log, f"{out}/users", 7)
+    append_batch(spark.read.parquet(f"{out}/time/batch=0"), f"{out}/time", 7)
+    assert {name: rows(df) for name, df in activity_tables(spark, out).items()} == seen

@@ -123,13 +123,15 @@ def test_the_last_row_of_a_key_wins_in_lookup_tables(spark):
         {"sessionId": None, "itemInSession": 2, "ts": 4},
         {"sessionId": 338, "itemInSession": 9, "userId": "", "song": "old", "ts": 5},
     )
-    sessions = keyed.session_library(log, ["ts"])
+    with pytest.raises(Exception, match="session_id must not be null"):
+        keyed.session_library(log, ["ts"]).collect()
+    sessions = keyed.session_library(log, ["ts"], incomplete="drop")
     assert rows(keyed.session_item(sessions, 338, 4), "artist", "song_title") == [("Elena", "new")]
     assert sessions.count() == 3
-    activity = keyed.user_activity(log, ["ts"])
+    activity = keyed.user_activity(log, ["ts"], incomplete="drop")
     found = [r.song_title for r in keyed.session_songs(activity, 8, 338).collect()]
     assert found == ["second", "new"]
-    library = keyed.song_library(log, ["ts"])
+    library = keyed.song_library(log, ["ts"], incomplete="drop")
     assert rows(keyed.listeners(library, "old")) == [("Lily Koch",)]
     for df, table in (
         (sessions, SESSION_LIBRARY), (activity, USER_ACTIVITY), (library, SONG_LIBRARY)
@@ -235,3 +237,22 @@ def test_preview_is_ordered(spark):
     assert [r.id for r in reports.preview(spark.range(100).repartition(7), ["id"]).collect()] == [
         0, 1, 2, 3, 4
     ]
+
+
+def test_a_blank_name_leaves_its_part_of_the_user_blank(spark):
+    log = data.log(spark, {"lastName": None}, {"firstName": None, "userId": "9"})
+    assert rows(keyed.user_activity(log, ["ts"]), "user") == [(" Koch",), ("Lily ",)]
+
+
+def test_the_first_match_goes_by_the_stored_artist(spark):
+    catalog = data.songs(
+        spark,
+        {"song_id": "S1", "artist_id": "A1", "artist_name": "Elena", "title": "one", "duration": 1.5},
+        {"song_id": "S2", "artist_id": "A1", "artist_name": "Elena feat. X", "title": "two", "duration": 1.5},
+    )
+    log = data.log(
+        spark,
+        {"song": "two", "artist": "Elena", "length": 1.5},
+        {"song": "two", "artist": "Elena feat. X", "length": 1.5, "userId": "9"},
+    )
+    assert rows(star.songplays(log, catalog, match="first"), "user_id", "song_id") == [(8, "S2")]

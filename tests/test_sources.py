@@ -1,4 +1,5 @@
 import csv
+import gzip
 import json
 
 import pytest
@@ -21,12 +22,12 @@ def test_json_is_found_at_any_depth_and_other_files_are_not(spark, tmp_path):
     write_lines(tmp_path / "a.json", {"ts": 1, "userId": "7"})
     write_lines(tmp_path / "2018" / "11" / "b.json", {"ts": 2, "registration": 1.5e12})
     write_lines(tmp_path / "2018" / "notes.txt", {"ts": 3})
-    df = sources.read_json(spark, str(tmp_path), LOG_FILE)
+    df = sources.read_json(spark, str(tmp_path), LOG_FILE, pattern="*.json")
     assert df.columns == LOG_FILE.fieldNames()
     assert rows(df, "ts", "userId", "registration") == [(1, "7", None), (2, None, 1.5e12)]
-    everything = sources.read_json(spark, str(tmp_path), LOG_FILE, pattern=None)
+    everything = sources.read_json(spark, str(tmp_path), LOG_FILE)
     assert everything.count() == 3
-    level = sources.read_json(spark, str(tmp_path / "*" / "*"), LOG_FILE)
+    level = sources.read_json(spark, str(tmp_path / "*" / "*"), LOG_FILE, pattern="*.json")
     assert rows(level, "ts") == [(2,)]
 
 
@@ -75,9 +76,21 @@ def test_staging_types_and_clips(spark, tmp_path):
 def test_scan_report_counts_files_without_rows_too(spark, tmp_path):
     write_lines(tmp_path / "in" / "a b.json", {"ts": 1}, {"ts": 2})
     (tmp_path / "in" / "blank.json").write_text("\n")
+    (tmp_path / "in" / "zero").write_text("")
     path = str(tmp_path / "in")
     report = sources.scan_report(spark, sources.read_json(spark, path, LOG_FILE), path)
-    assert sorted(r["rows"] for r in report.collect()) == [0, 2]
+    found = {r["file"].rsplit("/", 1)[1]: (r["bytes"] > 0, r["rows"]) for r in report.collect()}
+    assert found == {"a%20b.json": (True, 2), "blank.json": (True, 0), "zero": (False, 0)}
+
+
+def test_every_file_below_a_prefix_is_staged(spark, tmp_path):
+    write_lines(tmp_path / "a.json", {"song_id": "S1"})
+    write_lines(tmp_path / "deep" / "part-0001", {"song_id": "S2"})
+    with gzip.open(tmp_path / "deep" / "c.json.gz", "wt") as f:
+        f.write('{"song_id": "S3"}\n')
+    assert rows(sources.stage_songs(spark, str(tmp_path)), "song_id") == [("S1",), ("S2",), ("S3",)]
+    assert rows(sources.stage_songs(spark, str(tmp_path / "d*")), "song_id") == [("S2",), ("S3",)]
+    assert rows(sources.stage_songs(spark, str(tmp_path), pattern="*.json"), "song_id") == [("S1",)]
 
 
 EVENT = ["Elena", "Logged In", "Lily", "F", "4", "Koch", "269.5", "paid", "Chicago, IL", "PUT",
