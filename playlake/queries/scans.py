@@ -23,6 +23,7 @@ from ..workspace import scratch_path
 from .registry import query
 from .roles import (
     LOG_COLUMNS_SQL,
+    activity,
     catalog,
     event_log,
     raw_files,
@@ -81,12 +82,21 @@ def scan_json_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-@query("SELECT CAST(count(*) AS BIGINT) AS total_rows FROM lineitem")
+@query("""
+SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(3 AS BIGINT) AS files,
+       CAST(1 AS BIGINT) AS empty_files FROM lineitem
+""")
 def scan_files_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = raw_files(spark, sf_dir, "activity")
+    """Two files with rows, and one without any."""
+    path = scratch_path(spark, "report")
+    log = activity(spark, sf_dir).select(LOG_FILE.fieldNames())
+    log.repartition(2).write.json(f"{path}/log")
+    spark.range(1).select(F.lit("").alias("value")).coalesce(1).write.text(f"{path}/blank")
     rows = sources.read_json(spark, path, LOG_FILE)
     return sources.scan_report(spark, rows, path).agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows")
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
+        F.count("*").alias("files"),
+        F.count_if(F.col("rows") == 0).alias("empty_files"),
     )
 
 
