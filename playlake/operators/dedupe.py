@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_RANK, _MOMENT, _TASK, _KEY, _LATEST = "__rank", "__moment", "__task", "__key", "__latest"
+_RANK, _KEY, _LATEST = "__rank", "__key", "__latest"
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str | Column] | None = None) -> DataFrame:
@@ -20,40 +20,33 @@ def distinct_rows(df: DataFrame, columns: Sequence[str | Column] | None = None)
     return (df.select(*columns) if columns else df).distinct()
 
 
-def _best(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ties: bool) -> DataFrame:
+def _best(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     # The ranking sorts by the keys as listed; numbers first makes most comparisons cheap.
     kinds = dict(df.dtypes)
     listed = sorted(keys, key=lambda c: kinds.get(c) == "string")
-    rank = (F.rank() if ties else F.row_number()).over(
-        Window.partitionBy(*listed).orderBy(*order)
-    )
+    rank = F.row_number().over(Window.partitionBy(*listed).orderBy(*order))
     return df.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """The row of each key that arrived first; ``seq`` orders rows by arrival."""
-    return _best(df, keys, [F.asc(c) for c in seq], ties=False)
+    return _best(df, keys, [F.asc(c) for c in seq])
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """The row of each key that arrived last, as in a store where a write replaces its key."""
-    return _best(df, keys, [F.desc(c) for c in seq], ties=False)
+    return _best(df, keys, [F.desc(c) for c in seq])
 
 
 def _all_latest(known: DataFrame, key: str, ts: Column) -> DataFrame:
     """Tied rows cannot be pruned to a few, so they must not meet in one task.
 
-    Each task first drops what is not latest among its own rows of a key; what is left is
-    joined with the keys' greatest times, a join that adaptive execution can split even
+    The greatest times are counted from two columns and combined per task before their shuffle;
+    the rows are joined with them by key and time. That join adaptive execution can split even
     where copies of a single row make up most of it.
     """
-    moments = known.withColumn(_MOMENT, ts)
-    own = moments.withColumn(_TASK, F.spark_partition_id())
-    candidates = _best(own, [key, _TASK], [F.desc(_MOMENT)], ties=True)
-    latest = moments.groupBy(F.col(key).alias(_KEY)).agg(F.max(_MOMENT).alias(_LATEST))
-    return candidates.join(
-        latest, (F.col(key) == F.col(_KEY)) & (F.col(_MOMENT) == F.col(_LATEST))
-    ).select(known.columns)
+    latest = known.groupBy(F.col(key).alias(_KEY)).agg(F.max(ts).alias(_LATEST))
+    return known.join(latest, (F.col(key) == F.col(_KEY)) & (ts == F.col(_LATEST))).select(known.columns)
 
 
 def latest_per_key(
@@ -76,4 +69,4 @@ def latest_per_key(
     known = df.filter(F.col(key).isNotNull() & ts.isNotNull())
     if ties == "all":
         return _all_latest(known, key, ts)
-    return _best(known, [key], [ts.desc(), *(F.desc(c) for c in tie_break)], ties=False)
+    return _best(known, [key], [ts.desc(), *(F.desc(c) for c in tie_break)])

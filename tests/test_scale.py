@@ -47,10 +47,8 @@ def test_per_key_choices_prune_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 3 AS k", "id AS seq", "'x' AS v")
     for chosen in (
         first_per_key(df, ["k"], ["seq"]),
-        latest_per_key(df, "k", "seq"),
         latest_per_key(df, "k", "seq", ties="one"),
         top_k_per_group(df, ["k"], ["v"], 5),
-        star.users_latest(logs(spark)),
     ):
         physical = plan(chosen).split("== Physical Plan ==")[1]
         partial = physical.index("Partial")
@@ -66,6 +64,15 @@ def test_aggregates_combine_before_the_shuffle(spark):
     assert "partial_count" in plan(top_k(df, ["k"], 2))
 
 
+def test_latest_rows_take_a_second_scan_of_two_columns_only(spark, tmp_path):
+    path = str(tmp_path / "log")
+    logs(spark).write.parquet(path)
+    physical = plan(star.users_latest(spark.read.parquet(path))).split("== Physical Plan ==")[1]
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", physical)
+    assert sorted(len(columns.split(",")) for columns in read) == [2, 6]
+    assert "partial_max" in physical and "SPARK_PARTITION_ID" not in physical
+
+
 def hot_song(spark, tmp_path):
     """A log with one song on a third of all lines, and a catalog, both as stored tables."""
     log = spark.range(300_000).selectExpr(
