@@ -40,7 +40,11 @@ def _store_with_position(df: DataFrame, path: str) -> DataFrame:
 
 
 def dense_key(
-    df: DataFrame, name: str, order: Sequence[str] | None = None, start: int = 1
+    df: DataFrame,
+    name: str,
+    order: Sequence[str] | None = None,
+    start: int = 1,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Consecutive ids from ``start``; without gaps, stored, so they never change.
 
@@ -52,9 +56,13 @@ def dense_key(
     Without ``order`` the rows keep the layout they have and are not shuffled. With
     ``order`` ids follow that order; equal rows are told apart by their stored position,
     so the range split stays even when a third of the rows share one order value.
+
+    The tables stay until their folder is deleted: one below ``spark.checkpoint.dir``, or
+    ``scratch``, which the caller can delete once the result is written.
     """
     spark = df.sparkSession
-    stored = _store_with_position(df, scratch_path(spark, "numbered"))
+    base = scratch or scratch_path(spark, "dense")
+    stored = _store_with_position(df, f"{base}/numbered")
     if order is not None:
         arrival = [f"{_PART}_in", f"{_POS}_in"]
         by = [*order, *arrival]
@@ -64,7 +72,7 @@ def dense_key(
             .sortWithinPartitions(*by)
             .drop(*arrival)
         )
-        stored = _store_with_position(ranged, scratch_path(spark, "ordered"))
+        stored = _store_with_position(ranged, f"{base}/ordered")
     sizes = stored.groupBy(_PART).agg(F.count("*").alias("n"))
     # One row per task that wrote the scratch table: a single-task window is enough.
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
@@ -83,15 +91,17 @@ def surrogate_key(
     *,
     columns: Sequence[str] | None = None,
     start: int = 1,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Add a surrogate key as the first column.
 
-    ``columns`` are the hashed columns of mode ``hash`` and the row order of mode ``dense``.
+    ``columns`` are the hashed columns of mode ``hash`` and the row order of mode ``dense``,
+    which keeps its tables below ``scratch``.
     """
     if mode == "sparse":
         return sparse_key(df, name)
     if mode == "hash":
         return hash_key(df, name, columns or df.columns)
     if mode == "dense":
-        return dense_key(df, name, columns, start)
+        return dense_key(df, name, columns, start, scratch)
     raise ValueError(f"mode must be sparse, hash or dense, not {mode!r}")

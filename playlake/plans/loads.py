@@ -13,6 +13,7 @@ Three presets give the same five tables under different rules:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -41,6 +42,7 @@ from ..sources import (
     FAULTY,
     checked_events,
     checked_songs,
+    delete_folder,
     read_event_csv,
     read_parquet,
     refuse_faults,
@@ -182,8 +184,8 @@ def _unnumbered(log: DataFrame, catalog: DataFrame, preset: str) -> dict[str, Da
     return tables
 
 
-def _numbered(fact: DataFrame, rules: Preset) -> DataFrame:
-    return star.keyed_songplays(fact, rules.key_mode, start=rules.key_start)
+def _numbered(fact: DataFrame, rules: Preset, scratch: str | None = None) -> DataFrame:
+    return star.keyed_songplays(fact, rules.key_mode, start=rules.key_start, scratch=scratch)
 
 
 def build_star(
@@ -241,11 +243,13 @@ def load_star(
     tables = _unnumbered(log, catalog, preset)
     if rules.unique_songs:
         assert_unique(tables[SONG.name], SONG.key)
+    scratch = f"{out}/_scratch"
 
     def write(table: Table) -> tuple[str, DataFrame]:
         rows, schema = tables[table.name], table.schema
         if table == SONGPLAY:
-            rows = _numbered(rows, rules)
+            # a folder of its own: a load that died may have left one
+            rows = _numbered(rows, rules, f"{scratch}/{uuid.uuid4().hex}")
             if rules.by_month:
                 rows, schema = star.with_year_month(rows), _month_columns(table)
         path = f"{out}/{table.name}"
@@ -254,6 +258,7 @@ def load_star(
 
     first = [SONG, ARTIST, USERS, SONGPLAY, *([] if rules.time_of_fact else [TIME])]
     written = dict(at_once(*(partial(write, table) for table in first)))
+    delete_folder(spark, scratch)
     if rules.time_of_fact:
         tables[TIME.name] = star.time_dimension(
             written[SONGPLAY.name], distinct=rules.distinct_time, style=rules.weekday

@@ -194,12 +194,16 @@ def songplay_columns(resolved: DataFrame, precision: str = "s") -> DataFrame:
 
 
 def keyed_songplays(
-    fact: DataFrame, mode: str = "sparse", order: Sequence[str] | None = None, start: int = 1
+    fact: DataFrame,
+    mode: str = "sparse",
+    order: Sequence[str] | None = None,
+    start: int = 1,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Fact rows with ``songplay_id``; see ``operators.surrogate_key`` for the modes."""
-    return surrogate_key(fact, "songplay_id", mode, columns=order, start=start).select(
-        SONGPLAY.columns
-    )
+    return surrogate_key(
+        fact, "songplay_id", mode, columns=order, start=start, scratch=scratch
+    ).select(SONGPLAY.columns)
 
 
 def with_year_month(fact: DataFrame) -> DataFrame:

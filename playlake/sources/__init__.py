@@ -9,6 +9,7 @@ from .readers import (
 from .sinks import (
     create_tables,
     current_version,
+    delete_folder,
     drop_tables,
     expire_versions,
     insert_into,
@@ -34,7 +35,7 @@ from .staging import (
 
 __all__ = [
     "FAULTY", "checked_events", "checked_songs", "refuse_faults", "with_fault",
-    "create_tables", "current_version", "drop_tables", "expire_versions", "insert_into",
+    "create_tables", "current_version", "delete_folder", "drop_tables", "expire_versions", "insert_into",
     "read_consolidated", "read_event_csv", "read_json", "read_mapped_json", "read_parquet",
     "read_version", "reset_tables", "scan_report", "stage_events", "stage_songs", "typed_events",
     "typed_songs", "with_arrival", "write_consolidated", "write_keyed", "write_parquet",

@@ -143,7 +143,11 @@ def read_version(spark: SparkSession, base: str, table: Table, version: int) ->
 
 def expire_versions(spark: SparkSession, base: str, keep: int = 2) -> None:
     """Delete all but the newest ``keep`` completed versions."""
-    jvm = spark._jvm
     for version in _versions(spark, base)[:-keep] if keep > 0 else []:
-        path = jvm.org.apache.hadoop.fs.Path(_version_path(base, version))
-        path.getFileSystem(_hadoop_conf(spark)).delete(path, True)
+        delete_folder(spark, _version_path(base, version))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all its files, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(_hadoop_conf(spark)).delete(folder, True)

@@ -19,6 +19,7 @@ from ..plans import star
 from ..schemas import LOG_FILE, SONGPLAY, STAGING_EVENTS, TIME, USERS, Table
 from ..sources import (
     current_version,
+    delete_folder,
     expire_versions,
     read_version,
     typed_events,
@@ -140,7 +141,10 @@ def _append_numbered(fact: DataFrame, out: str, batch: int) -> None:
     ends = f"{out}/songplay_end"
     last = current_version(spark, ends, before=batch)
     start = 1 if last is None else read_version(spark, ends, ID_END, last).first()["next_id"]
-    append_batch(star.keyed_songplays(fact, "dense", start=start), f"{out}/songplay", batch)
+    scratch = f"{out}/_scratch"
+    numbered = star.keyed_songplays(fact, "dense", start=start, scratch=f"{scratch}/{uuid.uuid4().hex}")
+    append_batch(numbered, f"{out}/songplay", batch)
+    delete_folder(spark, scratch)
     rows = spark.read.schema(SONGPLAY.schema).parquet(f"{out}/songplay/batch={batch}")
     write_version(
         rows.agg((F.count("*") + start).alias("next_id")), ends, batch

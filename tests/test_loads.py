@@ -97,6 +97,14 @@ def test_loading_again_gives_the_same_tables(spark, raw, preset):
     assert songs == {"S1", "S2", "S3"}
 
 
+def test_a_load_leaves_nothing_but_its_tables(spark, raw, tmp_path):
+    for preset in ("keyed", "warehouse"):
+        out = tmp_path / preset
+        loads.load_star(spark, *raw[:2], str(out), preset)
+        names = {t.name for t in STAR} | {"staging_events", "staging_songs"}
+        assert {p.name for p in out.iterdir()} == names
+
+
 def test_lookup_tables_from_event_files(spark, tmp_path):
     event_csv(tmp_path / "in" / "a.csv", {13: "first"}, {13: "second"}, {0: ""})
     event_csv(tmp_path / "in" / "b.csv", {4: "2", 13: "third"}, {16: "9", 13: "second"})
