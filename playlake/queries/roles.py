@@ -9,8 +9,6 @@ Each role is given as a DataFrame and as a SQL common table expression.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -198,10 +196,9 @@ def with_roles(names: str, body: str) -> str:
     return "WITH " + ",\n".join(_CTES[n] for n in names.split()) + "\n" + body
 
 
-@cache
 def raw_files(spark: SparkSession, sf_dir: str, role: str) -> str:
     """The ``catalog`` or ``activity`` role as JSON files, or as ``event_csv`` files that name
-    the artist on plays only; written once per session."""
+    the artist on plays only."""
     path = scratch_path(spark, f"raw-{role}")
     if role == "catalog":
         catalog(spark, sf_dir).select(SONG_FILE.fieldNames()).write.json(path)

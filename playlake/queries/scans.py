@@ -148,6 +148,14 @@ def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_parquet(spark, path, TIME.schema).select(TIME.columns)
 
 
+@query(with_roles("catalog", "SELECT DISTINCT song_id, title, artist_id, year, duration FROM catalog"))
+def songs_by_year_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Songs in one folder for each year and artist, as the lake lays them out by id."""
+    path = scratch_path(spark, "song")
+    sources.write_parquet(star.songs(catalog(spark, sf_dir)), path, partition_by=["year", "artist_id"])
+    return sources.read_parquet(spark, path, SONG.schema).select(SONG.columns)
+
+
 @query(with_roles("catalog", """
 SELECT DISTINCT artist_id, artist_name AS name, artist_location AS location,
        artist_latitude AS latitude, artist_longitude AS longitude
@@ -182,11 +190,11 @@ UNION ALL
 SELECT c_custkey, 'second', c_name, 'M', c_mktsegment FROM customer
 """)
 def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reset the catalog tables, insert from one query, append another, read, drop the rest."""
+    """Reset the catalog tables, insert from one query, append another, drop, read what stays."""
     root = scratch_path(spark, "catalog")
-    database = "playlake_" + root.rsplit("-", 1)[1]
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
-    sources.reset_tables(spark, STAR, database, root)
+    database, tables = "playlake_" + root.rsplit("-", 1)[1], f"{root}/tables"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    sources.reset_tables(spark, STAR, database, tables)
     sources.insert_into(
         table(spark, sf_dir, "orders").select(
             F.col("o_custkey").alias("user_id"),
@@ -209,6 +217,6 @@ def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
         USERS,
         database,
     )
-    rows = spark.table(f"{database}.users")
-    sources.drop_tables(spark, [t for t in STAR if t != USERS], database)
-    return rows
+    sources.drop_tables(spark, STAR, database)
+    spark.sql(f"DROP DATABASE {database}")
+    return sources.read_parquet(spark, f"{tables}/{USERS.name}", USERS.schema)

@@ -103,7 +103,10 @@ class Table:
         return self.schema.fieldNames()
 
     def ddl(self) -> str:
-        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+        return ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" + " NOT NULL" * (f.name in self.required)
+            for f in self.schema
+        )
 
 
 SONGPLAY = Table(
