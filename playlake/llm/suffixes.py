@@ -29,9 +29,9 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import StringType
 
-from .frames import spread, take
+from .frames import compressed, spread, take
 
 SPAN = 50
 PIECE = 24  # bytes hashed for an anchor
@@ -76,11 +76,15 @@ def _anchors(data: np.ndarray, span: int) -> np.ndarray:
     return (low & ~np.uint64(255)).view(np.int64)
 
 
-@F.arrow_udf(BinaryType())
-def packed(texts: pa.Array) -> pa.Array:
-    """Texts as compressed bytes, which halves what is shuffled; null and empty ones as they are."""
-    pack = zstandard.ZstdCompressor().compress
-    return pa.array([pack(t) if t else t for t in texts.cast(pa.large_binary()).to_pylist()], pa.binary())
+def _anchors_at(data: bytes, starts: np.ndarray, span: int) -> np.ndarray:
+    """The anchors of some windows, given in order."""
+    whole = np.frombuffer(data, np.uint8)
+    found = [np.zeros(0, np.int64)]
+    for low in range(0, len(whole) - span + 1, SLICE):
+        a = _anchors(whole[low:low + SLICE + span - 1], span)
+        i, j = np.searchsorted(starts, (low, low + SLICE), "left")
+        found.append(a[starts[i:j] - low])
+    return np.concatenate(found)
 
 
 class Chunk:
@@ -205,8 +209,8 @@ def _bucket(anchors: np.ndarray, buckets: int) -> np.ndarray:
 ANCHORS = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("anchors", pa.list_(pa.int64()))])
 SHARED = pa.schema([("chunk", pa.int64()), ("anchors", pa.list_(pa.int64()))])
 STRINGS = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("number", pa.list_(pa.int32())),
-                     ("anchor", pa.list_(pa.int64())), ("size", pa.list_(pa.int32())),
-                     ("owner", pa.list_(pa.int64())), ("last", pa.list_(pa.int64())),
+                     ("size", pa.list_(pa.int32())), ("owner", pa.list_(pa.int64())),
+                     ("further", pa.list_(pa.int64())),
                      ("body", pa.binary())])
 OWNERS = pa.schema([("chunk", pa.int64()), ("number", pa.list_(pa.int32())),
                     ("windows", pa.list_(pa.int32())), ("owners", pa.list_(pa.int64()))])
@@ -274,9 +278,10 @@ def cut_strings(docs: pa.Table, shared: pa.Table, span: int, buckets: int) -> pa
               for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     return pa.Table.from_arrays([
         pa.array(keys, pa.int64()), pa.array(np.full(len(keys), docs["chunk"][0].as_py()), pa.int64()),
-        _lists(order, bounds, pa.int32()), _lists(anchor[order], bounds, pa.int64()),
-        _lists(size[order], bounds, pa.int32()), _lists(owner[order], bounds, pa.int64()),
-        _lists(last[order], bounds, pa.int64()), pa.array(joined, pa.binary())], schema=STRINGS)
+        _lists(order, bounds, pa.int32()), _lists(size[order], bounds, pa.int32()),
+        _lists(owner[order], bounds, pa.int64()),
+        # mostly 0: one document of the chunk has the string
+        _lists((last - owner)[order], bounds, pa.int64()), pa.array(joined, pa.binary())], schema=STRINGS)
 
 
 def _least(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -366,8 +371,8 @@ def _owners_of(strings: list[bytes], owner: np.ndarray, span: int) -> list[np.nd
 
 def sort_strings(rows: pa.Table, span: int) -> pa.Table:
     """Step 4: the owners of the windows of all strings of a bucket, for each chunk."""
-    size, anchor = _joined(rows, "size"), _joined(rows, "anchor")
-    owner, last, number = (_joined(rows, n) for n in ("owner", "last", "number"))
+    size, owner, further, number = (_joined(rows, n) for n in ("size", "owner", "further", "number"))
+    last = owner + further
     each = np.concatenate([np.diff(c.offsets.to_numpy()) for c in rows["number"].chunks])
     chunk = np.repeat(rows["chunk"].to_numpy(), each)
     body = b"".join(map(zstandard.ZstdDecompressor().decompress, rows["body"].to_pylist()))
@@ -379,8 +384,9 @@ def sort_strings(rows: pa.Table, span: int) -> pa.Table:
     strings = list(numbers)
     least = np.full(len(strings), np.iinfo(np.int64).max)
     np.minimum.at(least, which, owner)
+    # strings that share a window have the same anchor in every window of theirs, so in the first
     group = np.zeros(len(strings), np.int64)
-    group[which] = anchor
+    group[which] = _anchors_at(body, ends - size, span)
     order = np.argsort(group, kind="stable")
     _, bounds = _bounds(group[order])
     owners: list[np.ndarray | None] = [None] * len(strings)
@@ -495,13 +501,16 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, chunk_bytes: int = CHUNK_B
     A null text has no bytes, and null is kept of it. A null id is in no order with others: such a row neither loses
     bytes nor makes others lose them. Rows with the same id don't take from each other. An empty
     table gives an empty table. Further columns are carried in ``rest``.
+
+    Each chunk of ``chunk_bytes`` of text sends a list to each group of anchors, and there are as
+    many groups as chunks: with far more data take larger chunks, 64 MB or more for 100 TB.
     """
     table = take(docs, "doc_id", "text", rest="rest", without="text")
     size = take(docs, "text").agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     chunks = max(1, -(-size // chunk_bytes))
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chunks // 16))
-    table = (table.select(F.col("doc_id").cast("long"), packed("text").alias("packed"), "rest",
+    table = (table.select(F.col("doc_id").cast("long"), compressed("text").alias("packed"), "rest",
                           F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"))
              .repartition(parts, "chunk"))
     anchors = (table.groupBy("chunk")
