@@ -57,7 +57,7 @@ def scan_json_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
         T.StructField("event_id", T.LongType()),
         *(LOG_FILE[c] for c in ("ts", "userId", "page")),
     ])
-    return sources.read_json(spark, root, schema)
+    return sources.read_json(spark, root, schema, pattern="*.json")
 
 
 @query(with_roles(
