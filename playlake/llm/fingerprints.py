@@ -15,11 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from .frames import take
+from .frames import compressed, take
 from .words import run_hashes, word_hashes
 
 K = 128
@@ -136,8 +137,9 @@ def _bucketed(docs: DataFrame, buckets: int) -> DataFrame:
             rows.append(here)
         return pa.array(rows, pa.list_(pa.struct([("range", pa.int32()), ("guest", pa.bool_())])))
 
-    return (ranged.withColumn("at", F.explode(places("doc_id", "range")))
-            .select("doc_id", "text", "at.range", "at.guest"))
+    return (ranged.select("doc_id", compressed("text").alias("packed"), F.xxhash64("text").alias("tie"),
+                          F.explode(places("doc_id", "range")).alias("at"))
+            .select("doc_id", "packed", "tie", "at.range", "at.guest"))
 
 
 FINGERPRINTED = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
@@ -165,13 +167,13 @@ def _compared(batches: Iterator[pa.RecordBatch], k: int, width: int) -> Iterator
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, FINGERPRINTED, strict=True)],
                                           schema=FINGERPRINTED)
 
-    place = None
+    place, unpack = None, zstandard.ZstdDecompressor().decompress
     for part in batches:
-        for doc_id, text, where, guest in zip(*[c.to_pylist() for c in part.columns], strict=True):
-            text = text or ""
+        for doc_id, packed, where, guest in zip(*[c.to_pylist() for c in part.columns], strict=True):
             if where == place and waiting is None:
                 continue  # a further copy of the guest
-            this = (doc_id, text, sketch(text.encode(), k, width))
+            data = unpack(packed) if packed else b""
+            this = (doc_id, data.decode(), sketch(data, k, width))
             if where == place:
                 rows.append(compared(waiting, this))
             place, waiting = where, None if guest else this
@@ -201,8 +203,8 @@ def compare_with_edited(docs: DataFrame, k: int = K, width: int = SHINGLE, rows_
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(8 * parts, -(-table.count() // rows_per_range))
     sorted_rows = (_bucketed(table, buckets).repartition(parts, "range")
-                   .sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
-                   .select("doc_id", "text", "range", "guest"))
+                   .sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), "tie")
+                   .select("doc_id", "packed", "range", "guest"))
     types = {pa.int64(): "long", pa.string(): "string", pa.float64(): "double"}
     return sorted_rows.mapInArrow(lambda b: _compared(b, k, width),
                                   ", ".join(f"{f.name} {types[f.type]}" for f in FINGERPRINTED))
