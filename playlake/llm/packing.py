@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import take
+from .frames import stored, take
 from .mixing import n_words
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
@@ -89,13 +89,13 @@ def packed(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, group_pieces: in
     packed like others. An empty table gives an empty one. Further columns don't matter.
     """
     longest = max(lengths)
-    sized = take(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), n_words(F.col("text")).alias("size"),
-                                                F.xxhash64("text").alias("tie"))
+    sized = stored(take(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie")), "lengths")
     pieces = (sized.where("size > 0")
               .withColumn("piece", F.explode(F.sequence(F.lit(0), F.expr(f"cast((size - 1) div {longest} as int)"))))
               .withColumn("first_word", F.col("piece").cast("long") * longest)
               .withColumn("n_words", F.least(F.col("size") - F.col("first_word"), F.lit(longest).cast("long"))))
-    groups = max(1, -(-docs.count() // group_pieces))
+    groups = max(1, -(-sized.count() // group_pieces))
     dealt = pieces.select("doc_id", "piece", "first_word", "n_words", "tie",
                           F.pmod(F.xxhash64("doc_id", "piece", "tie"), F.lit(groups)).alias("group"))
     kinds = {pa.int32(): "int", pa.int64(): "long"}
