@@ -103,9 +103,7 @@ def load_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.load_report({t.name: (tables[t.name], list(t.key)) for t in KEYED})
 
 
-def _half(spark: SparkSession, path: str) -> int:
-    """Half the number of files below a path, for runs of two batches."""
-    return -(-len(spark.read.text(path).inputFiles()) // 2)
+FILES_PER_BATCH = 2
 
 
 @query(with_roles("activity", """
@@ -120,7 +118,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         LOG_FILE,
         scratch_path(spark, "progress"),
         lambda rows, batch: append_batch(typed_events(rows), out, batch),
-        files_per_batch=_half(spark, source),
+        files_per_batch=FILES_PER_BATCH,
     )
     return read_batches(spark, out, STAGING_EVENTS).select(
         "sessionId", "itemInSession", "ts", "page", "song", "artist", "userId"
@@ -145,7 +143,7 @@ def incremental_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         LOG_FILE,
         scratch_path(spark, "progress"),
         lambda rows, batch: merge_users_batch(plays(typed_events(rows)), out, batch),
-        files_per_batch=_half(spark, source),
+        files_per_batch=FILES_PER_BATCH,
     )
     return users_now(spark, out)
 
@@ -164,7 +162,7 @@ def incremental_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         catalog(spark, sf_dir),
         scratch_path(spark, "star-incremental"),
         scratch_path(spark, "progress"),
-        files_per_batch=_half(spark, source),
+        files_per_batch=FILES_PER_BATCH,
     )
     return quality.load_report({
         t.name: (tables[t.name], list(t.key)) for t in STAR if t.name in tables
