@@ -115,30 +115,34 @@ def _bucketed(docs: DataFrame, buckets: int) -> DataFrame:
     bounds = np.unique(np.array(cuts, np.int64))
     last = len(bounds)  # range i holds ids from bounds[i - 1] + 1 to bounds[i]
 
-    @F.arrow_udf("int")
-    def range_of(ids: pa.Array) -> pa.Array:
+    def ranges(ids: pa.Array) -> np.ndarray:
         # null ids come after all others
         found = len(bounds) - np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False), "left")
-        return pa.array(np.where(ids.is_null().to_numpy(zero_copy_only=False), last + 1, found), pa.int32())
+        return np.where(ids.is_null().to_numpy(zero_copy_only=False), last + 1, found)
+
+    @F.arrow_udf("int")
+    def range_of(ids: pa.Array) -> pa.Array:
+        return pa.array(ranges(ids), pa.int32())
 
-    ranged = docs.withColumn("range", range_of("doc_id"))
     # one row per range
-    heads = {r["range"]: r["head"] for r in ranged.groupBy("range").agg(F.max("doc_id").alias("head")).collect()}
+    tops = docs.groupBy(range_of("doc_id").alias("range")).agg(F.max("doc_id").alias("head"))
+    heads = {r["range"]: r["head"] for r in tops.collect()}
     order = sorted(heads)
     before = {r: order[i - 1] for i, r in enumerate(order)}  # the first comes after the last
 
     @F.arrow_udf("array<struct<range:int,guest:boolean>>")
-    def places(ids: pa.Array, ranges: pa.Array) -> pa.Array:
+    def places(ids: pa.Array) -> pa.Array:
         rows = []
-        for i, r in zip(ids.to_pylist(), ranges.to_pylist(), strict=True):
+        for i, r in zip(ids.to_pylist(), ranges(ids).tolist(), strict=True):
             here = [{"range": r, "guest": False}]
             if i == heads[r]:
                 here.append({"range": before[r], "guest": True})
             rows.append(here)
         return pa.array(rows, pa.list_(pa.struct([("range", pa.int32()), ("guest", pa.bool_())])))
 
-    return (ranged.select("doc_id", compressed("text").alias("packed"), F.xxhash64("text").alias("tie"),
-                          F.explode(places("doc_id", "range")).alias("at"))
+    return (docs.select("doc_id", compressed("text").alias("packed"), F.xxhash64("text").alias("tie"),
+                        places("doc_id").alias("places"))
+            .select("doc_id", "packed", "tie", F.explode("places").alias("at"))
             .select("doc_id", "packed", "tie", "at.range", "at.guest"))
 
 
