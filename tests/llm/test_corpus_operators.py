@@ -121,6 +121,20 @@ def test_sketches_estimate_sets_and_merge():
     assert fingerprints.resemblance(fingerprints.sketch(few.encode()), fingerprints.sketch(more.encode())) == exact
 
 
+def test_fingerprints_in_dataframes(spark):
+    from pyspark.sql import functions as F
+
+    a, b = "a b c d e f g h", "d e f g h i j k"
+    df = spark.createDataFrame([(a, b), (a, None), (None, "")], "x string, y string")
+    got = df.select(
+        fingerprints.likeness(fingerprints.fingerprint("x"), fingerprints.fingerprint("y")).alias("like"),
+        fingerprints.contained(fingerprints.fingerprint("x"), fingerprints.fingerprint("y")).alias("inside"),
+        fingerprints.shingle_count(fingerprints.merge(fingerprints.fingerprint("x"), fingerprints.fingerprint("y"))).alias("n"),
+    ).collect()
+    both, either = len(shingles(a) & shingles(b)), len(shingles(a) | shingles(b))
+    assert [tuple(r) for r in got] == [(both / either, both / 4, either), (0.0, 0.0, 4), (1.0, 1.0, 0)]
+
+
 def test_edited_texts_come_from_the_next_smaller_id(spark, clashing, empty):
     rows = [(i, "".join(random.Random(i).choices("ab é\U0001f600 ", k=i % 40)), "en", "s", 0) for i in range(300)]
     docs = spark.createDataFrame(rows, COLUMNS).repartition(7)
