@@ -1,0 +1,84 @@
+"""The pipeline's near copies against a comparison of all pairs."""
+
+import random
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from playlake.llm import resemblance
+from tests.llm.conftest import COLUMNS
+from tests.llm.test_corpus_operators import brute_print, shingles
+
+SF = "/root/testdata/sf0.001"
+
+
+def lower(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute_kept_rows(rows):
+    """Of each component of rows (id, text, ...) at resemblance 0.8, the number of the row that stays."""
+    sets = [shingles(lower(r[1])) for r in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if (5 * len(a & b) >= 4 * len(a | b)) and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    best = {}
+    for i, g in enumerate(group):
+        key = (rows[i][0] is None, rows[i][0] or 0)
+        best[g] = min(best.get(g, (key, i)), (key, i))
+    return Counter(rows[i][0] for _, i in best.values())
+
+
+def edited(words, n, seed):
+    """The words with n of them changed, far from each other."""
+    out, chance = list(words), random.Random(seed)
+    for k in range(n):
+        out[k * len(words) // max(n, 1) + chance.randrange(5)] = f"new{seed}x{k}"
+    return " ".join(out)
+
+
+def test_near_copies_beyond_three_bits_are_found(spark):
+    rows, far = [], 0
+    for i in range(40):
+        words = [f"w{random.Random(i * 1000 + k).randrange(10**6)}" for k in range(200)]
+        rows += [(3 * i, " ".join(words)), (3 * i + 1, edited(words, 4, i)), (3 * i + 2, edited(words, 9, i))]
+        far += (brute_print(rows[-3][1]) ^ brute_print(rows[-2][1])).bit_count() > 3
+    assert far > 10  # those the trie's three bits miss
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS)
+    got = Counter(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    assert got == brute_kept_rows(rows)
+    assert all(got[3 * i + 1] == 0 for i in range(40))
+
+
+def test_fingerprints_that_agree_prove_nothing(spark, monkeypatch):
+    monkeypatch.setattr(resemblance, "simhash", lambda text: 7)
+    docs = spark.createDataFrame([(i, " ".join(f"d{i}w{k}" for k in range(60)), "en", "s", 0) for i in range(9)], COLUMNS)
+    assert resemblance.one_of_near_copies(docs).count() == 9
+
+
+@pytest.mark.parametrize("frequent", [0, 1 << 16])
+def test_a_large_group_and_chains_equal_all_pairs(spark, monkeypatch, frequent):
+    monkeypatch.setattr(resemblance, "FREQUENT", frequent)
+    chance = random.Random(3)
+    base = [f"b{k}" for k in range(150)]
+    rows = [(i, edited(base, chance.randrange(7), i)) for i in range(120)]
+    step = [f"c{k}" for k in range(300)]
+    rows += [(200 + i, " ".join(step[6 * i:6 * i + 100])) for i in range(30)]  # each like the next
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS)
+    assert Counter(r.doc_id for r in resemblance.one_of_near_copies(docs).collect()) == brute_kept_rows(rows)
+
+
+def test_rows_are_judged_one_by_one(spark, odd, empty):
+    one, other = (" ".join(f"{c}{k}" for k in range(60)) for c in "pq")
+    docs = spark.createDataFrame([(1, one, "en", "s", 0), (2, one, "en", "s", 0), (2, other, "en", "s", 0),
+                                  (1, one, "en", "s", 0), (None, one, "en", "s", 0)], COLUMNS)
+    got = sorted((r.doc_id, r.text) for r in resemblance.one_of_near_copies(docs).collect())
+    assert got == [(1, one), (2, other)]
+    kept = resemblance.one_of_near_copies(odd)
+    assert kept.dtypes == odd.dtypes
+    assert Counter(r.doc_id for r in kept.collect()) == brute_kept_rows([tuple(r) for r in odd.collect()])
+    assert resemblance.one_of_near_copies(empty).count() == 0
