@@ -6,9 +6,9 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from playlake.llm import resemblance
+from playlake.llm import hostrules, mixing, resemblance, suffixes
 from tests.llm.conftest import COLUMNS
-from tests.llm.test_corpus_operators import brute_print, shingles
+from tests.llm.test_corpus_operators import brute_kept, brute_print, shingles
 
 SF = "/root/testdata/sf0.001"
 
@@ -82,3 +82,21 @@ def test_rows_are_judged_one_by_one(spark, odd, empty):
     assert kept.dtypes == odd.dtypes
     assert Counter(r.doc_id for r in kept.collect()) == brute_kept_rows([tuple(r) for r in odd.collect()])
     assert resemblance.one_of_near_copies(empty).count() == 0
+
+
+def test_whole_pipeline_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = []
+    for r in map(tuple, docs.collect()):  # no host of the tables clears a rule
+        n, _, symbols, lines, repeated = hostrules.text_statistics((r[1] or "").encode())
+        if n >= 50 and 100 * repeated <= 50 * n and 100 * symbols <= 10 * n and lines <= 10:
+            rows.append(r)
+    stay = brute_kept_rows(rows)
+    rows = [r for r in rows if stay[r[0]]]
+    kept = {i: b.decode("utf-8", "ignore") for i, b in brute_kept(rows, suffixes.SPAN)}
+    cut = spark.createDataFrame([(r[0], kept[r[0]], *r[2:]) for r in rows], docs.schema)
+    want = {r.doc_id: r.taken for r in mixing.taken_words(cut).collect() if r.taken}
+    words = Counter()
+    for r in corpus_pipeline.run(spark, SF).collect():
+        words[r.doc_id] += r.n_words
+    assert +words == Counter(want)
