@@ -208,3 +208,149 @@ FROM named
 
 
 WARC = _warc()
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LEXICAL = rf"""
+WITH term AS (
+  SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY ALL
+), size AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM term GROUP BY doc_id
+), corpus AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size
+), having_term AS (
+  SELECT term, count(*) AS df FROM term GROUP BY term
+), wanted AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+), weighed AS (
+  SELECT item_id, term, times * CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM wanted JOIN having_term USING (term), corpus
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM weighed JOIN term USING (term) JOIN size USING (doc_id), corpus GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
+
+DECONTAMINATION = rf"""
+WITH item AS (
+  SELECT item_id, {_TERMS} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS width, array_to_string(w[CAST(i + 1 AS INT):CAST(i + least(len(w), 10) AS INT)], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 9, 1))) AS i FROM item WHERE len(w) > 0)
+), doc AS (
+  SELECT doc_id, {_TERMS} AS w FROM documents
+), runs AS (
+  SELECT doc_id, i, width, array_to_string(w[CAST(i + 1 AS INT):CAST(i + width AS INT)], ' ') AS words
+  FROM (SELECT doc_id, w, width, unnest(range(greatest(len(w) - width + 1, 0))) AS i
+        FROM doc, (SELECT DISTINCT width FROM windows))
+), hits AS (
+  SELECT doc_id, item_id, i, width FROM runs JOIN windows USING (width, words)
+), hit_words AS (
+  SELECT doc_id, count(*) AS n FROM (
+    SELECT DISTINCT doc_id, i + k FROM (SELECT doc_id, i, unnest(range(width)) AS k FROM hits) t(doc_id, i, k)) GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id)
+"""
+
+
+def _conversations() -> str:
+    """The cheapest edits step by step over the rows of a conversation. What is known of a state
+    (0 nothing kept, 1 a system turn, 2 a user's last, 3 an assistant's last) is one string: the cost
+    in nine digits and the audit, so the least string is the least (cost, audit)."""
+
+    def more(key: str, cost: str, edit: str) -> str:
+        return f"lpad(CAST(CAST(substr({key}, 1, 9) AS INT) + {cost} AS VARCHAR), 9, '0') || substr({key}, 10) || '{edit}'"
+
+    grown = {"i0": "k0", "i1": "k1",
+             "i2": f"least(k2, {more('k0', '3', 'I')}, {more('k1', '3', 'I')}, {more('k3', '3', 'I')})",
+             "i3": f"least(k3, {more('k2', '3', 'I')}, {more('k0', '6', 'II')}, {more('k1', '6', 'II')})"}
+    inserted = ", ".join(f"{v} AS {k}" for k, v in grown.items())
+
+    def shift(edit: str, cost: str, to: int) -> list[str]:
+        return [more(f"i{s}", cost, edit) for s in ((0, 1, 3) if to == 2 else (2,))]
+
+    def step(to: int, system: bool = False) -> str:
+        ways = [more(f"i{to}", "4", "D")]
+        if system:
+            ways.append(f"CASE WHEN may AND initial = 's' THEN {more('i0', 'cut', 'K')} END")
+        elif to > 1:
+            initial = "u" if to == 2 else "a"
+            ways += [f"CASE WHEN may AND initial = '{initial}' THEN {w} END" for w in shift("K", "cut", to)]
+            ways += [f"CASE WHEN may THEN {w} END" for w in shift("R", "3 + cut", to)]
+        return f"least({', '.join(ways)})" if len(ways) > 1 else ways[0]
+
+    return rf"""
+WITH RECURSIVE polynomial AS (
+  SELECT list(c ORDER BY b) AS entries FROM (
+    SELECT b, list_reduce([b] || range(8), lambda c, k: CASE WHEN c & 1 = 1
+      THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) t(b))
+), summed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+    [CAST(4294967295 AS BIGINT)] || list_transform(regexp_extract_all(
+      hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))), '..'),
+      lambda h: CAST('0x' || h AS BIGINT)),
+    lambda crc, b: xor(crc >> 8, entries[xor(crc & 255, b) + 1])), 4294967295) % 20 AS kind
+  FROM conversations, polynomial
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM summed WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM damaged
+), flagged AS (
+  SELECT *, substr(role, 1, 1) AS initial,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+         coalesce(lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) || substr(role, 1, 1) NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM placed
+), steps AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '000000000' AS k0, CAST(NULL AS VARCHAR) AS k1,
+         CAST(NULL AS VARCHAR) AS k2, CAST(NULL AS VARCHAR) AS k3 FROM conversations
+  UNION ALL
+  SELECT conv_id, i, {step(0)}, {step(1, system=True)}, {step(2)}, {step(3)}
+  FROM (SELECT s.conv_id, f.i, fault NOT IN ('blank', 'duplicate') AS may, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS cut,
+               initial, {inserted}
+        FROM steps s JOIN flagged f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i + 1)
+), last AS (
+  SELECT conv_id, least(k0, i3) AS k FROM (
+    SELECT conv_id, k0, {grown["i3"]} AS i3 FROM steps QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)
+), edits AS (
+  SELECT conv_id, unnest(range(len(k) - 9)) AS p, substr(k, 10) AS audit FROM last
+), walked AS (
+  SELECT conv_id, p, substr(audit, CAST(p + 1 AS INT), 1) AS edit,
+         len(regexp_replace(substr(audit, 1, CAST(p + 1 AS INT)), 'I', '', 'g')) AS i,
+         len(regexp_replace(substr(audit, 1, CAST(p AS INT)), 'D', '', 'g')) AS before
+  FROM edits
+), kept AS (
+  SELECT w.conv_id, p, edit, before, f.role, f.text,
+         max(CASE WHEN edit = 'K' AND before = 0 AND f.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY w.conv_id) AS lead
+  FROM walked w LEFT JOIN flagged f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i AND w.edit <> 'I'
+  WHERE edit <> 'D'
+), texts AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (before - lead) % 2 = 0 THEN 'user' ELSE 'assistant' END
+                             || ':' || coalesce(text, ''), chr(10) ORDER BY p) AS repaired FROM kept GROUP BY conv_id
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (illegal) AS illegal FROM flagged GROUP BY conv_id
+)
+SELECT l.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(substr(k, 1, 9) AS BIGINT) AS cost,
+       substr(k, 10) AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM last l LEFT JOIN texts t ON l.conv_id IS NOT DISTINCT FROM t.conv_id
+LEFT JOIN counts c ON l.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+CONVERSATIONS = _conversations()

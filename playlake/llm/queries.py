@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
+from .conversations import damaged, repair_report, repaired
+from .decontaminate import contamination
 from .fingerprints import compare_with_edited
 from .hostrules import STATISTICS, judged
 from .importance import resampled
+from .lexical import ranked
 from .licenses import license_scan
 from .mixing import taken_words
 from .packing import packed
@@ -28,6 +31,9 @@ ORACLE: dict[str, str] = {
     "op8_host_rules": oracles.HOST_RULES,
     "op9_warc_derivatives": oracles.WARC,
     "op10_suffix_array_dedup": oracles.SUFFIXES,
+    "op11_lexical_search": oracles.LEXICAL,
+    "op12_conversation_repair": oracles.CONVERSATIONS,
+    "op13_benchmark_decontamination": oracles.DECONTAMINATION,
 }
 
 
@@ -40,6 +46,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 @query
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
@@ -115,3 +125,27 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_bytes") - F.length(kept)).alias("n_removed"),
         F.size("span_starts").cast("long").alias("n_spans"),
         F.sha2(kept, 256).alias("kept_sha256"))
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each benchmark item."""
+    return ranked(documents(spark, sf_dir).select("doc_id", "text"), benchmark(spark, sf_dir))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of all conversations, damaged first."""
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair_report(repaired(damaged(given)), given)
+
+
+@query
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each document that stand in a window of ten words of a benchmark item."""
+    found = contamination(documents(spark, sf_dir).select("doc_id", "text"), benchmark(spark, sf_dir))
+    hit = F.aggregate("hit_words", F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-1).cast("long").alias("sign")),
+                      lambda a, x: F.struct((a["sum"] + a["sign"] * x).alias("sum"), (-a["sign"]).alias("sign")))
+    return (found.withColumn("n_hit", hit["sum"])
+            .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                    F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")))
