@@ -30,6 +30,7 @@ SHINGLE = 3
 SEED = 42
 #: A group of more fingerprints is entered at its node pairs, 4 bits deeper per 16 times the size.
 GROUP = 1 << 18
+DEPTHS = (4, 8, 12)  # groups larger than 4,096 times GROUP are entered no deeper than the last
 PAIRS_AT_ONCE = 1 << 20
 
 
@@ -94,11 +95,12 @@ def _grouped(prints: DataFrame, budget: int) -> DataFrame:
              .withColumn("block", F.shiftrightunsigned("key", 64 - width)))
     # at most blocks * 2**width rows, whatever the input: safe to broadcast
     large = (dealt.groupBy("turn", "block").count().where(F.col("count") > GROUP)
-             .select("turn", "block", (4 * F.ceil(F.log(16.0, F.col("count") / GROUP))).cast("int").alias("depth")))
+             .select("turn", "block", F.least(4 * F.ceil(F.log(16.0, F.col("count") / GROUP)), F.lit(DEPTHS[-1]))
+                     .cast("int").alias("depth")))
     dealt = dealt.join(F.broadcast(large), ["turn", "block"], "left")
     root = F.array(F.struct(F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("flip")))
     entered = root
-    for depth in (4, 8, 12):
+    for depth in DEPTHS:
         next_bits = F.shiftrightunsigned("key", 64 - width - depth).bitwiseAND(F.lit((1 << depth) - 1))
         pairs = F.transform(F.array(*[F.lit(f).cast("long") for f in _flips(depth, budget)]),
                             lambda f, v=next_bits: F.struct(F.least(v, v.bitwiseXOR(f)).alias("low"), f.alias("flip")))
@@ -224,7 +226,9 @@ def _linked(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.Recor
 def linked_fingerprints(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
     """Links (``a``, ``b``) whose closure joins all fingerprints (column ``print``, each once)
     that differ in at most ``budget`` bits."""
-    grouped = _grouped(prints, budget).repartition("turn", "block", "low", "flip")
+    usual = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(usual, (budget + 1) * prints.count() // (4 * GROUP))  # what a task holds is bounded
+    grouped = _grouped(prints, budget).repartition(parts, "turn", "block", "low", "flip")
     return grouped.mapInArrow(lambda batches: _linked(batches, budget), "a long, b long")
 
 
@@ -251,6 +255,13 @@ def components(links: DataFrame) -> DataFrame:
         labels = nearer
 
 
+def _labeled(different: DataFrame, budget: int) -> DataFrame:
+    """Adds ``label`` to each different fingerprint (column ``print``): the one its component is named by."""
+    labels = components(linked_fingerprints(different.select("print"), budget))
+    return (different.join(labels.withColumnRenamed("node", "print"), "print", "left")
+            .withColumn("label", F.coalesce("root", "print")).drop("root"))
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
     """For each row its ``fingerprint`` (signed) and ``component_id``: the smallest ``doc_id``
     that can be reached over links between fingerprints differing in at most ``budget`` bits.
@@ -262,23 +273,37 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, budget: int = BUDGET)
     """
     printed = stored(take(docs, "doc_id", "text")
                      .select("doc_id", fingerprint(F.col("text"), width).alias("print")), "simhash")
-    different = printed.groupBy("print").agg(F.min("doc_id").alias("first_id"))
-    labels = components(linked_fingerprints(different.select("print"), budget))
-    rooted = different.join(labels.withColumnRenamed("node", "print"), "print", "left")
-    in_groups = rooted.where("root is not null")
-    least = in_groups.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    smallest = rooted.join(least, "root", "left").select("print", F.coalesce("least_id", "first_id").alias("component_id"))
-    return (printed.join(smallest, "print")
+    labeled = _labeled(printed.groupBy("print").agg(F.min("doc_id").alias("first_id")), budget)
+    least = labeled.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    return (printed.join(labeled.select("print", "label").join(least, "label"), "print")
             .select("doc_id", F.col("print").alias("fingerprint"), "component_id"))
 
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
-    """The rows of ``docs`` that stay when of each near-duplicate component only the smallest
-    ``doc_id`` is kept; all columns as they are.
+    """The rows of ``docs`` that stay when of each near-duplicate component only one row is kept, that
+    with the smallest ``doc_id``; all columns as they are.
 
-    Rows with a null id stay; of repeated rows with the smallest id all stay.
+    Rows are judged one by one: where rows share an id, each goes with its own text's component, and
+    the text with the smaller hash stays. A null id comes after all others. Of repeated rows one
+    stays. A null or blank text has fingerprint zero. An empty table gives an empty one.
     """
-    found = near_duplicates(docs, width, budget)
-    leave = (found.where("doc_id <> component_id").select(F.col("doc_id").alias("left_id")).distinct())
-    return (take(docs, "doc_id", rest="rest").join(leave, F.col("doc_id") == F.col("left_id"), "left_anti")
-            .select(*spread("rest", docs.columns)))
+    key = [F.col("doc_id"), F.xxhash64("text").alias("tie")]
+    rows = stored(take(docs, "doc_id", "text").select(*key, fingerprint(F.col("text"), width).alias("print"))
+                  .groupBy("doc_id", "tie", "print").agg(F.count("*").alias("n")), "simhash")
+    labeled = _labeled(rows.select("print").distinct(), budget)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
+    named = stored(rows.join(labeled, "print"), "simhash-labels")
+    first = named.groupBy("label").agg(F.min(order).alias("first"))
+    judged = (named.join(first, "label")
+              .withColumn("stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tie") == F.col("first.tie"))))
+    # those that go, and those that stay once of several times; all others pass as they are
+    changed = stored(judged.where("NOT stays OR n > 1")
+                     .select(F.col("doc_id").alias("of_id"), F.col("tie").alias("of_tie"), "stays"), "simhash-changed")
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("tie") == F.col("of_tie"))
+    table = take(docs, "doc_id", "text", rest="rest").select(*key, "rest")
+    kept = table.join(changed.drop("stays"), same, "left_anti")
+    repeated = changed.where("stays")
+    if not repeated.isEmpty():
+        once = table.join(repeated.drop("stays"), same, "left_semi").dropDuplicates(["doc_id", "tie"])
+        kept = kept.unionByName(once)
+    return kept.select(*spread("rest", docs.columns))
