@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .hostrules import MAX_DUP_LINES, MAX_RATE, MAX_REPEATED, MAX_SYMBOLS, MIN_WORDS
+from .hostrules import CLEARED, DOUBTFUL, MAX_DUP_LINES, MAX_RATE, MAX_REPEATED, MAX_SYMBOLS, MIN_WORDS
 from .mixing import EPOCHS, SEED, SHARE, WEIGHTS
 from .sharding import SEED as SHARD_SEED
 from .sharding import SHARDS
@@ -108,9 +108,11 @@ WITH tokens AS (
 ), prior AS (
   SELECT *, {", ".join(f"CASE WHEN v_{r} > 0 THEN least(greatest(m_{r} * (1 - m_{r}) / v_{r} - 1, 1), 1000) ELSE 1000 END AS w_{r}" for r in _FAILS)} FROM moments
 ), verdicts AS (
-  SELECT source, greatest({", ".join(f"(f_{r} + m_{r} * w_{r}) / (n + w_{r})" for r in _FAILS)}) > {MAX_RATE} AS bad FROM hosts, prior
+  SELECT source, greatest({", ".join(f"(f_{r} + m_{r} * w_{r}) / (n + w_{r})" for r in _FAILS)}) > {MAX_RATE} AS bad,
+         {", ".join(f"(f_{r} + m_{r} * w_{r}) / (n + w_{r}) < m_{r} - {CLEARED} * sqrt(m_{r} * (1 - m_{r}) / (w_{r} + 1)) AS free_{r}" for r in DOUBTFUL)}
+  FROM hosts, prior
 ), judged AS (
-  SELECT s.*, bad, {_FAILS["short"]} OR {_FAILS["repeating"]} AS base_failed
+  SELECT s.*, bad OR {" OR ".join(f"({_FAILS[r]} AND NOT free_{r})" for r in DOUBTFUL)} AS bad, {_FAILS["short"]} OR {_FAILS["repeating"]} AS base_failed
   FROM stats s JOIN verdicts v ON s.source IS NOT DISTINCT FROM v.source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

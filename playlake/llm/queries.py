@@ -105,7 +105,7 @@ def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's statistics, its own failures, and the verdict with its host's."""
-    found = judged(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    found = judged(documents(spark, sf_dir).select("doc_id", "source", "text"), by_document=True)
     return found.select("doc_id", *STATISTICS, "base_failed", "kept")
 
 
