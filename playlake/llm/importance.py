@@ -23,8 +23,6 @@ from .words import run_hashes, word_hashes
 BUCKETS = 1 << 16
 #: The target model is fitted on so many labelled documents at most, those with the smallest hashes.
 MAX_LABELLED = 20_000
-#: N-grams that a document's weight is built on at most: longer ones are scaled down to as many.
-EVIDENCE = 200
 KEEP = 0.8
 SMOOTHING = 1.0
 SEED = 7
@@ -73,15 +71,14 @@ def log_ratios(docs: DataFrame, good_ids: DataFrame, buckets: int = BUCKETS) ->
     return np.log(good / good.sum()) - np.log(raw / raw.sum())
 
 
-def log_weight(text: Column, ratios: np.ndarray, evidence: int = EVIDENCE) -> Column:
-    """A document's log weight; 0 for a null or blank text."""
+def log_weight(text: Column, ratios: np.ndarray) -> Column:
+    """A document's log weight, the sum over all its n-grams; 0 for a null or blank text."""
 
     @F.arrow_udf(DoubleType())
     def weigh(texts: pa.Array) -> pa.Array:
         out = []
         for t in texts.cast(pa.large_binary()).to_pylist():
-            at = buckets_of(t, len(ratios)) if t else ()
-            out.append(float(ratios[at].sum()) * min(1.0, evidence / len(at)) if len(at) else 0.0)
+            out.append(float(ratios[buckets_of(t, len(ratios))].sum()) if t else 0.0)
         return pa.array(out, pa.float64())
 
     return weigh(text)
@@ -98,13 +95,14 @@ def resampled(docs: DataFrame, good_ids: DataFrame, keep: float = KEEP, seed: in
 
     Exactly the ``keep`` share of the rows (rounded down) with the largest scores is kept; equal
     scores go by ``doc_id``. Null and blank texts have weight 0, as if neither model knew better.
-    Null ids share their noise. Of repeated rows any may be kept. Without good ids all weights
+    Null ids take their noise from their weight. Of repeated rows any may be kept. Without good ids all weights
     follow the raw model alone. An empty table gives an empty one. Further columns don't matter.
     """
     ratios = log_ratios(docs, good_ids)
     scored = stored(take(docs, "doc_id", "text")
                     .select("doc_id", log_weight(F.col("text"), ratios).alias("log_weight"))
-                    .withColumn("score", F.col("log_weight") + gumbel(seed, "doc_id"))
+                    .withColumn("by", F.when(F.col("doc_id").isNull(), F.col("log_weight")))
+                    .withColumn("score", F.col("log_weight") + gumbel(seed, "doc_id", "by")).drop("by")
                     .withColumn("part", F.floor(F.col("score") * _PARTS)), "scored")
     wanted = int(scored.count() * keep)
     # rows per part, from the top: where does the last kept row lie?
