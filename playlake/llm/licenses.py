@@ -49,6 +49,9 @@ NOTICES = {
 
 TAGS = ("spdx license identifier", "license expression")
 
+#: What the base phrases stand for where no longer notice begins at the same word.
+BASE_NAMES = {"gpl": "GPL", "apache": "Apache", "cc-by": "CC-BY", "mit": "MIT"}
+
 #: How freely a text under a licence may be used, from 0 to 1, by the start of its identifier.
 FREEDOM = {
     "CC0": 1.0, "MIT": 1.0, "ISC": 1.0, "BSD": 0.95, "Apache": 0.95, "CC-BY-NC": 0.1, "CC-BY-ND": 0.1,
@@ -60,7 +63,8 @@ EXCEPTION = 0.1  # what a ``with`` clause adds
 
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                  for b in range(256))
-_TAG = re.compile(r"(?:spdx-license-identifier|license-expression)\s*:[ \t]*([^\r\n]*)", re.I)
+_WORDS = re.compile(rb"[^ ]+")
+_EXPRESSION = re.compile(rb"\s*:[ \t]*([^\r\n]*)")
 _TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.+\-]*)")
 _STRENGTH = {"or": 1, "and": 2, "with": 3}
 
@@ -147,25 +151,31 @@ def automaton() -> ahocorasick.Automaton:
 
 def scan(text: bytes, phrases: ahocorasick.Automaton) -> tuple:
     """Words, base places, first and last of them, base labels, all labels, and the score."""
-    words = text.translate(_LETTERS).split()
+    plain = text.translate(_LETTERS)
+    words = plain.split()
     line = f" {b' '.join(words).decode()} "
-    places, base, labels, scores, tagged = [], set(), set(), [], False
+    base, named, tags, labels = {}, {}, [], set()  # by where they begin in the line
     for end, (size, label, name, tag) in phrases.iter(line):
+        at = end + 1 - size
         if label:
-            places.append(end + 1 - size)
-            base.add(label)
+            base[at] = label
         if name:
             labels.add(f"spdx:{name}")
-            scores.append(freedom(name))
-        tagged = tagged or tag
-    if tagged:
-        for found in _TAG.finditer(text.decode()):
-            if (meant := evaluate(found[1])) is not None:
+            named.setdefault(at, []).append(freedom(name))
+        if tag:
+            tags.append(line.count(" ", 0, end) - 1)  # the tag's last word
+    scores = [s for found in named.values() for s in found]
+    scores += [freedom(BASE_NAMES[label]) for at, label in base.items() if at not in named]
+    if tags:
+        ends = [m.end() for m in _WORDS.finditer(plain)]
+        for word in tags:
+            behind = _EXPRESSION.match(text, ends[word])
+            if behind and (meant := evaluate(behind[1].decode())) is not None:
                 scores.append(meant[0])
                 labels.update(f"spdx:{name}" for name in meant[1])
-    starts = (line.count(" ", 0, min(places)), line.count(" ", 0, max(places))) if places else (None, None)
-    return (len(words), len(places), *starts, ",".join(sorted(base)), ",".join(sorted(base | labels)),
-            min(scores, default=0.0))
+    starts = (line.count(" ", 0, min(base)), line.count(" ", 0, max(base))) if base else (None, None)
+    found = set(base.values())
+    return (len(words), len(base), *starts, ",".join(sorted(found)), ",".join(sorted(found | labels)), min(scores, default=0.0))
 
 
 _STRUCT = StructType([StructField(n, LongType()) for n in ("n_words", "n_base", "first_word", "last_word")]
@@ -191,7 +201,9 @@ def license_scan(text: Column) -> Column:
     ``n_words``; ``n_base`` places of ``BASE`` phrases, ``first_word`` and ``last_word`` of them
     (words from 0; null if there are none); ``base_labels`` and ``labels`` (sorted, joined by
     commas); ``score``: how freely the text may be used, the least over all licences found, 0 if
-    there are none. A tag whose expression is not well formed adds nothing. A null or empty text
-    has no words. Phrases may overlap, each place counts.
+    there are none. A base phrase counts as its family's licence unless a longer notice begins at the
+    same word. A tag is a tag's words with a colon behind them; one whose expression is not well
+    formed adds nothing. A null or empty text has no words. Phrases may overlap, each place counts.
+    Long texts are scanned in one go, equal texts have equal results, no rows give none.
     """
     return _scanned(text)
