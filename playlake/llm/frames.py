@@ -58,6 +58,14 @@ def shuffled_key(seed: str, *columns: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), *parts))
 
 
+def key_digits(rows: int, per_part: int = 1 << 20) -> int:
+    """How many leading digits of a ``shuffled_key`` cut so many rows into parts of a bounded size, on average."""
+    digits = 2
+    while 16 ** digits * per_part < rows:
+        digits += 1
+    return digits
+
+
 def running(table: DataFrame, keys: list[str], part: str, order: list[Column], name: str,
             value: Column | None = None) -> DataFrame:
     """Adds ``name``: the sum of ``value`` (default: the number of rows) over the rows of the

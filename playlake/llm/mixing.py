@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import WORD, running, shuffled_key, spread, stored, take
+from .frames import WORD, key_digits, running, shuffled_key, spread, stored, take
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -24,6 +24,7 @@ BLOCK_WORDS = 4096
 SEED = "mix"
 _POINT_BITS = 40
 _SLOTS_PER_PART = 1 << 16
+_CELLS_PER_ROW = 1 << 16
 
 
 def n_words(text: Column) -> Column:
@@ -75,14 +76,23 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     shares = (targets.where("target >= 1").withColumn("low", before).withColumn("high", behind)
               .withColumn("high", F.when(F.lead("source_no").over(order).isNull(), F.lit(1.0)).otherwise(F.col("high"))))
     cell = lambda x: F.least(F.floor(x * F.lit(slots)), F.lit(slots - 1)).cast("long")
-    # as many cells as slots: each source stands in the cells it reaches into
-    owners = shares.select("source_no", "low", "high",
-                           F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))).alias("cell"))
+    # as many cells as slots, and rows of cells. A source stands in each row that is all its own, and
+    # cell by cell in the rows it begins and ends in; so one source has few entries, however many slots
+    reach = (shares.select("source_no", "low", "high", cell(F.col("low")).alias("a"), cell(F.col("high")).alias("b"))
+             .withColumn("row_a", F.expr(f"a div {_CELLS_PER_ROW}")).withColumn("row_b", F.expr(f"b div {_CELLS_PER_ROW}")))
+    rows = (reach.where("row_b - row_a > 1")
+            .select("source_no", F.explode(F.sequence(F.col("row_a") + 1, F.col("row_b") - 1)).alias("row")))
+    first_cells = F.sequence("a", F.least(F.col("b"), (F.col("row_a") + 1) * _CELLS_PER_ROW - 1))
+    last_cells = F.when(F.col("row_b") > F.col("row_a"), F.sequence(F.col("row_b") * _CELLS_PER_ROW, F.col("b"))).otherwise(
+        F.array().cast("array<bigint>"))
+    cells = (reach.select("source_no", "low", "high", first_cells.alias("f"), last_cells.alias("l"))
+             .select("source_no", "low", "high", F.explode(F.concat("f", "l")).alias("cell")))
     point = (F.conv(F.reverse(F.lpad(F.bin("id"), _POINT_BITS, "0")), 2, 10).cast("double")
              / F.lit(float(1 << _POINT_BITS)))
     points = (spark.range(slots).select(F.col("id").alias("slot"), point.alias("x"))
               .withColumn("cell", cell(F.col("x"))))
-    owned = points.join(owners, "cell").where("low <= x AND x < high").select("slot", "source_no")
+    owned = (points.withColumn("row", F.expr(f"cell div {_CELLS_PER_ROW}")).join(rows, "row").select("slot", "source_no")
+             .unionByName(points.join(cells, "cell").where("low <= x AND x < high").select("slot", "source_no")))
     ranked = running(owned.withColumn("part", F.floor(F.col("slot") / _SLOTS_PER_PART)),
                      ["source_no"], "part", [F.col("slot")], "block").drop("part")
     missed = (shares.join(owned.select("source_no").distinct(), "source_no", "left_anti")
@@ -102,9 +112,9 @@ def streamed(sized: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFram
     """Adds to each row (``doc_id``, ``source``, ``size``, ``tie``) its source's ``source_no``,
     ``source_size`` and ``target``, and the place of its first word in the shuffled stream."""
     named = targets.withColumnRenamed("source", "of_source")
+    key = F.when(F.col("doc_id").isNull(), shuffled_key(seed, "doc_id", "tie")).otherwise(shuffled_key(seed, "doc_id"))
     placed = (sized.join(named, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
-              .withColumn("key", shuffled_key(seed, "doc_id"))
-              .withColumn("part", F.substring("key", 1, 2)))
+              .withColumn("key", key).withColumn("part", F.substring("key", 1, key_digits(sized.count()))))
     return running(placed, ["source_no"], "part",
                    [F.col("key"), F.col("size"), F.col("tie")], "start", F.col("size")).drop("key", "part")
 
