@@ -95,7 +95,8 @@ def packed(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, group_pieces: in
               .withColumn("piece", F.explode(F.sequence(F.lit(0), F.expr(f"cast((size - 1) div {longest} as int)"))))
               .withColumn("first_word", F.col("piece").cast("long") * longest)
               .withColumn("n_words", F.least(F.col("size") - F.col("first_word"), F.lit(longest).cast("long"))))
-    groups = max(1, -(-sized.count() // group_pieces))
+    count = sized.agg(F.sum(F.expr(f"(size + {longest - 1}) div {longest}")).alias("n")).first()["n"] or 0
+    groups = max(1, -(-count // group_pieces))
     dealt = pieces.select("doc_id", "piece", "first_word", "n_words", "tie",
                           F.pmod(F.xxhash64("doc_id", "piece", "tie"), F.lit(groups)).alias("group"))
     kinds = {pa.int32(): "int", pa.int64(): "long"}
