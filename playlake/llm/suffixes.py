@@ -87,6 +87,20 @@ def _anchors_at(data: bytes, starts: np.ndarray, span: int) -> np.ndarray:
     return np.concatenate(found)
 
 
+def _hashes_at(data: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
+    """The hash of the piece of ``width`` bytes at each place; only slices that hold some are hashed."""
+    order = np.argsort(places, kind="stable")
+    placed, found = places[order], np.empty(len(places), np.int64)
+    i = 0
+    while i < len(placed):
+        low = int(placed[i])
+        j = int(np.searchsorted(placed, low + SLICE, "left"))
+        last = int(placed[j - 1])
+        found[order[i:j]] = _hashes(data[low:last + width], width)[placed[i:j] - low].view(np.int64)
+        i = j
+    return found
+
+
 class Chunk:
     """The texts of a chunk in one array, cut into runs of windows with the same anchor."""
 
@@ -146,7 +160,8 @@ class Chunk:
         self.anchor, self.row = np.repeat(anchor, cuts), np.repeat(row, cuts)
 
     def listed(self) -> np.ndarray:
-        """Each anchor once; low byte 0: in one document, else the runs it has, 255 at most."""
+        """Each anchor once; low byte 0: in one document, else the size of its runs' number:
+        k stands for 2**(k - 1) to 2**k runs, 1 for 2."""
         order = np.argsort(self.anchor, kind="stable")
         a, d = self.anchor[order], self.ids[self.row[order]]
         if not len(a):
@@ -154,7 +169,7 @@ class Chunk:
         begin = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
         several = np.minimum.reduceat(d, begin) < np.maximum.reduceat(d, begin)
         runs = np.diff(np.append(begin, len(a)))
-        return a[begin] | np.where(several, np.clip(runs, 2, 255), 0)
+        return a[begin] | np.where(several, np.maximum(np.ceil(np.log2(runs)).astype(np.int64), 1), 0)
 
     def strings(self, shared: np.ndarray) -> dict[bytes, int]:
         """Numbers the different strings at shared anchors; sets which run has which string.
@@ -177,9 +192,7 @@ class Chunk:
             whole = count[~single]
             count = np.concatenate([whole, np.ones(n.sum(), np.int64)])
             cut = first[len(whole):]
-            own = np.zeros(len(cut), np.int64)
-            for k, p in enumerate(cut):
-                own[k] = _hashes(self.data[p:p + self.span], self.span)[0].view(np.int64)
+            own = _hashes_at(self.data, cut, self.span)
             group = np.concatenate([group[~single], own & ~np.int64(255)])
         self.use_first, self.use_count, self.use_row, self.use_group = first, count, row, group
         all_bytes, extra, numbers = self.data.tobytes(), self.span - 1, {}
@@ -241,7 +254,8 @@ def share_anchors(rows: pa.Table) -> pa.Table:
         return SHARED.empty_table()
     each = np.diff(bounds)
     shared = (each > 1) | (np.maximum.reduceat(runs, bounds[:-1]) > 0)
-    hot = np.add.reduceat(np.maximum(runs, 1), bounds[:-1]) > HOT
+    # at most twice the true number of runs
+    hot = np.add.reduceat(np.left_shift(1, np.minimum(runs, 40)), bounds[:-1]) > HOT
     keep = np.repeat(shared, each)
     out, chunk = (anchor | np.repeat(hot, each))[keep], chunk[keep]
     order = np.argsort(chunk, kind="stable")
