@@ -1,6 +1,7 @@
 """Each corpus operator against a brute-force version, and over odd rows."""
 
 import hashlib
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -81,6 +82,37 @@ def test_every_stretch_of_the_mix_is_near_the_weights(spark):
     assert {r[0]: r[1] for r in spans} == {s: int(t) for s, t in share.items()}
 
 
+def test_schedule_gives_every_slot_its_owner(spark, monkeypatch):
+    """With several rows of cells: the owner of each slot's point, one by one."""
+    monkeypatch.setattr(mixing, "_CELLS_PER_ROW", 8)
+    sizes = [40_000, 3, 700, 1, 90_000, 0, 12_345]
+    targets = spark.createDataFrame([(f"s{i}", i + 1, n, float(n)) for i, n in enumerate(sizes)],
+                                    "source string, source_no long, source_size long, target double")
+    got = {r.slot: r.source_no for r in mixing.schedule(targets, 1000).collect()}
+    total, want = sum(sizes), {}
+    slots = -(-total // 1000)
+    for slot in range(slots):
+        x, at = int(f"{slot:040b}"[::-1], 2) / (1 << 40), 0
+        for i, n in enumerate(sizes):
+            at += n
+            if n >= 1 and x < at / total:
+                want[slot] = i + 1
+                break
+    assert {k: v for k, v in got.items() if k < slots} == want
+    assert set(got.values()) == {i + 1 for i, n in enumerate(sizes) if n}
+
+
+def test_rows_without_an_id_fill_many_parts(spark):
+    docs = spark.createDataFrame([(None, f"one two w{i}", "en", "a", 0) for i in range(400)], COLUMNS)
+    sized = mixing._sized(docs)
+    placed = mixing.streamed(sized, mixing.source_targets(sized))
+    assert {r.start for r in placed.collect()} == {3 * i for i in range(400)}
+    keys = placed.select(mixing.shuffled_key(mixing.SEED, "doc_id", "tie").alias("k")).distinct().count()
+    assert keys == 400
+    rows = sharding.shard_rows(docs).collect()
+    assert sorted(Counter(r.shard for r in rows).values())[0] >= 16 and len({(r.shard, r.slot) for r in rows}) == 400
+
+
 def test_mixed_documents_are_cut_where_the_target_ends(odd, empty):
     mixed = mixing.mixed_documents(odd)
     assert mixed.columns == odd.columns
@@ -212,9 +244,10 @@ def brute_components(prints, budget=3):
     return {p: find(p) for p in prints}
 
 
-@pytest.mark.parametrize("group", [1 << 18, 30, 3])
-def test_the_trie_finds_all_links(spark, monkeypatch, group):
+@pytest.mark.parametrize(("group", "depths"), [(1 << 18, (4, 8, 12)), (30, (4, 8, 12)), (3, (4, 8, 12)), (1, (4,))])
+def test_the_trie_finds_all_links(spark, monkeypatch, group, depths):
     monkeypatch.setattr(simhash, "GROUP", group)  # also enters groups below their root
+    monkeypatch.setattr(simhash, "DEPTHS", depths)  # and groups that are too large for the last depth
     random.seed(group)
     centres, prints = [random.getrandbits(64) for _ in range(15)], set()
     while len(prints) < 300:
@@ -250,10 +283,21 @@ def test_one_of_each_component_stays(odd, empty):
     kept = simhash.one_of_each(odd)
     assert kept.columns == odd.columns
     ids = Counter(r.doc_id for r in kept.collect())
-    assert ids[1] == 1 and ids[2] == 0 and ids[12] == 2 and ids[None] == 2
+    assert ids[1] == 1 and ids[2] == 0 and ids[12] == 1 and ids[None] == 0 and ids[4] == 1 and ids[5] == 0
+    assert max(ids.values()) == 1
     assert simhash.one_of_each(empty).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark, clashing):
+    one, other, third = (" ".join(f"{c}{k}" for k in range(60)) for c in "pqr")
+    rows = [(1, one, "en", "s", 0), (2, one, "en", "t", 0), (2, other, "en", "s", 0), (1, one, "en", "s", 0), (None, one, "en", "s", 0),
+            (None, third, "en", "s", 0), (None, third, "en", "s", 0)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, COLUMNS)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, one), (2, other), (None, third)])
+    assert simhash.one_of_each(clashing).columns == clashing.columns
+    assert Counter(r.doc_id for r in simhash.one_of_each(clashing).collect()) == Counter([1, 3, 4, 7, 8, 9, 10, 11, 12, 13, 14])
+
+
 def test_a_chain_is_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
     assert {r.root for r in simhash.components(links).collect()} == {0}
@@ -281,6 +325,42 @@ def test_best_fit_fills_and_shrinks():
     assert joint < 0.9 * longest
 
 
+def test_packing_equals_brute_force(spark):
+    """Every piece tried in every open bin; of bins with equal room the one that got it last."""
+    chance = random.Random(5)
+    docs = [(i, "w " * chance.choice([0, 3, 40, 300, 511, 512, 700, 1500, 9000, 20_000]), "en", "a", 0) for i in range(150)]
+    rows = packing.packed(spark.createDataFrame(docs, COLUMNS)).collect()
+    sizes = sorted((min(8192, len(words_of(t)) - at) for _, t, *_ in docs for at in range(0, len(words_of(t)), 8192)), reverse=True)
+    bins, clock = [], 0  # room, filled, time of the last change
+    for k, size in enumerate(sizes):
+        clock += 1
+        fits = [b for b in bins if b[0] >= size]
+        if not fits:
+            rest = sizes[k + 1:]
+            room = sum(b[0] for b in bins)
+
+            def per_word(length, size=size, rest=rest, room=room):
+                filling = sum(s for s in rest if s <= length - size)
+                return packing.cost(length) / (size + min(length - size, max(0, filling - room)))
+
+            bins.append([min((n for n in packing.LENGTHS if n >= size), key=per_word), 0, clock])
+            fits = bins[-1:]
+        chosen = min(fits, key=lambda b: (b[0], -b[2]))
+        chosen[0], chosen[1], chosen[2] = chosen[0] - size, chosen[1] + size, clock
+    got = defaultdict(int)
+    for r in rows:
+        if r.n_words:
+            got[r.bin, r.bin_size] += r.n_words
+    assert Counter((size, filled) for (_, size), filled in got.items()) == Counter(
+        (min(n for n in packing.LENGTHS if n >= filled), filled) for _, filled, _ in bins)
+
+
+def test_groups_are_dealt_by_pieces(spark):
+    docs = spark.createDataFrame([(i, "w " * 40_000, "en", "a", 0) for i in range(20)], COLUMNS)
+    groups = {r.bin >> 32 for r in packing.packed(docs, group_pieces=10).collect()}
+    assert len(groups) > 4  # 100 pieces of 20 documents
+
+
 def test_packing_places_every_word_once(clashing, empty):
     rows = packing.packed(clashing).collect()
     words = Counter()
@@ -339,6 +419,20 @@ def test_scan_equals_brute_force(spark, clashing):
     assert got[6].labels == "spdx:Apache-2.0,spdx:MIT" and got[6].score == 1.0
     rest = clashing.select(licenses.license_scan(clashing["text"]).alias("f")).collect()
     assert len(rest) == len(odd_rows())
+    assert clashing.limit(0).select(licenses.license_scan(clashing["text"]).alias("f")).count() == 0
+
+
+@pytest.mark.parametrize(("text", "score", "labels"), [
+    ("gnu general public license and mit license", 0.2, "gpl,mit,spdx:MIT"),
+    ("the apache license", 0.95, "apache"),
+    ("Apache License, Version 2.0 or CC BY 4.0", 0.9, "apache,cc-by,spdx:Apache-2.0,spdx:CC-BY-4.0"),
+    ("cc by", 0.9, "cc-by"),
+    ("é SPDX-License-Identifier: AGPL-3.0\nLicense-Expression : MIT OR X", 0.1, "spdx:AGPL-3.0,spdx:MIT,spdx:X"),
+    ("spdx license identifier MPL, license expression", 0.0, ""),
+])
+def test_scores_and_tags(text, score, labels):
+    found = licenses.scan(text.encode(), licenses.automaton())
+    assert found[-1] == pytest.approx(score) and found[-2] == labels
 
 
 # importance
@@ -355,6 +449,27 @@ def test_weights_tell_good_text_from_bad_on_held_out_rows(spark):
     assert ahead > 0.7, ahead
 
 
+def test_weights_equal_brute_force_and_whole_long_texts_count(spark, odd):
+    good_ids = {1, 8, 12}
+    ratio = {}
+    raw, good = Counter(), Counter()
+
+    def grams(text):
+        words = words_of("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        bucket = lambda t: ratio.setdefault(t, importance.buckets_of(t.encode())[-1])
+        return [bucket(w) for w in words] + [bucket(f"{a} {b}") for a, b in zip(words, words[1:], strict=False)]
+
+    rows = [(i, grams(text)) for i, text, *_ in odd_rows()]
+    for i, found in rows:
+        raw.update(found)
+        good.update(found if i in good_ids else ())
+    n, total, wanted = importance.BUCKETS, sum(raw.values()), sum(good.values())
+    weight = lambda b: math.log((good[b] + 1) / (wanted + n)) - math.log((raw[b] + 1) / (total + n))
+    want = sorted(sum(map(weight, found)) for _, found in rows)
+    got = importance.resampled(odd, spark.createDataFrame([(i,) for i in good_ids], "doc_id long")).collect()
+    assert sorted(r.log_weight for r in got) == pytest.approx(want)
+
+
 def test_exactly_the_largest_scores_are_kept(spark, clashing, empty):
     good = spark.createDataFrame([(1,), (3,), (None,)], "doc_id long")
     rows = importance.resampled(clashing, good, keep=0.5).collect()
