@@ -10,7 +10,7 @@ from playlake.llm.frames import stored
 from playlake.llm.hostrules import kept_documents
 from playlake.llm.mixing import mixed_documents
 from playlake.llm.packing import packed
-from playlake.llm.resemblance import one_of_near_copies
+from playlake.llm.simhash import one_of_each
 from playlake.llm.suffixes import without_repeats
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,27 +20,39 @@ ORACLE_SQL: str | None = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail a rule, unless their host clears them, or whose host fails nearly always."""
+    """Drops documents that fail a rule, unless their host clears them, or whose host fails nearly always.
+
+    A null or blank text is short and goes; a null source is a host; repeated rows are judged alike.
+    """
     return kept_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies (0.8 of 5-word shingles)."""
-    return one_of_near_copies(docs)
+    """Keeps one row of each SimHash group, that with the smallest id: 3-word shingles, at most 3 bits apart.
+
+    A null text has fingerprint zero, a null id comes last, of repeated rows one stays.
+    """
+    return one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts out passages of 50 bytes that a document with a smaller id holds already."""
+    """Cuts out passages of 50 bytes that a document with a smaller id holds already.
+
+    A null text stays null; a null id is in no order with others; a document may be left empty.
+    """
     return without_repeats(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each source as often as its weight asks: a document not at all, in part, or twice."""
+    """Takes each source as often as its weight asks: a document not at all, in part, or twice.
+
+    A null source is a source; texts without words are in no mix; null ids and repeated rows are rows.
+    """
     return mixed_documents(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the mix into training sequences of permitted lengths."""
+    """Packs the mix into training sequences of permitted lengths; long texts are cut into pieces."""
     return packed(docs)
 
 
