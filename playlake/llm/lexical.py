@@ -25,6 +25,7 @@ from math import floor, log
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ from .terms import joined, terms
 
 TOP = 20
 BLOCK_TERMS = 1 << 20
-DOCUMENTS_AT_ONCE = 512
+DOCUMENTS_AT_ONCE = 1024
 #: Sketches per document, each with its own part of the terms' hashes for coordinates.
 ROWS = 3
 #: Coordinates of a sketch for each different term, at least.
@@ -57,17 +58,17 @@ def _coordinates(term: np.ndarray, row: int, width: np.ndarray) -> np.ndarray:
 
 
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sketch and profile of every text."""
+    """Sketch and profile of every text; small batches, as sketches are wider than they are stored."""
+    pack = zstandard.ZstdCompressor().compress
     for batch in batches:
-        n, distinct, sketches, hashes, counts = [], [], [], [], []
-        for _, data, starts in joined(batch.column("text")):
+        for number, data, starts in joined(batch.column("text")):
             begin, _, term = terms(data)
             owner = np.searchsorted(starts, begin, "right") - 1
             order = np.lexsort((term, owner))
             term, owner = term[order], owner[order]
             first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (owner[1:] != owner[:-1]))) if len(term) else np.zeros(0, np.int64)
             count = np.diff(np.append(first, len(term)))
-            n += np.bincount(owner, minlength=len(starts) - 1).tolist()
+            n = np.bincount(owner, minlength=len(starts) - 1)
             term, owner = term[first], owner[first]
             different = np.bincount(owner, minlength=len(starts) - 1)
             width = np.maximum(LEAST_WIDTH, 1 << np.ceil(np.log2(np.maximum(COORDINATES * different, 1))).astype(np.int64))
@@ -77,19 +78,19 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in range(ROWS):
                 np.maximum.at(sketch, base[owner] + row * width[owner] + _coordinates(term, row, width[owner]), code)
             a, b = np.cumsum(different) - different, np.cumsum(different)
-            distinct += different.tolist()
-            sketches += [sketch[x:x + w].tobytes() for x, w in zip(base.tolist(), size.tolist(), strict=True)]
-            hashes += [term[x:y].tobytes() for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-            counts += [count[x:y].astype(np.uint32).tobytes() for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sketches, pa.binary()),
-             pa.array(hashes, pa.binary()), pa.array(counts, pa.binary())],
-            names=["doc_id", "n", "sketch", "terms", "counts"])
+            count = count.astype(np.uint32)
+            sketches = [pack(sketch[x:x + w].tobytes()) for x, w in zip(base.tolist(), size.tolist(), strict=True)]
+            hashes = [term[x:y].tobytes() for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+            counts = [pack(count[x:y].tobytes()) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(number, len(n)), pa.array(n, pa.int64()), pa.array(sketches, pa.binary()),
+                 pa.array(hashes, pa.binary()), pa.array(counts, pa.binary())],
+                names=["doc_id", "n", "sketch", "terms", "counts"])
 
 
 def index(docs: DataFrame) -> DataFrame:
     """The index of ``docs`` (``doc_id``, ``text``): ``doc_id``, the number ``n`` of terms, ``sketch``, and
-    the profile (``terms``, ``counts``). Every row is in it; it depends on no query, and indexes of parts of
+    the profile (``terms``, ``counts``), sketch and counts as Zstandard frames. Every row is in it; it depends on no query, and indexes of parts of
     a corpus are one by union. A null text has no terms. Further columns don't matter."""
     rows = take(docs, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -123,10 +124,12 @@ def _having(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray) -> Iterat
     some = np.zeros(1 << (64 - int(shift)), bool)
     some[(vocabulary >> shift).astype(np.int64)] = True
     for batch in batches:
-        found = np.frombuffer(b"".join(batch.column("terms").to_pylist()), np.uint64)
-        found = found[some[(found >> shift).astype(np.int64)]]
-        at = np.searchsorted(vocabulary, found)
-        total += np.bincount(at[vocabulary[np.minimum(at, len(vocabulary) - 1)] == found], minlength=len(total))
+        for low in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):
+            rows = batch.column("terms").slice(low, DOCUMENTS_AT_ONCE).to_pylist()
+            found = np.frombuffer(b"".join(rows), np.uint64)
+            found = found[some[(found >> shift).astype(np.int64)]]
+            at = np.searchsorted(vocabulary, found)
+            total += np.bincount(at[vocabulary[np.minimum(at, len(vocabulary) - 1)] == found], minlength=len(total))
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["term", "docs"])
 
@@ -142,6 +145,7 @@ class Search:
         self.queries, self.top = queries, top
         self.best: list[list[tuple]] = [[] for _ in queries.ids]  # (-score, id is null, id), best first
         self.scored = 0
+        self.unpack = zstandard.ZstdDecompressor().decompress
 
     def look(self, ids: list, n: np.ndarray, sketches: np.ndarray, hashes: list[bytes], counts: list[bytes]) -> None:
         """Takes documents whose sketches, the rows of a matrix, are of one width."""
@@ -170,7 +174,8 @@ class Search:
         at = np.searchsorted(known, vocabulary)
         at[at == len(known)] = 0
         same = known[at] == vocabulary
-        return int((weights[same] * _impacts(np.frombuffer(counts, np.uint32)[at[same]].astype(np.int64), m)).sum())
+        counted = np.frombuffer(self.unpack(counts), np.uint32)[at[same]].astype(np.int64)
+        return int((weights[same] * _impacts(counted, m)).sum())
 
     def keep(self, best: list[tuple], entry: tuple) -> None:
         if len(best) < self.top or entry < best[-1]:
@@ -181,16 +186,17 @@ class Search:
 
 def _search(batches: Iterator[pa.RecordBatch], queries: Queries, top: int, item: pa.DataType) -> Iterator[pa.RecordBatch]:
     search, kind = Search(queries, top), pa.int64()
-    for batch in batches:
-        kind = batch.column("doc_id").type
-        batch = batch.filter(pc.greater(batch.column("n"), 0))
-        ids, n = batch.column("doc_id").to_pylist(), batch.column("n").to_numpy()
-        sketches, hashes, counts = (batch.column(c).to_pylist() for c in ("sketch", "terms", "counts"))
-        width = np.fromiter(map(len, sketches), np.int64, len(sketches))
-        for w in np.unique(width).tolist():
-            of = np.flatnonzero(width == w)
-            for low in range(0, len(of), DOCUMENTS_AT_ONCE):
-                rows = of[low:low + DOCUMENTS_AT_ONCE].tolist()
+    for whole in batches:
+        kind = whole.column("doc_id").type
+        for low in range(0, whole.num_rows, DOCUMENTS_AT_ONCE):
+            batch = whole.slice(low, DOCUMENTS_AT_ONCE)
+            batch = batch.filter(pc.greater(batch.column("n"), 0))
+            ids, n = batch.column("doc_id").to_pylist(), batch.column("n").to_numpy()
+            hashes, counts = (batch.column(c).to_pylist() for c in ("terms", "counts"))
+            sketches = [search.unpack(s) for s in batch.column("sketch").to_pylist()]
+            width = np.fromiter(map(len, sketches), np.int64, len(sketches))
+            for w in np.unique(width).tolist():
+                rows = np.flatnonzero(width == w).tolist()
                 matrix = np.frombuffer(b"".join(sketches[r] for r in rows), np.uint8).reshape(len(rows), w)
                 search.look([ids[r] for r in rows], n[rows], matrix, [hashes[r] for r in rows], [counts[r] for r in rows])
     found = [(k, queries.ids[k], None if null else i, -score) for k, best in enumerate(search.best) for score, null, i in best]

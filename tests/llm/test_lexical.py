@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 
 from playlake.llm import lexical
 from tests.llm.conftest import PASSAGE, odd_rows
@@ -50,10 +51,12 @@ def test_a_sketch_never_says_less_than_the_profile(spark, odd):
     rows = lexical.index(odd).collect()
     assert len(rows) == len(odd_rows())
     for r in rows:
-        terms, counts = np.frombuffer(r.terms, np.uint64), np.frombuffer(r.counts, np.uint32)
+        unpack = zstandard.ZstdDecompressor().decompress
+        terms, counts = np.frombuffer(r.terms, np.uint64), np.frombuffer(unpack(r.counts), np.uint32)
         assert counts.sum() == r.n
-        width = len(r.sketch) // lexical.ROWS
-        sketch = np.frombuffer(r.sketch, np.uint8).reshape(lexical.ROWS, width)
+        sketch = np.frombuffer(unpack(r.sketch), np.uint8)
+        width = len(sketch) // lexical.ROWS
+        sketch = sketch.reshape(lexical.ROWS, width)
         for row in range(lexical.ROWS):
             assert (lexical.COUNTS[sketch[row][lexical._coordinates(terms, row, width)]] >= counts).all()
 
