@@ -201,7 +201,16 @@ STAGING_EVENTS = Table(
     required=("itemInSession",),
 )
 
-STAGING_SONGS = Table("staging_songs", SONG_FILE)
+#: Staged events with the number each one gets when it is staged.
+STAGED_EVENTS = Table(
+    "staging_events",
+    T.StructType([T.StructField("event_id", T.LongType()), *STAGING_EVENTS.schema.fields]),
+    key=("event_id",),
+    required=("event_id", *STAGING_EVENTS.required),
+)
+
+# a song is known by its id: a line without one is no song
+STAGING_SONGS = Table("staging_songs", SONG_FILE, required=("song_id",))
 
 SESSION_LIBRARY = Table(
     "session_library",

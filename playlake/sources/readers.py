@@ -27,7 +27,8 @@ def read_json(
     files whose name matches.
 
     A malformed line gives a row of NULLs; with ``keep_corrupt`` its text is kept in
-    ``_corrupt_record`` so that it can be set aside (see ``operators.split_corrupt``).
+    ``_corrupt_record`` so that it can be set aside (see ``operators.split_corrupt``). Lines of
+    blanks are passed over, and a line that holds an array gives a row per object in it.
     """
     reader = spark.read.option("recursiveFileLookup", recursive)
     if pattern:
@@ -35,9 +36,21 @@ def read_json(
     if not keep_corrupt:
         return reader.schema(schema).json(paths)
     # Parsed from text lines: a JSON scan would refuse to return the malformed text alone.
+    return parse_json_lines(reader.text(paths), schema)
+
+
+def parse_json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Lines of text (column ``value``) as rows of ``schema`` and ``_corrupt_record``, the text of a
+    malformed line; as ``read_json`` with ``keep_corrupt``, also for streams."""
     fields = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json("value", fields, {"columnNameOfCorruptRecord": CORRUPT})
-    return reader.text(paths).filter(F.trim("value") != "").select(parsed.alias("r")).select("r.*")
+    one = F.from_json("value", fields, {"columnNameOfCorruptRecord": CORRUPT})
+    many = F.from_json("value", T.ArrayType(schema))
+    whole = many.isNotNull() & ~F.exists(many, lambda r: r.isNull())
+    listed = F.transform(many, lambda r: F.struct(
+        *(r[f.name].alias(f.name) for f in schema), F.lit(None).cast("string").alias(CORRUPT)))
+    broken = F.array(F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema), F.col("value").alias(CORRUPT)))
+    rows = F.when(F.col("value").rlike(r"^\s*\["), F.when(whole, listed).otherwise(broken)).otherwise(F.array(one))
+    return lines.filter(F.col("value").rlike(r"\S")).select(F.explode(rows).alias("r")).select("r.*")
 
 
 def _read_csv(
@@ -118,21 +131,21 @@ def scan_report(
 ) -> DataFrame:
     """One row per input file with its row count; files without rows count 0.
 
-    ``rows`` is a scan of ``path``. The file list comes from a listing that never opens
-    the files, and the counts are combined map-side, so one huge file costs no more
-    than its own scan. Files of zero bytes, which Spark never scans, are listed by name.
+    ``rows`` is a scan of ``path``. The file list is the one that any scan makes before it begins; no file is opened for it, and
+    no names are passed to Python. It has files of zero bytes too, which no scan gives a row of. The counts are combined map-side, so one huge file costs no more than its own scan.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     found = reader.load(path)
-    # the listing writes local names with an empty host, the scan without
-    listed = [(name.replace("file:///", "file:/", 1),) for name in found.inputFiles()]
-    names = spark.createDataFrame(listed, "file string")
-    sizes = found.select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
+    sizes = found.select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"), F.lit(0).alias("n"))
     counts = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
-    return names.join(sizes, "file", "left").join(counts, "file", "left").select(
-        "file",
-        F.coalesce("bytes", F.lit(0)).alias("bytes"),
-        F.coalesce("n", F.lit(0)).alias("rows"),
-    )
+    jvm = spark._jvm
+    names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(found._jdf.inputFiles())
+    listed = DataFrame(spark._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING()).toDF(), spark)
+    # the listing writes local names with an empty host, the scan without
+    name = F.regexp_replace("value", "^file:///", "file:/").alias("file")
+    zero = F.lit(0).cast("bigint")
+    counted = (sizes.unionByName(counts.withColumn("bytes", zero))
+               .unionByName(listed.select(name, zero.alias("bytes"), F.lit(0).alias("n"))))
+    return counted.groupBy("file").agg(F.max("bytes").alias("bytes"), F.sum("n").alias("rows"))

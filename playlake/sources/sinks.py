@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import CONSOLIDATED_COLUMNS, Table
+from ..workspace import scratch_path
 
 
 def write_parquet(
@@ -14,6 +15,7 @@ def write_parquet(
     path: str,
     *,
     partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
     mode: str = "overwrite",
     dynamic: bool = False,
 ) -> None:
@@ -24,8 +26,16 @@ def write_parquet(
     with a third of all rows neither lands in one task nor in thousands of tiny files.
     ``overwrite`` replaces the whole dataset, or with ``dynamic`` only the partitions
     present in ``df``. Empty text is stored as NULL in a partition column.
+
+    With ``sort_by`` rows are ranged by it instead, within ``partition_by``, and sorted: each file
+    holds a narrow range, and a folder as many files as its ranges fall into.
     """
-    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode(mode)
+    if sort_by:
+        order = [*partition_by, *sort_by]
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         if dynamic:
@@ -34,17 +44,38 @@ def write_parquet(
 
 
 def write_keyed(
-    df: DataFrame, table: Table, path: str, *, files: int | None = None, mode: str = "overwrite"
+    df: DataFrame,
+    table: Table,
+    path: str,
+    *,
+    files: int | None = None,
+    mode: str = "overwrite",
+    bloom: Sequence[str] = (),
 ) -> None:
     """Write a keyed lookup table laid out for point reads on its key.
 
     Rows are range-partitioned and sorted by partition key, then clustering key. Each
     file covers a narrow key range, so a lookup skips nearly all files and row groups
     by their min/max, and a partition key with very many rows spreads over files.
+
+    ``bloom`` names columns whose row groups get a Bloom filter, sized by their values. By it a
+    lookup also skips row groups whose range has the value in it but which don't hold it: of a
+    key that isn't there, or of a column that the rows aren't sorted by.
+
+    Ranging samples its input in a job of its own, so the rows are stored before.
     """
     key = [*table.partition_key, *table.clustering_key]
-    spread = df.repartitionByRange(files, *key) if files else df.repartitionByRange(*key)
-    spread.select(table.columns).sortWithinPartitions(*key).write.mode(mode).parquet(path)
+    scratch = scratch_path(df.sparkSession, f"keyed-{table.name}")
+    df.select(table.columns).write.parquet(scratch)
+    rows = df.sparkSession.read.schema(table.schema).parquet(scratch)
+    spread = rows.repartitionByRange(files, *key) if files else rows.repartitionByRange(*key)
+    writer = spread.sortWithinPartitions(*key).write.mode(mode)
+    for column in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    if bloom:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    writer.parquet(path)
+    delete_folder(df.sparkSession, scratch)
 
 
 def write_consolidated(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
@@ -100,6 +131,32 @@ def reset_tables(
     create_tables(spark, tables, database, location)
 
 
+def write_bucketed(
+    df: DataFrame,
+    name: str,
+    path: str,
+    by: Sequence[str],
+    buckets: int,
+    *,
+    sort: Sequence[str] = (),
+    database: str | None = None,
+) -> DataFrame:
+    """Write a catalog table whose files are hash buckets of ``by``, sorted in themselves.
+
+    Tables with the same buckets join on those columns, and group by them, without an exchange; with
+    ``spark.sql.legacy.bucketedTableScan.outputOrdering`` also without a sort, as there is one file
+    per bucket. The number of buckets is for the table's whole life, about its size over 1 GB. A key
+    with a large share of the rows makes its bucket as large.
+    """
+    order = [*by, *(c for c in sort if c not in by)]
+    (
+        df.repartition(buckets, *by).write.mode("overwrite").format("parquet")
+        .bucketBy(buckets, *by).sortBy(*order).option("path", path)
+        .saveAsTable(_qualified(database, name))
+    )
+    return df.sparkSession.table(_qualified(database, name))
+
+
 def insert_into(df: DataFrame, table: Table, database: str | None = None) -> None:
     """Append a query result to a catalog table, matching columns by name."""
     df.select(table.columns).write.insertInto(_qualified(database, table.name))
@@ -147,6 +204,19 @@ def expire_versions(spark: SparkSession, base: str, keep: int = 2) -> None:
         delete_folder(spark, _version_path(base, version))
 
 
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders that match a glob pattern, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(_hadoop_conf(spark)).globStatus(path) or []
+    return sorted(status.getPath().toString() for status in found if status.isDirectory())
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files in a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(_hadoop_conf(spark)).getContentSummary(folder).getLength()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all its files, if it is there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +14,27 @@ from ..schemas import CORRUPT, FAULT, LOG_FILE, SONG_FILE, STAGING_EVENTS, STAGI
 from .readers import read_json
 
 
-def _steps(path: str) -> list[str]:
-    steps = path.removeprefix("$").replace("['", ".").replace("']", "").strip(".").split(".")
-    if not all(steps) or any("[" in s for s in steps):
-        raise ValueError(f"not a path of object keys: {path!r}")
+_STEP = re.compile(r"\.([^.\[\]']+)|\['([^'\]]+)'\]|\[(\d+)\]")
+
+
+def _steps(path: str) -> list[str | int]:
+    """The object keys and array positions of a path."""
+    rest = path.removeprefix("$")
+    rest = rest if rest[:1] in (".", "[") else f".{rest}"
+    steps, at = [], 0
+    while found := _STEP.match(rest, at):
+        key, quoted, position = found.groups()
+        steps.append(int(position) if position is not None else key or quoted)
+        at = found.end()
+    if not steps or at != len(rest):
+        raise ValueError(f"not a path of object keys and array positions: {path!r}")
     return steps
 
 
+def _variant_path(steps: Sequence[str | int]) -> str:
+    return "$" + "".join(f"[{s}]" if isinstance(s, int) else f"['{s}']" for s in steps)
+
+
 def _nested(tree: Mapping) -> T.StructType:
     return T.StructType([
         T.StructField(name, _nested(node) if isinstance(node, Mapping) else node)
@@ -36,9 +51,21 @@ def read_mapped_json(
 ) -> DataFrame:
     """JSON lines through a column map ``target: (json path, type)``.
 
-    Paths are object keys, ``$.user.id`` or ``$['user']['id']``. All of them are read
-    in one parse of the line: they become one nested schema for the scan.
+    Paths are object keys, ``$.user.id`` or ``$['user']['id']``, and array positions,
+    ``$.songs[0].title``. All of them are read in one parse of the line. Without positions they
+    become one nested schema for the scan, which parses nothing else; with positions the line
+    becomes one variant value that they are taken from. What isn't there, or isn't of the type, is
+    NULL, and a malformed line a row of NULLs.
     """
+    if any(isinstance(s, int) for path, _ in mapping.values() for s in _steps(path)):
+        reader = spark.read.option("recursiveFileLookup", True)
+        if pattern:
+            reader = reader.option("pathGlobFilter", pattern)
+        lines = reader.text(paths).filter(F.col("value").rlike(r"\S")).select(F.try_parse_json("value").alias("line"))
+        return lines.select([
+            F.try_variant_get("line", _variant_path(_steps(path)), kind.simpleString()).alias(target)
+            for target, (path, kind) in mapping.items()
+        ])
     tree: dict = {}
     columns = []
     for target, (path, kind) in mapping.items():
@@ -89,8 +116,9 @@ def stage_events(
     clip: bool = False,
     pattern: str | None = None,
 ) -> DataFrame:
-    """Activity files as ``staging_events`` rows."""
-    return typed_events(read_json(spark, paths, LOG_FILE, pattern=pattern), clip=clip)
+    """Activity files as ``staging_events`` rows; a malformed line fails the job that reads it."""
+    raw = read_json(spark, paths, LOG_FILE, pattern=pattern, keep_corrupt=True)
+    return typed_events(refuse_faults(with_fault(raw)), clip=clip)
 
 
 def stage_songs(
@@ -100,8 +128,9 @@ def stage_songs(
     clip: bool = True,
     pattern: str | None = None,
 ) -> DataFrame:
-    """Song files as ``staging_songs`` rows."""
-    return typed_songs(read_json(spark, paths, SONG_FILE, pattern=pattern), clip=clip)
+    """Song files as ``staging_songs`` rows; a malformed line fails the job that reads it."""
+    raw = read_json(spark, paths, SONG_FILE, pattern=pattern, keep_corrupt=True)
+    return typed_songs(refuse_faults(with_fault(raw)), clip=clip)
 
 
 def with_fault(
@@ -129,7 +158,11 @@ def checked_events(
     spark: SparkSession, paths: str | Sequence[str], *, pattern: str | None = None
 ) -> DataFrame:
     """Activity files as ``staging_events`` rows with their ``fault`` and malformed lines."""
-    raw = read_json(spark, paths, LOG_FILE, pattern=pattern, keep_corrupt=True)
+    return log_faults(read_json(spark, paths, LOG_FILE, pattern=pattern, keep_corrupt=True))
+
+
+def log_faults(raw: DataFrame) -> DataFrame:
+    """Parsed log lines as ``staging_events`` rows with their ``fault`` and malformed lines."""
     return _typed(with_fault(raw, STAGING_EVENTS.required), STAGING_EVENTS.schema, False, FAULTY)
 
 
