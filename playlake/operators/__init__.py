@@ -1,3 +1,5 @@
+from .asof import asof_join
+from .changes import table_changes
 from .clean import (
     enforce_required,
     known_users,
@@ -13,7 +15,7 @@ from .resolve import resolve_all, resolve_first
 from .top import top_k, top_k_per_group
 
 __all__ = [
-    "append_unique", "assert_unique", "dense_key", "distinct_rows", "duplicate_keys",
+    "append_unique", "asof_join", "table_changes", "assert_unique", "dense_key", "distinct_rows", "duplicate_keys",
     "enforce_required", "first_per_key", "hash_key", "insert_absent", "known_users",
     "last_per_key", "latest_per_key", "merge_fields", "plays", "resolve_all", "resolve_first",
     "sparse_key", "split_corrupt", "split_valid", "surrogate_key", "top_k", "top_k_per_group",

@@ -2,7 +2,7 @@
 
 Three presets give the same five tables under different rules:
 
-``keyed``      unique songs, first row per artist, users merged field by field over plays,
+``keyed``      unique songs, first row per artist with whole coordinates, users merged field by field over plays,
                one time row per play, at most one song per play, ids counted from 1
 ``warehouse``  distinct rows, users as of their latest line on any page, every matching
                song, repeats within a second dropped, one time row per moment of the fact,
@@ -60,6 +60,7 @@ from . import keyed, star
 class Preset:
     unique_songs: bool = False
     one_artist_per_id: bool = False
+    whole_coordinates: bool = False
     users: str = "latest_plays"
     precision: str = "s"
     match: str = "all"
@@ -78,6 +79,7 @@ PRESETS = {
     "keyed": Preset(
         unique_songs=True,
         one_artist_per_id=True,
+        whole_coordinates=True,
         users="upsert",
         precision="ms",
         match="first",
@@ -151,7 +153,9 @@ def load_catalog(catalog: DataFrame, preset: str = "warehouse") -> dict[str, Dat
     rules = PRESETS[preset]
     return {
         SONG.name: star.songs(catalog, dedupe=not rules.unique_songs),
-        ARTIST.name: star.artists(catalog, one_per_id=rules.one_artist_per_id),
+        ARTIST.name: star.artists(
+            catalog, one_per_id=rules.one_artist_per_id, whole_coordinates=rules.whole_coordinates
+        ),
     }
 
 
@@ -197,18 +201,24 @@ def build_star(
     return tables
 
 
-def _partitions(table: Table, rules: Preset, by_id: bool) -> list[str]:
+def _partitions(table: Table, rules: Preset, by_id: bool | str) -> list[str]:
     if not rules.by_month:
         return []
     if table in (TIME, SONGPLAY):
         return ["year", "month"]
     if by_id and table == SONG:
-        return ["year", "artist_id"]
-    if by_id and table == USERS:
+        return ["year"] if by_id == "sorted" else ["year", "artist_id"]
+    if by_id is True and table == USERS:
         return ["user_id"]
     return []
 
 
+def _sorted_by(table: Table, rules: Preset, by_id: bool | str) -> list[str]:
+    if not rules.by_month or by_id != "sorted":
+        return []
+    return {SONG.name: ["artist_id"], USERS.name: ["user_id"]}.get(table.name, [])
+
+
 def _month_columns(table: Table) -> T.StructType:
     return T.StructType([
         *table.schema.fields,
@@ -224,7 +234,7 @@ def load_star(
     out: str,
     preset: str = "warehouse",
     *,
-    by_id: bool = False,
+    by_id: bool | str = False,
     pattern: str | None = None,
     bad: str = "fail",
 ) -> dict[str, DataFrame]:
@@ -233,8 +243,9 @@ def load_star(
     Each raw file is parsed once; a time table taken from the fact reads the written fact.
     All files below the paths are read, with the ``keyed`` preset those named ``*.json``;
     ``pattern`` names others. ``bad`` says what becomes of rows that can't be loaded (``stage``).
-    ``by_id`` lays the lake's songs out by year and artist and its users by id: one folder
-    per value, to be used for few values only.
+    ``by_id`` lays the lake's songs out by year and artist and its users by id. ``"sorted"``: songs in a
+    folder per year in the order of their artists, users in the order of their ids, so that scans skip
+    files by them. ``True``: one folder per value, to be used for few values only.
     """
     rules = PRESETS[preset]
     log, catalog = stage(
@@ -253,7 +264,12 @@ def load_star(
             if rules.by_month:
                 rows, schema = star.with_year_month(rows), _month_columns(table)
         path = f"{out}/{table.name}"
-        write_parquet(rows, path, partition_by=_partitions(table, rules, by_id))
+        write_parquet(
+            rows,
+            path,
+            partition_by=_partitions(table, rules, by_id),
+            sort_by=_sorted_by(table, rules, by_id),
+        )
         return table.name, read_parquet(spark, path, schema)
 
     first = [SONG, ARTIST, USERS, SONGPLAY, *([] if rules.time_of_fact else [TIME])]
@@ -299,7 +315,8 @@ def load_lookup_tables(
 
     def write(table: Table, build: Callable) -> tuple[str, DataFrame]:
         path = f"{out}/{table.name}"
-        write_keyed(build(events, ["arrival.file", "arrival.block", "arrival.row"]), table, path)
+        rows = build(events, ["arrival.file", "arrival.block", "arrival.row"])
+        write_keyed(rows, table, path, bloom=table.partition_key)
         return table.name, read_parquet(spark, path, table.schema)
 
     pairs = zip(KEYED, builders, strict=True)

@@ -69,3 +69,22 @@ def schema_differences(df: DataFrame, table: Table) -> list[str]:
             if n in have and have[n] != want[n]
         ),
     ]
+
+
+def column_report(df: DataFrame, table: Table) -> DataFrame:
+    """Each column of a table: its place and type, whether the type is the declared one, and how many
+    rows have a value in it. One scan for all columns."""
+    want = {f.name: f.dataType for f in table.schema}
+    filled = df.agg(*(F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)))
+    columns = [
+        F.struct(
+            F.lit(table.name).alias("table_name"),
+            F.lit(i + 1).alias("place"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            F.lit(want.get(f.name) == f.dataType).alias("as_declared"),
+            F.col(f"n{i}").alias("filled"),
+        )
+        for i, f in enumerate(df.schema)
+    ]
+    return filled.select(F.explode(F.array(*columns)).alias("c")).select("c.*")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import event_time
 from ..operators import first_per_key, plays, resolve_all, top_k, top_k_per_group
 from ..operators.resolve import MATCH
 
@@ -98,3 +99,49 @@ def songs_of_artists(songs: DataFrame, artists: DataFrame) -> DataFrame:
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     """The first ``n`` rows in a given order."""
     return df.orderBy(*order).limit(n)
+
+
+# Base-2 logarithm of a sketch's registers. Its relative standard error is 1.04 / sqrt(4096).
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / (1 << SKETCH_BITS) ** 0.5
+
+
+def daily_user_sketches(fact: DataFrame) -> DataFrame:
+    """Per day and level a HyperLogLog sketch of the users who played something.
+
+    A sketch has a fixed size however many users it has seen, and sketches of days merge to those
+    of months, which counts of days don't: a user of two days is one user of the month. So a day is
+    read once, when it is over.
+    """
+    return fact.groupBy(F.to_date("start_time").alias("day"), "level").agg(
+        F.hll_sketch_agg("user_id", F.lit(SKETCH_BITS)).alias("users")
+    )
+
+
+def users_of_months(sketches: DataFrame) -> DataFrame:
+    """Per month and level about how many different users played something, from the days' sketches."""
+    return sketches.groupBy(F.year("day").alias("year"), F.month("day").alias("month"), "level").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("users")).alias("users")
+    )
+
+
+def play_rollup(log: DataFrame, country: str = "location", least: int = 1) -> DataFrame:
+    """Plays and the median length by country, level and month, and summed up over month, level and
+    country; only groups of ``least`` plays or more. ``grouping`` tells sums from values: a bit for each
+    column that is summed over, country first.
+
+    Equal lengths are counted before the rows are multiplied for the sums, and the exact median is
+    taken from those counts.
+    """
+    rows = plays(log).select(
+        F.col(country).alias("country"), "level", F.date_trunc("month", event_time("ts")).cast("date").alias("month"), "length")
+    counted = rows.groupBy("country", "level", "month", "length").agg(F.count("*").alias("n"))
+    return (
+        counted.rollup("country", "level", "month")
+        .agg(
+            F.grouping_id().cast("int").alias("grouping"),
+            F.sum("n").alias("plays"),
+            F.percentile("length", 0.5, F.col("n")).alias("median_length"),
+        )
+        .filter(F.col("plays") >= least)
+    )

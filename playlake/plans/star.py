@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import event_time, round_to_int, time_parts, to_id
 from ..operators import (
+    asof_join,
     distinct_rows,
     first_per_key,
     known_users,
@@ -23,6 +24,7 @@ from ..operators import (
     resolve_first,
     surrogate_key,
 )
+from ..operators.clean import PLAY_PAGE
 from ..operators.resolve import MATCH
 from ..schemas import SESSION, SONG, SONGPLAY, TIME, USERS
 
@@ -51,16 +53,23 @@ def artist_columns(catalog: DataFrame, *, whole_coordinates: bool = False) -> Da
 
 
 def artists(
-    catalog: DataFrame, *, one_per_id: bool = False, seq: Sequence[str] = ("song_id",)
+    catalog: DataFrame,
+    *,
+    one_per_id: bool = False,
+    seq: Sequence[str] = ("song_id",),
+    whole_coordinates: bool = False,
 ) -> DataFrame:
     """Artist dimension.
 
     Whole-row distinct keeps every spelling of an artist; ``one_per_id`` keeps the first
-    row of each id in the order of ``seq``, which are catalog columns.
+    row of each id in the order of ``seq``, which are catalog columns. ``whole_coordinates``
+    rounds latitude and longitude to whole numbers, kept as doubles.
     """
-    if not one_per_id:
-        return distinct_rows(artist_columns(catalog))
-    return artist_columns(first_per_key(catalog, ["artist_id"], seq))
+    rows = first_per_key(catalog, ["artist_id"], seq) if one_per_id else catalog
+    columns = artist_columns(rows, whole_coordinates=whole_coordinates)
+    if whole_coordinates:
+        columns = columns.withColumns({c: F.col(c).cast("double") for c in ("latitude", "longitude")})
+    return columns if one_per_id else distinct_rows(columns)
 
 
 def _user_columns(log: DataFrame) -> list:
@@ -223,3 +232,32 @@ def sessions(log: DataFrame) -> DataFrame:
         .distinct()
         .select(SESSION.columns)
     )
+
+
+def sessions_by_gap(log: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """The sessions that a log's times show: a user's lines none of which comes more than ``gap``
+    after the one before. ``user_id``, first and last moment, lines, and plays among them.
+
+    Lines are merged into sessions by each task before the shuffle (``configure``), so a user with
+    very many lines reaches the next task as their sessions.
+    """
+    lines = known_users(log).select(
+        _user_columns(log)[0], F.timestamp_millis("ts").alias("at"), event_time("ts", "ms").alias("moment"),
+        (F.col("page") == PLAY_PAGE).cast("bigint").alias("play"),
+    ).filter("user_id IS NOT NULL")
+    return (
+        lines.groupBy("user_id", F.session_window("at", gap))
+        .agg(
+            F.min("moment").alias("first_moment"),
+            F.max("moment").alias("last_moment"),
+            F.count("*").alias("lines"),
+            F.sum("play").alias("plays"),
+        )
+        .drop("session_window")
+    )
+
+
+def level_at_plays(log: DataFrame, levels: DataFrame) -> DataFrame:
+    """The plays of ``log`` with the ``level`` their user had then: that of the latest line of
+    ``levels`` at or before them, NULL before the first one."""
+    return asof_join(plays(log).drop("level"), levels, ["userId"], "ts", ["level"])
