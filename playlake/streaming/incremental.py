@@ -16,16 +16,21 @@ from pyspark.sql import types as T
 
 from ..operators import plays
 from ..plans import star
-from ..schemas import LOG_FILE, SONGPLAY, STAGING_EVENTS, TIME, USERS, Table
+from ..schemas import CORRUPT, FAULT, LOG_FILE, SONGPLAY, STAGING_EVENTS, TIME, USERS, Table
 from ..sources import (
+    FAULTY,
     current_version,
     delete_folder,
     expire_versions,
+    log_faults,
+    parse_json_lines,
     read_version,
-    typed_events,
+    refuse_faults,
     write_version,
 )
 from ..workspace import at_once
+from .buckets import BUCKETS, expire_buckets, merge_into_buckets, read_buckets
+from .compaction import FILE_BYTES, append_batch, compact, read_batches
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -37,6 +42,11 @@ ID_END = Table("songplay_end", T.StructType([T.StructField("next_id", T.LongType
 
 OWNER = Table("owner", T.StructType([T.StructField("id", T.StringType())]))
 
+QUARANTINED = Table(
+    "quarantine",
+    T.StructType([T.StructField(c, T.StringType()) for c in (FAULT, CORRUPT, "row")]),
+)
+
 USER_STATES = Table(
     "user_states",
     T.StructType([
@@ -58,17 +68,19 @@ def each_new_file(
     pattern: str | None = None,
     files_per_batch: int | None = None,
 ) -> None:
-    """Hand all files not seen before to ``handler(rows, batch number)`` and stop.
+    """Hand all files of JSON lines not seen before to ``handler(rows, batch number)`` and stop.
 
-    ``checkpoint`` remembers the files; a run that finds no new ones does nothing.
+    The rows have the columns of ``schema`` and ``_corrupt_record``, the text of a malformed line:
+    the handler decides what becomes of those. ``checkpoint`` remembers the files; a run that finds
+    no new ones does nothing, and a batch whose handler failed is handed over again.
     """
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    reader = spark.readStream.option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     (
-        reader.json(source)
+        parse_json_lines(reader.text(source), schema)
         .writeStream.foreachBatch(handler)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -77,22 +89,6 @@ def each_new_file(
     )
 
 
-def append_batch(rows: DataFrame, path: str, batch: int) -> None:
-    """Add a batch to a dataset as its own ``batch=`` folder; a replay replaces the folder."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
-
-
-def read_batches(
-    spark: SparkSession, path: str, table: Table, up_to: int | None = None
-) -> DataFrame:
-    """The rows of all batches of a dataset, or of those up to a batch number."""
-    schema = T.StructType([*table.schema.fields, _BATCH])
-    rows = spark.read.schema(schema).parquet(path)
-    if up_to is not None:
-        rows = rows.filter(F.col("batch") <= up_to)
-    return rows.select(table.columns)
-
-
 def _owner(spark: SparkSession, base: str) -> str | None:
     last = current_version(spark, f"{base}/owner")
     return None if last is None else read_version(spark, f"{base}/owner", OWNER, last).first()["id"]
@@ -113,26 +109,19 @@ def claim(spark: SparkSession, out: str, checkpoint: str) -> None:
             write_version(spark.createDataFrame([(name,)], OWNER.schema), f"{base}/owner", 0)
 
 
-def merge_users_batch(log: DataFrame, base: str, batch: int) -> None:
-    """Merge a batch of log lines into the versioned user states below ``base``.
+def merge_users_batch(log: DataFrame, base: str, batch: int, buckets: int = BUCKETS) -> None:
+    """Merge a batch of log lines into the user states below ``base``, bucket by bucket.
 
-    The batch is reduced to one state per user before it meets the stored ones. The
-    states read are those of an earlier batch, so a replay gives the same version again.
+    The batch is reduced to one state per user before it meets the stored ones, and only buckets
+    with users of the batch are rewritten. The states read are those of an earlier batch, so a
+    replay gives the same states again.
     """
-    spark = log.sparkSession
-    states = star.user_states(log)
-    last = current_version(spark, base, before=batch)
-    if last is not None:
-        states = star.merge_user_states(read_version(spark, base, USER_STATES, last).unionByName(states))
-    write_version(states, base, batch)
+    merge_into_buckets(star.user_states(log), base, batch, USER_STATES, star.merge_user_states, buckets)
 
 
 def users_now(spark: SparkSession, base: str, up_to: int | None = None) -> DataFrame:
     """The users table as of the last merged batch, or of the last one up to a batch number."""
-    version = current_version(spark, base, before=None if up_to is None else up_to + 1)
-    if version is None:
-        raise ValueError(f"no completed version below {base}")
-    return read_version(spark, base, USER_STATES, version).select(USERS.columns)
+    return read_buckets(spark, base, USER_STATES, up_to).select(USERS.columns)
 
 
 def _append_numbered(fact: DataFrame, out: str, batch: int) -> None:
@@ -160,9 +149,16 @@ def load_activity_files(
     *,
     files_per_batch: int | None = None,
     pattern: str | None = "*.json",
+    bad: str = "fail",
+    buckets: int = BUCKETS,
 ) -> dict[str, DataFrame]:
     """New activity files to users, time and songplay below ``out``, under the ``keyed`` rules.
 
+    ``bad`` says what becomes of malformed lines and of lines without a required column, as in the
+    other loads. ``'fail'``: the batch fails before any table has it, and is tried again by the next
+    run. ``'quarantine'``: they go to ``out/quarantine/staging_events`` as part of their batch, with
+    the reason, and the others are loaded.
+
     A batch counts once all three tables have it: what is returned ends with the last batch
     noted in ``out/commits``. ``out`` belongs to ``checkpoint`` from the first run on (``claim``).
 
@@ -171,26 +167,33 @@ def load_activity_files(
     """
 
     def handler(raw: DataFrame, batch: int) -> None:
-        append_batch(typed_events(raw), f"{out}/events", batch)
-        stored = raw.sparkSession.read.schema(STAGING_EVENTS.schema).parquet(
-            f"{out}/events/batch={batch}"
-        )
-        log = plays(stored)
+        session = raw.sparkSession
+        rows = log_faults(raw)
+        append_batch(refuse_faults(rows) if bad == "fail" else rows, f"{out}/events", batch)
+        checked = T.StructType([*STAGING_EVENTS.schema, *(T.StructField(c, T.StringType()) for c in FAULTY)])
+        stored = session.read.schema(checked).parquet(f"{out}/events/batch={batch}")
+        if bad == "quarantine":
+            row = F.to_json(F.struct(*STAGING_EVENTS.columns)).alias("row")
+            faulty = stored.filter(F.col(FAULT).isNotNull()).select(*FAULTY, row)
+            append_batch(faulty, f"{out}/quarantine/{STAGING_EVENTS.name}", batch)
+        log = plays(stored.filter(F.col(FAULT).isNull()).drop(*FAULTY))
         times = star.time_dimension(
             star.log_times(log, precision="ms"), distinct=False, style="mon0"
         )
         fact = star.songplays(log, catalog, match="first", precision="ms")
-        session = raw.sparkSession
         at_once(
-            partial(merge_users_batch, log, f"{out}/users", batch),
+            partial(merge_users_batch, log, f"{out}/users", batch, buckets),
             partial(append_batch, times, f"{out}/time", batch),
             partial(_append_numbered, fact, out, batch),
         )
         write_version(session.createDataFrame([(batch,)], _COMMIT), f"{out}/commits", batch)
         # the batch before stays for readers that have begun, and for a replay of this one
-        for versioned in ("users", "songplay_end", "commits"):
+        for versioned in ("songplay_end", "commits"):
             expire_versions(session, f"{out}/{versioned}", keep=3)
+        expire_buckets(session, f"{out}/users", keep=3)
 
+    if bad not in ("fail", "quarantine"):
+        raise ValueError(f"bad must be 'fail' or 'quarantine', not {bad!r}")
     claim(spark, out, checkpoint)
     each_new_file(
         spark,
@@ -214,3 +217,23 @@ def activity_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
         TIME.name: read_batches(spark, f"{out}/time", TIME, last),
         SONGPLAY.name: read_batches(spark, f"{out}/songplay", SONGPLAY, last),
     }
+
+
+def quarantined(spark: SparkSession, out: str) -> DataFrame:
+    """What ``load_activity_files(bad='quarantine')`` has set aside, up to the last batch that is done:
+    ``fault``, the malformed line, and the row as JSON."""
+    last = current_version(spark, f"{out}/commits")
+    if last is None:
+        raise ValueError(f"no completed batch below {out}")
+    return read_batches(spark, f"{out}/quarantine/{STAGING_EVENTS.name}", QUARANTINED, last)
+
+
+def compact_activity(spark: SparkSession, out: str, file_bytes: int = FILE_BYTES) -> dict[str, int]:
+    """Compact the time and songplay batches that are done, sorted by their time; how many of each."""
+    last = current_version(spark, f"{out}/commits")
+    if last is None:
+        raise ValueError(f"no completed batch below {out}")
+    return {
+        table.name: compact(spark, f"{out}/{table.name}", table, last, order=["start_time"], file_bytes=file_bytes)
+        for table in (TIME, SONGPLAY)
+    }
