@@ -70,8 +70,9 @@ def _loaded(spark: SparkSession, sf_dir: str, preset: str) -> DataFrame:
 @query(_wide_sql(
     with_roles("activity catalog", ""),
     song=_SONGS.format(distinct=""),
-    artist=f"""SELECT {_ARTIST_SQL} FROM (
-      SELECT *, row_number() OVER (PARTITION BY artist_id ORDER BY song_id) AS n FROM catalog) WHERE n = 1""",
+    artist=f"""SELECT * REPLACE (CAST(round(latitude) AS DOUBLE) AS latitude, CAST(round(longitude) AS DOUBLE) AS longitude)
+    FROM (SELECT {_ARTIST_SQL} FROM (
+      SELECT *, row_number() OVER (PARTITION BY artist_id ORDER BY song_id) AS n FROM catalog) WHERE n = 1)""",
     **_KEYED,
 ))
 def load_keyed_values(spark: SparkSession, sf_dir: str) -> DataFrame:

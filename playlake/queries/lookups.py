@@ -111,5 +111,5 @@ SELECT user FROM song_library WHERE song_title = 'blue bolt'
 def song_listeners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everyone who listened to one title, from the stored table."""
     path = scratch_path(spark, "song_library")
-    write_keyed(_song_library(spark, sf_dir), SONG_LIBRARY, path)
+    write_keyed(_song_library(spark, sf_dir), SONG_LIBRARY, path, bloom=["song_title"])
     return keyed.listeners(read_parquet(spark, path, SONG_LIBRARY.schema), "blue bolt")
