@@ -1,11 +1,12 @@
-"""Surrogate keys: sparse, hash and dense."""
+"""Surrogate keys: sparse, hash and dense, in the rows or added as they are read."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..workspace import scratch_path
 
@@ -84,6 +85,35 @@ def dense_key(
     )
 
 
+def write_numbered(df: DataFrame, path: str) -> None:
+    """Write rows that ``read_numbered`` gives consecutive ids to: once, without a scratch table.
+
+    The rows carry their task and their place in it; one small table below ``path`` says how many
+    rows come before each task's. The files never change, so neither do the ids.
+    """
+    stored = _store_with_position(df, f"{path}/rows")
+    sizes = stored.groupBy(_PART).agg(F.count("*").alias("n"))
+    # one row per task that wrote
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(_PART, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_OFFSET))
+    offsets.coalesce(1).write.parquet(f"{path}/offsets")
+
+
+def read_numbered(spark: SparkSession, path: str, name: str, schema: T.StructType, start: int = 1) -> DataFrame:
+    """The rows of ``write_numbered`` with their id, the first column ``name``, from ``start`` on.
+
+    The table of offsets has one row per task that wrote; it is broadcast if its size allows that.
+    """
+    place = T.StructType([*schema.fields, T.StructField(_PART, T.LongType()), T.StructField(_POS, T.LongType())])
+    offsets = T.StructType([T.StructField(_PART, T.LongType()), T.StructField(_OFFSET, T.LongType())])
+    rows = spark.read.schema(place).parquet(f"{path}/rows")
+    return (
+        rows.join(spark.read.schema(offsets).parquet(f"{path}/offsets"), _PART)
+        .withColumn(name, F.col(_OFFSET) + F.col(_POS) + F.lit(start).cast("bigint"))
+        .select(name, *schema.fieldNames())
+    )
+
+
 def surrogate_key(
     df: DataFrame,
     name: str,

@@ -14,8 +14,10 @@ from ..operators import (
     known_users,
     latest_per_key,
     plays,
+    read_numbered,
     resolve_all,
     sparse_key,
+    write_numbered,
 )
 from ..plans import reports, star
 from ..schemas import ARTIST
@@ -272,6 +274,18 @@ def songplay_serial_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(_IDS_SQL.format(low="1", high="count(*)"))
+def songplay_numbered_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consecutive ids from 1 of a fact that was written once, added as it is read."""
+    path, rows = scratch_path(spark, "numbered"), fact(spark, sf_dir)
+    write_numbered(rows, path)
+    return read_numbered(spark, path, "songplay_id", rows.schema).agg(
+        F.countDistinct("songplay_id").alias("ids"),
+        F.min("songplay_id").alias("low"),
+        F.max("songplay_id").alias("high"),
+    )
+
+
 @query(with_roles("activity catalog plays", """
 SELECT CAST(count(*) AS BIGINT) AS sparse_ids, CAST(count(*) AS BIGINT) AS hash_ids FROM plays
 """))

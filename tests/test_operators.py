@@ -17,6 +17,7 @@ from playlake.operators import (
     latest_per_key,
     merge_fields,
     plays,
+    read_numbered,
     resolve_all,
     resolve_first,
     sparse_key,
@@ -25,6 +26,7 @@ from playlake.operators import (
     top_k,
     top_k_per_group,
     with_artist,
+    write_numbered,
 )
 from tests import data
 from tests.data import rows
@@ -177,3 +179,14 @@ def test_top_k_breaks_ties_by_key_and_adds_up_counts(spark):
     ]
     counted = df.groupBy("g", "k").agg(F.count("*").alias("plays"))
     assert top_k(counted, ["k"], 3).collect() == top.collect()
+
+
+def test_ids_are_added_on_reading_and_stay(spark, tmp_path):
+    df = spark.range(0, 500, 1, 7).filter("id % 5 <> 0 AND id > 100").selectExpr("id AS v")
+    write_numbered(df, str(tmp_path / "t"))
+    first = read_numbered(spark, str(tmp_path / "t"), "n", df.schema, start=10)
+    assert first.columns == ["n", "v"]
+    assert sorted(r.n for r in first.collect()) == list(range(10, 10 + df.count()))
+    assert sorted(first.collect()) == sorted(read_numbered(spark, str(tmp_path / "t"), "n", df.schema, start=10).collect())
+    write_numbered(df.limit(0), str(tmp_path / "none"))
+    assert read_numbered(spark, str(tmp_path / "none"), "n", df.schema).count() == 0
