@@ -108,40 +108,43 @@ def shingle_count(a: pa.Array) -> pa.Array:
 
 def _bucketed(docs: DataFrame, buckets: int) -> DataFrame:
     """Rows with the range of ids they lie in, largest ids first; the first row of a range also
-    stands at the end of the range before, as ``guest``."""
+    stands at the end of the range before, as ``guest``. Rows without an id follow in as many
+    ranges of their texts' hashes."""
     slim = docs.select("doc_id").where("doc_id is not null")
     cuts = [c for c in (slim.select(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)],
                                                         max(10_000, 10 * buckets)).alias("cuts")).first()["cuts"] if buckets > 1 else None) or [] if c is not None]
     bounds = np.unique(np.array(cuts, np.int64))
     last = len(bounds)  # range i holds ids from bounds[i - 1] + 1 to bounds[i]
 
-    def ranges(ids: pa.Array) -> np.ndarray:
-        # null ids come after all others
+    def ranges(ids: pa.Array, ties: pa.Array) -> np.ndarray:
+        # null ids come after all others, by the leading bits of their ties
         found = len(bounds) - np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False), "left")
-        return np.where(ids.is_null().to_numpy(zero_copy_only=False), last + 1, found)
+        rising = (ties.to_numpy(zero_copy_only=False) >> 32) + (1 << 31)
+        return np.where(ids.is_null().to_numpy(zero_copy_only=False), last + 1 + ((rising * buckets) >> 32), found)
 
     @F.arrow_udf("int")
-    def range_of(ids: pa.Array) -> pa.Array:
-        return pa.array(ranges(ids), pa.int32())
+    def range_of(ids: pa.Array, ties: pa.Array) -> pa.Array:
+        return pa.array(ranges(ids, ties), pa.int32())
 
     # one row per range
-    tops = docs.groupBy(range_of("doc_id").alias("range")).agg(F.max("doc_id").alias("head"))
-    heads = {r["range"]: r["head"] for r in tops.collect()}
+    tied = docs.select("doc_id", F.xxhash64("text").alias("tie"))
+    tops = tied.groupBy(range_of("doc_id", "tie").alias("range")).agg(F.max("doc_id").alias("head"), F.min("tie").alias("tie"))
+    heads = {r["range"]: r["head"] if r["head"] is not None else ("tie", r["tie"]) for r in tops.collect()}
     order = sorted(heads)
     before = {r: order[i - 1] for i, r in enumerate(order)}  # the first comes after the last
 
     @F.arrow_udf("array<struct<range:int,guest:boolean>>")
-    def places(ids: pa.Array) -> pa.Array:
+    def places(ids: pa.Array, ties: pa.Array) -> pa.Array:
         rows = []
-        for i, r in zip(ids.to_pylist(), ranges(ids).tolist(), strict=True):
+        for i, t, r in zip(ids.to_pylist(), ties.to_pylist(), ranges(ids, ties).tolist(), strict=True):
             here = [{"range": r, "guest": False}]
-            if i == heads[r]:
+            if heads[r] == (("tie", t) if i is None else i):
                 here.append({"range": before[r], "guest": True})
             rows.append(here)
         return pa.array(rows, pa.list_(pa.struct([("range", pa.int32()), ("guest", pa.bool_())])))
 
     return (docs.select("doc_id", compressed("text").alias("packed"), F.xxhash64("text").alias("tie"),
-                        places("doc_id").alias("places"))
+                        places("doc_id", F.xxhash64("text")).alias("places"))
             .select("doc_id", "packed", "tie", F.explode("places").alias("at"))
             .select("doc_id", "packed", "tie", "at.range", "at.guest"))
 
@@ -187,7 +190,7 @@ def _compared(batches: Iterator[pa.RecordBatch], k: int, width: int) -> Iterator
         yield batch()
 
 
-def compare_with_edited(docs: DataFrame, k: int = K, width: int = SHINGLE, rows_per_range: int = 20_000) -> DataFrame:
+def compare_with_edited(docs: DataFrame, k: int = K, width: int = SHINGLE, ranges_per_task: int = 4) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, and how alike they are.
 
     The edited text is the text with its last half of code points (rounded down) replaced by the
@@ -197,7 +200,9 @@ def compare_with_edited(docs: DataFrame, k: int = K, width: int = SHINGLE, rows_
     edited and to the next text).
 
     Rows are dealt into ranges of ids, and each range gets the first row of the next one as a
-    guest, so the texts move once and no order over all rows is needed. A null text counts as
+    guest, so the texts move once and no order over all rows is needed. A task passes through its
+    ranges row by row, so their number goes by the tasks (``spark.sql.shuffle.partitions``), not by
+    the rows; the driver holds two numbers per range, as a range partitioner does. A null text counts as
     empty. Null ids come last, repeated ids after each other in the order of their texts' hashes.
     A single document is its own next. An empty table gives an empty one. Further columns don't
     matter.
@@ -205,7 +210,7 @@ def compare_with_edited(docs: DataFrame, k: int = K, width: int = SHINGLE, rows_
     spark = docs.sparkSession
     table = take(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(8 * parts, -(-table.count() // rows_per_range))
+    buckets = ranges_per_task * parts
     sorted_rows = (_bucketed(table, buckets).repartition(parts, "range")
                    .sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), "tie")
                    .select("doc_id", "packed", "range", "guest"))
