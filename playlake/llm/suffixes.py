@@ -35,7 +35,8 @@ from .frames import compressed, spread, take
 
 SPAN = 50
 PIECE = 24  # bytes hashed for an anchor
-CHUNK_BYTES = 4 << 20  # text of a chunk
+CHUNK_BYTES = 4 << 20  # text of a chunk, at least
+LARGEST_CHUNK = 256 << 20
 RUN = 32  # windows of a string; so it has at most span + 31 columns
 SLICE = 1 << 19  # windows that are hashed at once
 HOT = 50_000  # runs of an anchor from which its windows are spread singly
@@ -503,7 +504,12 @@ def _spark_schema(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
-def repeated_spans(docs: DataFrame, span: int = SPAN, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def _chunk_bytes(size: int) -> int:
+    """Text of a chunk: the geometric mean of all text and 4 KB, within bounds."""
+    return int(min(max(CHUNK_BYTES, (size * 4096) ** 0.5), LARGEST_CHUNK))
+
+
+def repeated_spans(docs: DataFrame, span: int = SPAN, chunk_bytes: int | None = None) -> DataFrame:
     """For each row of ``docs`` the byte spans that a document with a smaller id holds already.
 
     Takes ``doc_id`` (integer) and ``text``. Every byte covered by a string of ``span`` bytes that
@@ -516,12 +522,14 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, chunk_bytes: int = CHUNK_B
     bytes nor makes others lose them. Rows with the same id don't take from each other. An empty
     table gives an empty table. Further columns are carried in ``rest``.
 
-    Each chunk of ``chunk_bytes`` of text sends a list to each group of anchors, and there are as
-    many groups as chunks: with far more data take larger chunks, 64 MB or more for 100 TB.
+    Each chunk sends a list of its anchors to each group of anchors that it has some of, and there are
+    as many groups as chunks. So there are never more lists than anchors, which are in proportion to the
+    text. Lists stay long because chunks grow with the square root of the text, from 4 MB to 256 MB
+    (``chunk_bytes`` sets another size); a task holds about eight times as much.
     """
     table = take(docs, "doc_id", "text", rest="rest", without="text")
     size = take(docs, "text").agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    chunks = max(1, -(-size // chunk_bytes))
+    chunks = max(1, -(-size // (chunk_bytes or _chunk_bytes(size))))
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chunks // 16))
     table = (table.select(F.col("doc_id").cast("long"), compressed("text").alias("packed"), "rest",

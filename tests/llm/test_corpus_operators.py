@@ -192,6 +192,20 @@ def test_edited_texts_come_from_the_next_smaller_id(spark, clashing, empty):
     assert one[0].near_next == 1.0
 
 
+def test_rows_without_an_id_follow_by_their_hashes_in_many_ranges(spark):
+    texts = [f"{i} " + "".join(random.Random(i).choices("abc ", k=30)) for i in range(400)]
+    docs = spark.createDataFrame([(None if i > 3 else i, t, "en", "s", 0) for i, t in enumerate(texts)], COLUMNS).repartition(5)
+    ties = {r.text: r.tie for r in docs.selectExpr("text", "xxhash64(text) AS tie").collect()}
+    order = [*texts[3::-1], *sorted(texts[4:], key=ties.get)]
+    want = Counter()
+    for text, after in zip(order, [*order[1:], order[0]], strict=True):
+        keep = len(text) - len(text) // 2
+        want[hashlib.sha256((text[:keep] + after[:len(text) // 2]).encode()).hexdigest()] += 1
+    assert Counter(r.edited_sha256 for r in fingerprints.compare_with_edited(docs).collect()) == want
+    placed = fingerprints._bucketed(docs.select("doc_id", "text"), 16).where("doc_id IS NULL")
+    assert placed.select("range").distinct().count() > 10
+
+
 # shards
 
 
