@@ -119,10 +119,17 @@ def streamed(sized: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFram
                    [F.col("key"), F.col("size"), F.col("tie")], "start", F.col("size")).drop("key", "part")
 
 
-def _sized(docs: DataFrame, rest: str | None = None) -> DataFrame:
-    table = take(docs, "doc_id", "source", "text", rest=rest)
-    kept = ["doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie")]
-    return table.select(*kept, *([rest] if rest else []))
+def _row(table: DataFrame) -> Column:
+    """A hash of all columns of a struct ``rest`` but maps, which have no hash."""
+    plain = [f"rest.{f.name}" for f in table.schema["rest"].dataType if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*plain)
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    """Each row's id, source and size, a hash of its text (``tie``) and one of all its columns (``row``)."""
+    table = take(docs, "doc_id", "source", "text", rest="rest")
+    return table.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"),
+                        _row(table).alias("row"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS,
@@ -180,25 +187,32 @@ def first_words(text: Column, count: Column) -> Column:
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
-                    epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
+                    epochs: int = EPOCHS, block_words: int = BLOCK_WORDS, seed: str = SEED) -> DataFrame:
     """The mix as documents: a row of ``docs`` once for each epoch that takes words of it.
 
-    The blocks of a source follow each other without gaps, so they take the first ``target`` words
-    of its stream: every document whole, but for the last of the source, whose text ends where
-    the target does (``n_chars`` is set anew). All columns stay. Documents without words are not
-    in the mix; see ``mix`` for the other cases.
+    What the pieces of ``mix`` take of a row in an epoch are its first words, as the blocks of a source
+    follow each other without gaps: every document whole, but for the last of the source, whose text
+    ends where the target does (``n_chars`` is set anew). All columns stay. Documents without words are
+    not in the mix. Rows that are equal in all columns but maps are copies of one row. See ``mix`` for
+    the other cases.
     """
-    sized = _sized(docs, rest="rest")
-    targets = stored(source_targets(_sized(docs), weights, share, epochs), "targets")
-    placed = streamed(sized, targets, seed)
-    epoch = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
+    placed, pieces = mix(docs, weights, share, epochs, block_words, seed)
+    taken = pieces.groupBy("source_no", "start", "epoch").agg(F.sum("words").alias("words"))
+    each = stored(placed.where("size > 0").join(taken, ["source_no", "start"])
+                  .select(F.col("doc_id").alias("of_id"), F.col("row").alias("of_row"), "epoch", "size", "words"), "taken")
+    table = take(docs, "doc_id", "text", rest="rest")
+    table = table.select("doc_id", "rest", _row(table).alias("row"))
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("row") == F.col("of_row"))
+    repeated = stored(each.groupBy("of_id", "of_row", "epoch").count().where("count > 1")
+                      .select("of_id", "of_row").distinct(), "repeated")
+    if not repeated.isEmpty():  # each copy is listed by itself, so one of the rows stands for all
+        table = (table.join(repeated, same, "left_anti")
+                 .unionByName(table.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "row"])))
     at = docs.columns.index
     text = F.col(f"rest.c{at('text')}")
-    left = F.floor("target").cast("long") - F.col("epoch") * F.col("source_size") - F.col("start")
-    cut = F.col("left") < F.col("size")
-    changed = {"text": F.when(cut, first_words(text, F.col("left"))).otherwise(text)}
+    cut = F.col("words") < F.col("size")
+    changed = {"text": F.when(cut, first_words(text, F.col("words"))).otherwise(text)}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = (F.when(cut, F.length(first_words(text, F.col("left"))).cast(docs.schema["n_chars"].dataType))
+        changed["n_chars"] = (F.when(cut, F.length(first_words(text, F.col("words"))).cast(docs.schema["n_chars"].dataType))
                               .otherwise(F.col(f"rest.c{at('n_chars')}")))
-    return (placed.where("size > 0").withColumn("epoch", epoch).withColumn("left", left).where("left > 0")
-            .select(*spread("rest", docs.columns, **changed)))
+    return table.join(each, same).select(*spread("rest", docs.columns, **changed))
