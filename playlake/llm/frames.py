@@ -66,6 +66,13 @@ def key_digits(rows: int, per_part: int = 1 << 20) -> int:
     return digits
 
 
+def in_ranges(table: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """The table, stored, with a number ``part`` that rises with ``order``: each part is a range of it.
+
+    Stored, because ranges are sampled and may be others when they are worked out again."""
+    return stored(table.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), name)
+
+
 def running(table: DataFrame, keys: list[str], part: str, order: list[Column], name: str,
             value: Column | None = None) -> DataFrame:
     """Adds ``name``: the sum of ``value`` (default: the number of rows) over the rows of the

@@ -207,16 +207,20 @@ def _search(batches: Iterator[pa.RecordBatch], queries: Queries, top: int, item:
 
 
 def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """For each row of ``items`` (``item_id``, ``text``) the ``top`` rows of ``docs`` (``doc_id``, ``text``)
+    """``search`` in an index of ``docs`` (``doc_id``, ``text``) that is made for it."""
+    return search(stored(index(docs), "lexical-index"), items, top, block_terms)
+
+
+def search(indexed: DataFrame, items: DataFrame, top: int = TOP, block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """For each row of ``items`` (``item_id``, ``text``) the ``top`` documents of a written ``index``
     with the highest scores above 0: ``item_id``, ``rank`` (from 1), ``doc_id``, ``score``.
 
     Equal scores come by ascending ``doc_id``, null last. A null or empty text has no terms: such an item
-    finds nothing, such a document isn't found or counted. Repeated rows of ``docs`` are documents of
+    finds nothing, such a document isn't found or counted. Repeated documents are documents of
     their own, repeated items are searched for each. Without documents or items the result is empty.
     Texts are taken whole, however long. Further columns don't matter.
     """
-    spark = docs.sparkSession
-    indexed = stored(index(docs), "lexical-index")
+    spark = indexed.sparkSession
     given = stored(take(items, "item_id", "text").withColumn("n", n_terms(F.col("text"))).where("n > 0"), "queries")
     blocks = max(1, -(-(given.agg(F.sum("n").alias("n")).first()["n"] or 0) // block_terms))
     corpus = indexed.agg(F.sum((F.col("n") > 0).cast("long")).alias("docs"), F.sum("n").alias("terms")).first()

@@ -12,10 +12,10 @@ source with most of the rows still fills many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import WORD, key_digits, running, shuffled_key, spread, stored, take
+from .frames import WORD, in_ranges, key_digits, running, shuffled_key, spread, stored, take
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -44,21 +44,20 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     in the order in which they meet their limit.
     """
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # one row per source from here on
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    whole = Window.partitionBy()
-    weighted = by_source.select(
-        "source", "source_size", F.row_number().over(order).cast("long").alias("source_no"),
-        F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
-                     (F.row_number().over(order) - 1) % len(weights) + 1).alias("weight"),
-        (F.col("source_size") * float(epochs)).alias("limit"),
-        (F.sum("source_size").over(whole) * float(share)).alias("all"))
-    filling = Window.orderBy(F.col("limit") / F.col("weight"), "source_no")
-    level = ((F.col("all") - F.coalesce(F.sum("limit").over(filling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-             / F.sum("weight").over(filling.rowsBetween(0, Window.unboundedFollowing)))
-    leveled = weighted.withColumn("level", level)
-    return leveled.select("source", "source_no", "source_size",
-                          F.least("limit", F.col("weight") * F.max("level").over(whole)).alias("target"))
+    named = [F.col("source").asc_nulls_last()]
+    ranked = running(in_ranges(by_source, named, "sources"), [], "part", named, "rank")
+    weighted = ranked.select(
+        "source", "source_size", (F.col("rank") + 1).cast("long").alias("source_no"),
+        F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int")).alias("weight"),
+        (F.col("source_size") * float(epochs)).alias("limit"))
+    filling = [F.col("fill"), F.col("source_no")]
+    table = in_ranges(weighted.withColumn("fill", F.col("limit") / F.col("weight")), filling, "filling")
+    sums = table.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    before = running(running(table, [], "part", filling, "limits", F.col("limit")), [], "part", filling, "weights", F.col("weight"))
+    level = (F.lit(float(sums["size"] or 0) * share) - F.col("limits")) / (F.lit(float(sums["weight"] or 0)) - F.col("weights"))
+    highest = before.agg(F.max(level).alias("level")).first()["level"]
+    return table.select("source", "source_no", "source_size",
+                        F.least("limit", F.col("weight") * F.lit(highest).cast("double")).alias("target"))
 
 
 def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -70,11 +69,13 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     spark = targets.sparkSession
     total = targets.agg(F.sum("target").alias("t")).first()["t"] or 0.0
     slots = max(1, int(-(-total // block_words)))
-    order = Window.orderBy("source_no")
-    behind = F.sum("target").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.lit(total or 1.0)
-    before = F.coalesce(F.sum("target").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) / F.lit(total or 1.0)
-    shares = (targets.where("target >= 1").withColumn("low", before).withColumn("high", behind)
-              .withColumn("high", F.when(F.lead("source_no").over(order).isNull(), F.lit(1.0)).otherwise(F.col("high"))))
+    # whole words: their sums are exact, so every share begins where the one before ends
+    some = targets.select("source_no", F.floor("target").cast("long").alias("words")).where("words >= 1")
+    words = some.agg(F.sum("words").alias("w")).first()["w"] or 1
+    by_number = [F.col("source_no")]
+    shares = (running(in_ranges(some, by_number, "shares"), [], "part", by_number, "first", F.col("words"))
+              .select("source_no", "words", (F.col("first") / F.lit(words)).alias("low"),
+                      ((F.col("first") + F.col("words")) / F.lit(words)).alias("high")))
     cell = lambda x: F.least(F.floor(x * F.lit(slots)), F.lit(slots - 1)).cast("long")
     # as many cells as slots, and rows of cells. A source stands in each row that is all its own, and
     # cell by cell in the rows it begins and ends in; so one source has few entries, however many slots
@@ -96,11 +97,11 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     ranked = running(owned.withColumn("part", F.floor(F.col("slot") / _SLOTS_PER_PART)),
                      ["source_no"], "part", [F.col("slot")], "block").drop("part")
     missed = (shares.join(owned.select("source_no").distinct(), "source_no", "left_anti")
-              .select((F.row_number().over(order) + F.lit(slots - 1)).cast("long").alias("slot"), "source_no",
+              .select((F.col("source_no") + F.lit(slots - 1)).cast("long").alias("slot"), "source_no",
                       F.lit(0).cast("long").alias("block")))
     ranked = stored(ranked.unionByName(missed), "slots")
     counts = ranked.groupBy("source_no").agg(F.count("*").alias("blocks"))
-    cut = (shares.select("source_no", F.floor("target").cast("long").alias("words")).join(counts, "source_no")
+    cut = (shares.select("source_no", "words").join(counts, "source_no")
            .withColumn("each", F.expr("words div blocks")).withColumn("more", F.expr("words % blocks")))
     start = lambda b: b * F.col("each") + F.least(b, F.col("more"))
     return (ranked.join(cut, "source_no")
