@@ -135,4 +135,5 @@ def incremental_star_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch_path(spark, "values-incremental"),
         scratch_path(spark, "progress"),
         files_per_batch=2,
+        buckets=16,
     ))

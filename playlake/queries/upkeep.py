@@ -38,7 +38,7 @@ def incremental_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.select(cut.alias("value")).repartition(4, "value").write.text(source)
     tables = load_activity_files(
         spark, source, catalog(spark, sf_dir), out, scratch_path(spark, "progress"),
-        files_per_batch=2, pattern=None, bad="quarantine",
+        files_per_batch=2, pattern=None, bad="quarantine", buckets=16,
     )
     loaded = tables["songplay"].groupBy(F.lit("songplay").alias("kind"), "session_id").agg(F.count("*").alias("n"))
     left_out = quarantined(spark, out).groupBy(F.col("fault").alias("kind")).agg(F.count("*").alias("n"))

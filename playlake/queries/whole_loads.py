@@ -104,6 +104,7 @@ def load_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FILES_PER_BATCH = 2
+BUCKETS = 16
 
 
 @query(with_roles("activity", """
@@ -142,7 +143,7 @@ def incremental_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         source,
         LOG_FILE,
         scratch_path(spark, "progress"),
-        lambda rows, batch: merge_users_batch(plays(typed_events(rows)), out, batch),
+        lambda rows, batch: merge_users_batch(plays(typed_events(rows)), out, batch, BUCKETS),
         files_per_batch=FILES_PER_BATCH,
     )
     return users_now(spark, out)
@@ -163,6 +164,7 @@ def incremental_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch_path(spark, "star-incremental"),
         scratch_path(spark, "progress"),
         files_per_batch=FILES_PER_BATCH,
+        buckets=BUCKETS,
     )
     return quality.load_report({
         t.name: (tables[t.name], list(t.key)) for t in STAR if t.name in tables

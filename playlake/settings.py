@@ -14,6 +14,8 @@ ADAPTIVE = {
     # them per task, shuffle the few that are left by the whole key, and leave the join free
     # to be split.
     "spark.sql.requireAllClusterKeysForDistribution": "true",
+    # Writing many small folders costs by the file, not by the byte: leave some tasks to share it.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Merge a task's own lines into session windows before the shuffle.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
