@@ -39,7 +39,9 @@ CHUNK_BYTES = 4 << 20  # text of a chunk, at least
 LARGEST_CHUNK = 256 << 20
 RUN = 32  # windows of a string; so it has at most span + 31 columns
 SLICE = 1 << 19  # windows that are hashed at once
-HOT = 50_000  # runs of an anchor from which its windows are spread singly
+HOT = 50_000  # different runs of an anchor from which its windows are spread singly
+MANY = 64  # runs of an anchor in a chunk from which they are looked at
+STEPS = 8  # the number of runs is rounded up to a power of the 8th root of 2
 SORTED_AT_ONCE = 4_096  # strings that are sorted together, but for larger groups
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB,
@@ -68,7 +70,12 @@ def _hashes(data: np.ndarray, width: int) -> np.ndarray:
 def _anchors(data: np.ndarray, span: int) -> np.ndarray:
     """For every window of ``span`` bytes the smallest hash of a piece in it; its low byte is 0."""
     piece = min(PIECE, span)
-    low, width, size = _hashes(data, piece), span - piece + 1, 1
+    return _lowest(_hashes(data, piece), span - piece + 1)
+
+
+def _lowest(low: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of every ``width`` hashes in a row; its low byte is 0."""
+    size = 1
     while 2 * size <= width:
         low = np.minimum(low[:-size], low[size:])
         size *= 2
@@ -122,8 +129,11 @@ class Chunk:
         self.runs()
 
     def runs(self) -> None:
-        """Sets first window, number of windows, anchor and row of every run."""
-        first, count, anchor, row = [], [], [], []
+        """Sets first window, number of windows, anchor, row and look of every run; runs of equal
+        bytes look alike."""
+        first, count, anchor, row, look = [], [], [], [], []
+        piece = min(PIECE, self.span)
+        behind = self.span - piece
         usable = np.flatnonzero(self.known & (self.ends - self.starts >= self.span))
         total = len(self.data)
         if len(usable):
@@ -132,7 +142,8 @@ class Chunk:
                 high = min(low + SLICE, total - self.span + 1)
                 if high <= low:
                     break
-                a = _anchors(self.data[low:high + self.span - 1], self.span)
+                h = _hashes(self.data[low:high + self.span - 1], piece)
+                a = _lowest(h, behind + 1)
                 edge = np.ones(len(a), bool)
                 edge[1:] = a[1:] != a[:-1]
                 # windows that lie in one document: add one where they begin, take it where they end
@@ -151,18 +162,21 @@ class Chunk:
                 count.append(size)
                 anchor.append(a[at])
                 row.append(usable[np.searchsorted(open_, at + low, "right") - 1])
+                # from its first piece, one in the middle, and its last one
+                mid, last_piece = h[at + (size - 1 + behind) // 2], h[at + size - 1 + behind]
+                look.append((h[at] * _MIX[1] + mid * _MIX[2] + last_piece * _MIX[4] + size.astype(np.uint64)).view(np.int64))
         join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        first, count, anchor, row = map(join, (first, count, anchor, row))
+        first, count, anchor, row, look = map(join, (first, count, anchor, row, look))
         # text that goes on repeating itself keeps its anchor: cut it, or its columns have no end
         cuts = -(-count // RUN)
         step = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
         self.first = np.repeat(first, cuts) + RUN * step
         self.count = np.minimum(np.repeat(count, cuts) - RUN * step, RUN)
-        self.anchor, self.row = np.repeat(anchor, cuts), np.repeat(row, cuts)
+        self.anchor, self.row, self.look = np.repeat(anchor, cuts), np.repeat(row, cuts), np.repeat(look, cuts) + step
 
     def listed(self) -> np.ndarray:
-        """Each anchor once; low byte 0: in one document, else the size of its runs' number:
-        k stands for 2**(k - 1) to 2**k runs, 1 for 2."""
+        """Each anchor once; low byte 0: in one document, else how many different runs it has: k
+        stands for 2 ** (k / ``STEPS``), rounded up."""
         order = np.argsort(self.anchor, kind="stable")
         a, d = self.anchor[order], self.ids[self.row[order]]
         if not len(a):
@@ -170,7 +184,17 @@ class Chunk:
         begin = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
         several = np.minimum.reduceat(d, begin) < np.maximum.reduceat(d, begin)
         runs = np.diff(np.append(begin, len(a)))
-        return a[begin] | np.where(several, np.maximum(np.ceil(np.log2(runs)).astype(np.int64), 1), 0)
+        # those with many runs: how many look different?
+        many = np.flatnonzero(runs >= MANY)
+        if len(many):
+            group = np.repeat(np.arange(len(many)), runs[many])
+            step = np.arange(len(group)) - np.repeat(np.cumsum(runs[many]) - runs[many], runs[many])
+            looks = self.look[order[begin[many][group] + step]]
+            by = np.lexsort((looks, group))
+            group, looks = group[by], looks[by]
+            new = np.append(True, (group[1:] != group[:-1]) | (looks[1:] != looks[:-1]))
+            runs[many] = np.bincount(group[new], minlength=len(many))
+        return a[begin] | np.where(several, np.maximum(np.ceil(STEPS * np.log2(runs)).astype(np.int64), 1), 0)
 
     def strings(self, shared: np.ndarray) -> dict[bytes, int]:
         """Numbers the different strings at shared anchors; sets which run has which string.
@@ -255,8 +279,7 @@ def share_anchors(rows: pa.Table) -> pa.Table:
         return SHARED.empty_table()
     each = np.diff(bounds)
     shared = (each > 1) | (np.maximum.reduceat(runs, bounds[:-1]) > 0)
-    # at most twice the true number of runs
-    hot = np.add.reduceat(np.left_shift(1, np.minimum(runs, 40)), bounds[:-1]) > HOT
+    hot = np.add.reduceat(2.0 ** (runs / STEPS), bounds[:-1]) > HOT
     keep = np.repeat(shared, each)
     out, chunk = (anchor | np.repeat(hot, each))[keep], chunk[keep]
     order = np.argsort(chunk, kind="stable")
@@ -519,8 +542,9 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, chunk_bytes: int | None =
     spans as ``span_starts`` and ``span_ends`` (the end is outside).
 
     A null text has no bytes, and null is kept of it. A null id is in no order with others: such a row neither loses
-    bytes nor makes others lose them. Rows with the same id don't take from each other. An empty
-    table gives an empty table. Further columns are carried in ``rest``.
+    bytes nor makes others lose them. Rows with the same id don't take from each other; rows equal in
+    id and text lie in one chunk. A text longer than a chunk is a chunk of its own, hashed in slices. An
+    empty table gives an empty table. Further columns are carried in ``rest``.
 
     Each chunk sends a list of its anchors to each group of anchors that it has some of, and there are
     as many groups as chunks. So there are never more lists than anchors, which are in proportion to the
