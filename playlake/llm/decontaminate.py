@@ -138,8 +138,8 @@ def contamination(docs: DataFrame, tests: DataFrame, width: int = WIDTH, set_win
     A null text has no words, in documents and items; an item without words has no window. An item
     with a null id hits words but isn't listed; items that share an id are listed once. Null and
     repeated ids of documents don't matter: every row is judged for itself. Without documents the
-    result is empty, without items nothing is hit. Long texts are hashed in slices. Further columns
-    don't matter.
+    result is empty, without items nothing is hit. Long texts are hashed in slices; an item is in one
+    block as a whole. Further columns don't matter.
     """
     given = stored(take(tests, "item_id", "text")
                    .select(F.col("item_id").cast("string").alias("name"), "text",

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -26,7 +26,6 @@ MAX_LABELLED = 20_000
 KEEP = 0.8
 SMOOTHING = 1.0
 SEED = 7
-_PARTS = 4096  # parts of a unit of score that are counted apart
 
 
 def buckets_of(text: bytes, buckets: int = BUCKETS) -> np.ndarray:
@@ -90,30 +89,54 @@ def gumbel(seed: int, *columns: str) -> Column:
     return -F.log(-F.log(even))
 
 
+def threshold(table: DataFrame, column: str, wanted: int, few: int = 4096, bins: int = 64) -> tuple:
+    """The ``wanted``-th largest value of a column, and how many rows with it are among the ``wanted`` largest.
+
+    Each round counts the rows above some quantiles of what is left and goes on between two of them,
+    until one of them is the value or ``few`` rows are left, which are looked at.
+    """
+    inside, value = table.select(F.col(column).alias("v")), F.col("v")
+    while inside.count() > few:
+        quantiles = inside.agg(F.percentile_approx("v", [i / bins for i in range(1, bins)], 1000).alias("q")).first()["q"]
+        cuts = sorted(set(quantiles), reverse=True)
+        counts = inside.agg(*[F.count_if(value >= c).alias(f"from{i}") for i, c in enumerate(cuts)],
+                            *[F.count_if(value > c).alias(f"above{i}") for i, c in enumerate(cuts)]).first()
+        upper = None
+        for i, c in enumerate(cuts):
+            if counts[f"from{i}"] >= wanted:
+                if counts[f"above{i}"] < wanted:
+                    return c, wanted - counts[f"above{i}"]
+                inside = inside.where(value > c)
+                break
+            upper = i
+        if upper is not None:
+            inside = inside.where(value < cuts[upper])
+            wanted -= counts[f"from{upper}"]
+    values = sorted((r["v"] for r in inside.collect()), reverse=True)  # few
+    found = values[wanted - 1]
+    return found, wanted - sum(v > found for v in values)
+
+
 def resampled(docs: DataFrame, good_ids: DataFrame, keep: float = KEEP, seed: int = SEED) -> DataFrame:
     """``doc_id``, ``log_weight``, ``score`` (with noise) and ``kept`` of every row of ``docs``.
 
-    Exactly the ``keep`` share of the rows (rounded down) with the largest scores is kept; equal
-    scores go by ``doc_id``. Null and blank texts have weight 0, as if neither model knew better.
-    Null ids take their noise from their weight. Of repeated rows any may be kept. Without good ids all weights
-    follow the raw model alone. An empty table gives an empty one. Further columns don't matter.
+    Exactly the ``keep`` share of the rows (rounded down) with the largest scores is kept; of rows with
+    equal scores, which are repeated rows as a rule, any may be. Null and blank texts have weight 0, as
+    if neither model knew better. Rows without an id take their noise from a seeded random number. Without
+    good ids all weights follow the raw model alone. An empty table gives an empty one. Texts count
+    whole, however long. Further columns don't matter.
     """
     ratios = log_ratios(docs, good_ids)
     scored = stored(take(docs, "doc_id", "text")
                     .select("doc_id", log_weight(F.col("text"), ratios).alias("log_weight"))
-                    .withColumn("by", F.when(F.col("doc_id").isNull(), F.col("log_weight")))
-                    .withColumn("score", F.col("log_weight") + gumbel(seed, "doc_id", "by")).drop("by")
-                    .withColumn("part", F.floor(F.col("score") * _PARTS)), "scored")
+                    .withColumn("by", F.when(F.col("doc_id").isNull(), F.rand(seed)))
+                    .withColumn("score", F.col("log_weight") + gumbel(seed, "doc_id", "by"))
+                    .withColumn("row", F.monotonically_increasing_id()).drop("by"), "scored")
     wanted = int(scored.count() * keep)
-    # rows per part, from the top: where does the last kept row lie?
-    above = Window.orderBy(F.col("part").desc())
-    edge = (scored.groupBy("part").agg(F.count("*").alias("n"))
-            .withColumn("before", F.sum("n").over(above) - F.col("n"))
-            .where(F.col("before") < wanted).orderBy("part").limit(1).first())
-    last, left = (edge["part"], wanted - edge["before"]) if edge else (None, 0)
-    if last is None:
-        return scored.select("doc_id", "log_weight", "score", F.lit(False).alias("kept"))
-    inside = Window.partitionBy("part").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
-    plain = scored.where(F.col("part") != last).withColumn("kept", F.col("part") > last)
-    split = scored.where(F.col("part") == last).withColumn("kept", F.row_number().over(inside) <= left)
-    return plain.unionByName(split).select("doc_id", "log_weight", "score", "kept")
+    kept = F.lit(False)
+    if wanted:
+        least, ties = threshold(scored, "score", wanted)
+        equal = scored.where(F.col("score") == least)
+        first = threshold(equal, "row", ties)[0] if ties < equal.count() else 0
+        kept = (F.col("score") > least) | ((F.col("score") == least) & (F.col("row") >= first))
+    return scored.select("doc_id", "log_weight", "score", kept.alias("kept"))

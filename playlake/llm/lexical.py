@@ -36,6 +36,7 @@ from .terms import joined, terms
 TOP = 20
 BLOCK_TERMS = 1 << 20
 DOCUMENTS_AT_ONCE = 1024
+PARTS = 256  # that the tasks' results are first ranked in
 #: Sketches per document, each with its own part of the terms' hashes for coordinates.
 ROWS = 3
 #: Coordinates of a sketch for each different term, at least.
@@ -238,9 +239,13 @@ def search(indexed: DataFrame, items: DataFrame, top: int = TOP, block_terms: in
         queries.weigh(corpus["docs"], corpus["terms"], {r.term: r.docs for r in having})
         found = indexed.mapInArrow(lambda b, q=queries, t=rows.schema.field("item_id").type: _search(b, q, top, t),
                                    f"query long, item_id {item_kind}, doc_id {doc_kind}, score long")
-        order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
-        parts.append(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-                     .select("item_id", "rank", "doc_id", "score"))
+        # every task has its best; they are ranked in two rounds, as there may be very many tasks
+        by_score = [F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
+        for keys in (["query", "part"], ["query"]):
+            place = F.row_number().over(Window.partitionBy(*keys).orderBy(*by_score))
+            found = found.withColumn("part", F.spark_partition_id() % PARTS) if "part" in keys else found
+            found = found.withColumn("rank", place).where(F.col("rank") <= top)
+        parts.append(found.select("item_id", "rank", "doc_id", "score"))
     if not parts:
         return spark.createDataFrame([], f"item_id {item_kind}, rank int, doc_id {doc_kind}, score long")
     return reduce(DataFrame.unionAll, parts)

@@ -21,6 +21,7 @@ LENGTHS = (512, 1024, 2048, 4096, 8192)
 #: A sequence of n words costs n * (1 + n / QUADRATIC): attention grows with the square.
 QUADRATIC = 16_384
 GROUP_PIECES = 20_000
+_COPIES = 1 << 16
 
 PACKED = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("first_word", pa.int64()),
                     ("n_words", pa.int64()), ("bin", pa.int64()), ("bin_size", pa.int64()), ("offset", pa.int64())])
@@ -97,8 +98,13 @@ def packed(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, group_pieces: in
               .withColumn("n_words", F.least(F.col("size") - F.col("first_word"), F.lit(longest).cast("long"))))
     count = sized.agg(F.sum(F.expr(f"(size + {longest - 1}) div {longest}")).alias("n")).first()["n"] or 0
     groups = max(1, -(-count // group_pieces))
-    dealt = pieces.select("doc_id", "piece", "first_word", "n_words", "tie",
-                          F.pmod(F.xxhash64("doc_id", "piece", "tie"), F.lit(groups)).alias("group"))
+    # copies of one row are counted and dealt one by one, so that not all are in one group
+    counted = pieces.groupBy("doc_id", "piece", "first_word", "n_words", "tie").agg(F.count("*").alias("copies"))
+    some = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {_COPIES}")))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(_COPIES), F.expr(f"copies - {_COPIES} * some")) - 1))
+    dealt = (counted.withColumn("some", some).withColumn("each", each)
+             .select("doc_id", "piece", "first_word", "n_words", "tie",
+                     F.pmod(F.xxhash64("doc_id", "piece", "tie", F.expr(f"some * {_COPIES} + each")), F.lit(groups)).alias("group")))
     kinds = {pa.int32(): "int", pa.int64(): "long"}
     full = dealt.groupBy("group").applyInArrow(lambda t: _packed(t, lengths),
                                                ", ".join(f"{f.name} {kinds[f.type]}" for f in PACKED))

@@ -268,8 +268,9 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, budget: int = BUDGET)
 
     Returns ``doc_id``, ``fingerprint`` and ``component_id``. A null or blank text has
     fingerprint zero and is linked like any other. Null ids are passed over in the smallest id;
-    where a component has no other, its id is null. Repeated rows stay, in one component. An
-    empty table gives an empty one. Further columns of ``docs`` don't matter.
+    where a component has no other, its id is null. Repeated rows stay, in one component. Texts
+    count whole, however long: the votes of a long one are summed up in slices. An empty table gives
+    an empty one. Further columns of ``docs`` don't matter.
     """
     printed = stored(take(docs, "doc_id", "text")
                      .select("doc_id", fingerprint(F.col("text"), width).alias("print")), "simhash")

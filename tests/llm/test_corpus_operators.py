@@ -375,6 +375,15 @@ def test_groups_are_dealt_by_pieces(spark):
     assert len(groups) > 4  # 100 pieces of 20 documents
 
 
+def test_copies_of_a_row_are_dealt_to_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "_COPIES", 7)
+    docs = spark.createDataFrame([(1, "w " * 600, "en", "a", 0)] * 100 + [(2, "w w", "en", "a", 0)], COLUMNS)
+    rows = packing.packed(docs, group_pieces=10).collect()
+    assert Counter((r.doc_id, r.n_words) for r in rows) == {(1, 600): 100, (2, 2): 1}
+    assert len({r.bin >> 32 for r in rows}) > 5
+    places = {(r.bin, r.offset) for r in rows}
+    assert len(places) == 101
+
 def test_packing_places_every_word_once(clashing, empty):
     rows = packing.packed(clashing).collect()
     words = Counter()
@@ -493,6 +502,23 @@ def test_exactly_the_largest_scores_are_kept(spark, clashing, empty):
     assert importance.resampled(empty, good).count() == 0
 
 
+@pytest.mark.parametrize("values", [[5.0] * 50, [*range(100)], [1.0, 1.0, 2.0] * 40, [-1.5, 3.25], [0.0] * 60 + [1.0] * 3 + [-1.0] * 2])
+def test_thresholds_equal_sorting(spark, values):
+    table = spark.createDataFrame([(float(v),) for v in values], "x double")
+    order = sorted(map(float, values), reverse=True)
+    for wanted in {1, 2, len(values) // 2, len(values) - 1, len(values)}:
+        found, ties = importance.threshold(table, "x", wanted, few=1, bins=4)
+        assert found == order[wanted - 1] and ties == wanted - sum(v > found for v in values)
+
+
+def test_repeated_rows_fill_up_the_share(spark):
+    docs = spark.createDataFrame([(1, "same text", "en", "a", 0)] * 90 + [(i, f"w{i}", "en", "a", 0) for i in range(2, 12)], COLUMNS)
+    rows = importance.resampled(docs, spark.createDataFrame([(1,)], "doc_id long"), keep=0.5).collect()
+    assert sum(r.kept for r in rows) == 50
+    bare = docs.selectExpr("cast(null AS bigint) AS doc_id", "text").limit(60)
+    assert len({r.score for r in importance.resampled(bare, spark.createDataFrame([(1,)], "doc_id long")).collect()}) == 60
+
+
 def test_noise_is_gumbel(spark):
     values = np.array([r[0] for r in spark.range(20_000).select(importance.gumbel(3, "id")).collect()])
     assert abs(values.mean() - 0.5772) < 0.05 and abs(values.std() - 1.2825) < 0.05
@@ -552,6 +578,17 @@ def test_derivatives_refer_to_their_response(spark):
         {(3, "metadata", ""): 1, (3, "conversion", "x"): 1, (4, "metadata", ""): 1, (4, "conversion", ""): 1})
 
 
+def test_derivatives_of_long_pages_and_clashing_columns(spark):
+    long = "<p>" + "word &amp; " * 100_000 + "</p>"
+    pages = spark.createDataFrame([(1, "http://a/", long, "x", "y"), (None, None, None, None, None)],
+                                  "page_id long, url string, html string, block string, HEADER string")
+    out = {(r.page_id, r.record_type): r for r in warc.derivatives(warc.responses(pages)).collect()}
+    assert len(out) == 4
+    assert out[1, "conversion"].block == ("word & " * 100_000).strip()
+    more = warc.responses(pages.drop("block", "HEADER")).selectExpr("*", "'c' AS record_type", "'c' AS refers_to", "'c' AS Block_Digest")
+    assert {r.block for r in warc.derivatives(more).collect()} == {r.block for r in out.values()}
+
+
 def warc_field(header, name):
     return next((line.split(": ", 1)[1] for line in header.split("\r\n") if line.startswith(f"{name}: ")), None)
 
@@ -600,6 +637,14 @@ def test_removed_spans_equal_brute_force(clashing, monkeypatch, hot, chunk_bytes
     assert got == brute_kept(odd_rows(), 50)
 
 
+def test_stages_pass_clashing_columns_on(odd, clashing):
+    for stage in (suffixes.without_repeats, mixing.mixed_documents):
+        plain, more = stage(odd), stage(clashing)
+        assert more.columns == clashing.columns
+        assert bag(more, "doc_id", "text", "lang") == bag(plain, "doc_id", "text", "lang")
+        assert {r.rest for r in more.collect()} == {"clash"}
+
+
 def test_text_without_repeats_keeps_whole_characters(odd, empty):
     out = {r.doc_id: r for r in suffixes.without_repeats(odd).collect() if r.doc_id}
     assert suffixes.without_repeats(odd).columns == odd.columns
