@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import assert_unique, enforce_required, plays
+from ..operators import assert_unique, enforce_required, plays, read_numbered, write_numbered
 from ..schemas import (
     ARTIST,
     CONSOLIDATED_COLUMNS,
@@ -237,6 +237,7 @@ def load_star(
     by_id: bool | str = False,
     pattern: str | None = None,
     bad: str = "fail",
+    ids: str = "written",
 ) -> dict[str, DataFrame]:
     """Raw files to the five tables of a preset, written below ``out`` and read back.
 
@@ -246,7 +247,12 @@ def load_star(
     ``by_id`` lays the lake's songs out by year and artist and its users by id. ``"sorted"``: songs in a
     folder per year in the order of their artists, users in the order of their ids, so that scans skip
     files by them. ``True``: one folder per value, to be used for few values only.
+
+    Song play ids without gaps take a second write of the fact, unless ``ids="read"``: then the rows
+    carry their place and get the id as they are read (``operators.read_numbered`` of ``out/songplay``).
     """
+    if ids not in ("written", "read"):
+        raise ValueError(f"ids must be 'written' or 'read', not {ids!r}")
     rules = PRESETS[preset]
     log, catalog = stage(
         spark, song_paths, log_paths, out, pattern=pattern or rules.pattern, bad=bad
@@ -257,13 +263,16 @@ def load_star(
     scratch = f"{out}/_scratch"
 
     def write(table: Table) -> tuple[str, DataFrame]:
-        rows, schema = tables[table.name], table.schema
+        rows, schema, path = tables[table.name], table.schema, f"{out}/{table.name}"
+        if table == SONGPLAY and ids == "read" and rules.key_mode == "dense":
+            plain = T.StructType(schema.fields[1:])
+            write_numbered(rows.select(plain.fieldNames()), path)
+            return table.name, read_numbered(spark, path, schema.fieldNames()[0], plain, rules.key_start)
         if table == SONGPLAY:
             # a folder of its own: a load that died may have left one
             rows = _numbered(rows, rules, f"{scratch}/{uuid.uuid4().hex}")
             if rules.by_month:
                 rows, schema = star.with_year_month(rows), _month_columns(table)
-        path = f"{out}/{table.name}"
         write_parquet(
             rows,
             path,

@@ -12,7 +12,7 @@ from .. import sources
 from ..operators import dense_key, plays, table_changes
 from ..plans import quality, star
 from ..schemas import ARTIST, KEYED, LOG_FILE, SONG, STAGED_EVENTS, STAGING_EVENTS, STAGING_SONGS, TIME, USERS
-from ..sources import typed_events
+from ..sources import log_faults, refuse_faults, typed_events
 from ..streaming import append_batch, compact, each_new_file, load_activity_files, quarantined, read_batches
 from ..workspace import scratch_path
 from .lookups import _SESSION_SQL, _SONG_SQL, _USER_SQL, _session_library, _song_library, _user_activity
@@ -52,11 +52,12 @@ def incremental_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches appended, compacted and one of them replayed, more appended and compacted again."""
     out = scratch_path(spark, "compacted")
 
-    def append(rows: DataFrame, batch: int) -> None:
-        append_batch(typed_events(rows), out, batch)
+    def append(raw: DataFrame, batch: int) -> None:
+        rows = refuse_faults(log_faults(raw))
+        append_batch(rows, out, batch)
         if batch % 2 == 0:
             compact(spark, out, STAGING_EVENTS, batch, order=["ts"])
-            append_batch(typed_events(rows), out, batch)
+            append_batch(rows, out, batch)
 
     log = activity(spark, sf_dir).select(LOG_FILE.fieldNames())
     source = scratch_path(spark, "raw-compacted")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import plays
 from ..plans import loads, quality
 from ..schemas import KEYED, LOG_FILE, STAGING_EVENTS, STAR
-from ..sources import typed_events
+from ..sources import log_faults, refuse_faults
 from ..streaming import (
     append_batch,
     each_new_file,
@@ -118,7 +118,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         source,
         LOG_FILE,
         scratch_path(spark, "progress"),
-        lambda rows, batch: append_batch(typed_events(rows), out, batch),
+        lambda rows, batch: append_batch(refuse_faults(log_faults(rows)), out, batch),
         files_per_batch=FILES_PER_BATCH,
     )
     return read_batches(spark, out, STAGING_EVENTS).select(
@@ -143,7 +143,7 @@ def incremental_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         source,
         LOG_FILE,
         scratch_path(spark, "progress"),
-        lambda rows, batch: merge_users_batch(plays(typed_events(rows)), out, batch, BUCKETS),
+        lambda rows, batch: merge_users_batch(plays(refuse_faults(log_faults(rows))), out, batch, BUCKETS),
         files_per_batch=FILES_PER_BATCH,
     )
     return users_now(spark, out)

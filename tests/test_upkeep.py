@@ -239,6 +239,19 @@ def test_songs_and_users_sorted_by_id(spark, tmp_path):
         assert bool(list((out / "users").glob("user_id=*"))) == (by_id is True)
 
 
+def test_ids_added_on_reading_are_those_of_a_load(spark, tmp_path):
+    data.log(spark, *({"ts": i * 1000, "itemInSession": i} for i in range(30))).repartition(3).write.json(str(tmp_path / "log"))
+    data.songs(spark, {}).write.json(str(tmp_path / "songs"))
+    for preset, low in (("keyed", 1), ("warehouse", 0)):
+        out = tmp_path / preset
+        tables = loads.load_star(spark, str(tmp_path / "songs"), str(tmp_path / "log"), str(out), preset, ids="read")
+        assert tables["songplay"].columns == SONGPLAY.columns
+        assert rows(tables["songplay"], "songplay_id") == [(i,) for i in range(low, low + 30)]
+        assert tables["time"].count() == 30 and not (out / "_scratch").exists()
+    with pytest.raises(ValueError, match="ids must be"):
+        loads.load_star(spark, "a", "b", str(tmp_path), ids="no")
+
+
 # checks
 
 
