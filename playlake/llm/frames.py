@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -52,6 +53,14 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return the memory that a Python worker's allocators kept from earlier groups or tasks."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def shuffled_key(seed: str, *columns: str) -> Column:
     """A hexadecimal key that orders rows at random but alike in every run."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]

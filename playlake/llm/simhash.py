@@ -294,7 +294,8 @@ def one_of_each(docs: DataFrame, width: int = SHINGLE, budget: int = BUDGET) ->
     labeled = _labeled(rows.select("print").distinct(), budget)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
     named = stored(rows.join(labeled, "print"), "simhash-labels")
-    first = named.groupBy("label").agg(F.min(order).alias("first"))
+    # stored, so that the join below has nothing but shuffled rows, and can split a large group
+    first = stored(named.groupBy("label").agg(F.min(order).alias("first")), "simhash-first")
     judged = (named.join(first, "label")
               .withColumn("stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tie") == F.col("first.tie"))))
     # those that go, and those that stay once of several times; all others pass as they are

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .frames import compressed, spread, take
+from .frames import compressed, give_back, spread, take
 
 SPAN = 50
 PIECE = 24  # bytes hashed for an anchor
@@ -112,7 +112,7 @@ def _hashes_at(data: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
 class Chunk:
     """The texts of a chunk in one array, cut into runs of windows with the same anchor."""
 
-    def __init__(self, docs: pa.Table, span: int):
+    def __init__(self, docs: pa.Table, span: int, looks: bool = False):
         unpack = zstandard.ZstdDecompressor().decompress
         texts = [unpack(t) if t else t for t in docs["packed"].to_pylist()]
         ids = docs["doc_id"].to_pylist()
@@ -126,11 +126,11 @@ class Chunk:
         self.ids = np.array([0 if i is None else i for i in ids], np.int64)
         self.data = np.frombuffer(b"".join(t or b"" for t in self.texts), np.uint8)
         self.span = span
-        self.runs()
+        self.runs(looks)
 
-    def runs(self) -> None:
-        """Sets first window, number of windows, anchor, row and look of every run; runs of equal
-        bytes look alike."""
+    def runs(self, looks: bool) -> None:
+        """Sets first window, number of windows, anchor and row of every run, and with ``looks`` its
+        look: runs of equal bytes look alike."""
         first, count, anchor, row, look = [], [], [], [], []
         piece = min(PIECE, self.span)
         behind = self.span - piece
@@ -162,9 +162,9 @@ class Chunk:
                 count.append(size)
                 anchor.append(a[at])
                 row.append(usable[np.searchsorted(open_, at + low, "right") - 1])
-                # from its first piece, one in the middle, and its last one
-                mid, last_piece = h[at + (size - 1 + behind) // 2], h[at + size - 1 + behind]
-                look.append((h[at] * _MIX[1] + mid * _MIX[2] + last_piece * _MIX[4] + size.astype(np.uint64)).view(np.int64))
+                if looks:  # by its first piece, one in the middle, and its last one
+                    mid, last_piece = h[at + (size - 1 + behind) // 2], h[at + size - 1 + behind]
+                    look.append((h[at] * _MIX[1] + mid * _MIX[2] + last_piece * _MIX[4] + size.astype(np.uint64)).view(np.int64))
         join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
         first, count, anchor, row, look = map(join, (first, count, anchor, row, look))
         # text that goes on repeating itself keeps its anchor: cut it, or its columns have no end
@@ -172,7 +172,9 @@ class Chunk:
         step = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
         self.first = np.repeat(first, cuts) + RUN * step
         self.count = np.minimum(np.repeat(count, cuts) - RUN * step, RUN)
-        self.anchor, self.row, self.look = np.repeat(anchor, cuts), np.repeat(row, cuts), np.repeat(look, cuts) + step
+        self.anchor, self.row = np.repeat(anchor, cuts), np.repeat(row, cuts)
+        if looks:
+            self.look = np.repeat(look, cuts) + step
 
     def listed(self) -> np.ndarray:
         """Each anchor once; low byte 0: in one document, else how many different runs it has: k
@@ -256,7 +258,8 @@ OWNERS = pa.schema([("chunk", pa.int64()), ("number", pa.list_(pa.int32())),
 
 def list_anchors(docs: pa.Table, span: int, buckets: int) -> pa.Table:
     """Step 2, a chunk's side: its anchors by bucket."""
-    listed = Chunk(docs, span).listed()
+    give_back()
+    listed = Chunk(docs, span, looks=True).listed()
     bucket = _bucket(listed & ~np.int64(255), buckets)
     order = np.argsort(bucket, kind="stable")
     keys, bounds = _bounds(bucket[order])
@@ -297,6 +300,7 @@ def cut_strings(docs: pa.Table, shared: pa.Table, span: int, buckets: int) -> pa
     """Step 3: a chunk's different strings at shared anchors, by bucket."""
     if not docs.num_rows or not shared.num_rows:
         return STRINGS.empty_table()
+    give_back()
     chunk = Chunk(docs, span)
     numbers = chunk.strings(np.sort(_joined(shared, "anchors")))
     n = len(numbers)
@@ -409,6 +413,7 @@ def _owners_of(strings: list[bytes], owner: np.ndarray, span: int) -> list[np.nd
 
 def sort_strings(rows: pa.Table, span: int) -> pa.Table:
     """Step 4: the owners of the windows of all strings of a bucket, for each chunk."""
+    give_back()
     size, owner, further, number = (_joined(rows, n) for n in ("size", "owner", "further", "number"))
     last = owner + further
     each = np.concatenate([np.diff(c.offsets.to_numpy()) for c in rows["number"].chunks])
@@ -501,6 +506,7 @@ def _spans(docs: pa.Table, told: pa.Table, span: int) -> tuple[Chunk, np.ndarray
 
 def remove_spans(docs: pa.Table, told: pa.Table, span: int) -> pa.Table:
     """Step 5: each document with the bytes it keeps and the spans it loses."""
+    give_back()
     chunk, gone = _spans(docs, told, span)
     kept, starts, ends = [], [], []
     for a, b, text in zip(chunk.starts.tolist(), chunk.ends.tolist(), chunk.texts, strict=True):
