@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
 import pyarrow as pa
 import zstandard
@@ -35,11 +36,39 @@ def spread(rest: str, names: Sequence[str], **changed: Column) -> list[Column]:
     return [changed.get(name, F.col(f"{rest}.c{i}")).alias(name) for i, name in enumerate(names)]
 
 
+def in_bytes(texts: pa.Array, at_once: int = 256) -> Iterator[bytes | None]:
+    """The texts of a column in UTF-8, one by one; few are copied at a time."""
+    for low in range(0, len(texts), at_once):
+        yield from texts.slice(low, at_once).cast(pa.large_binary()).to_pylist()
+
+
+def give_back() -> None:
+    """Return the memory that a Python worker's allocators would keep for its next batch or task."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def giving_back(group: Callable) -> Callable:
+    """A function of groups that gives memory back after each one."""
+
+    @wraps(group)
+    def run(*given: object) -> pa.Table:
+        made = group(*given)
+        give_back()
+        return made
+
+    return run
+
+
 @F.arrow_udf(BinaryType())
 def compressed(texts: pa.Array) -> pa.Array:
     """Texts as Zstandard frames, which halves what is shuffled; null and empty ones as they are."""
     pack = zstandard.ZstdCompressor().compress
-    return pa.array([pack(t) if t else t for t in texts.cast(pa.large_binary()).to_pylist()], pa.binary())
+    packed = pa.array([pack(t) if t else t for t in in_bytes(texts)], pa.binary())
+    give_back()
+    return packed
 
 
 def stored(table: DataFrame, name: str) -> DataFrame:
@@ -53,14 +82,6 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path)
 
 
-def give_back() -> None:
-    """Return the memory that a Python worker's allocators kept from earlier groups or tasks."""
-    pa.default_memory_pool().release_unused()
-    libc = ctypes.CDLL(None)
-    if hasattr(libc, "malloc_trim"):
-        libc.malloc_trim(0)
-
-
 def shuffled_key(seed: str, *columns: str) -> Column:
     """A hexadecimal key that orders rows at random but alike in every run."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]

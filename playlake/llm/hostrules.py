@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .frames import spread, stored, take
+from .frames import give_back, in_bytes, spread, stored, take
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
@@ -61,7 +61,8 @@ _STRUCT = StructType([StructField(name, LongType()) for name in STATISTICS])
 
 @F.arrow_udf(_STRUCT)
 def _statistics(texts: pa.Array) -> pa.Array:
-    rows = [text_statistics(t or b"") for t in texts.cast(pa.large_binary()).to_pylist()]
+    rows = [text_statistics(t or b"") for t in in_bytes(texts)]
+    give_back()
     columns = zip(*rows, strict=True) if rows else [()] * len(STATISTICS)
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=list(STATISTICS))
 

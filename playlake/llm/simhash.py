@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .frames import spread, stored, take
+from .frames import give_back, in_bytes, spread, stored, take
 
 BUDGET = 3
 SHINGLE = 3
@@ -70,8 +70,9 @@ def fingerprint(text: Column, width: int = SHINGLE) -> Column:
 
     @F.arrow_udf(LongType())
     def of(texts: pa.Array) -> pa.Array:
-        whole = texts.cast(pa.large_binary()).to_pylist()
-        return pa.array([simhash(t, width) if t else 0 for t in whole], pa.int64())
+        prints = pa.array([simhash(t, width) if t else 0 for t in in_bytes(texts)], pa.int64())
+        give_back()
+        return prints
 
     return of(text)
 

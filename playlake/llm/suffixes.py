@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .frames import compressed, give_back, spread, take
+from .frames import compressed, give_back, giving_back, in_bytes, spread, take
 
 SPAN = 50
 PIECE = 24  # bytes hashed for an anchor
@@ -256,9 +256,9 @@ OWNERS = pa.schema([("chunk", pa.int64()), ("number", pa.list_(pa.int32())),
                     ("windows", pa.list_(pa.int32())), ("owners", pa.list_(pa.int64()))])
 
 
+@giving_back
 def list_anchors(docs: pa.Table, span: int, buckets: int) -> pa.Table:
     """Step 2, a chunk's side: its anchors by bucket."""
-    give_back()
     listed = Chunk(docs, span, looks=True).listed()
     bucket = _bucket(listed & ~np.int64(255), buckets)
     order = np.argsort(bucket, kind="stable")
@@ -268,6 +268,7 @@ def list_anchors(docs: pa.Table, span: int, buckets: int) -> pa.Table:
                                  _lists(listed[order], bounds, pa.int64())], schema=ANCHORS)
 
 
+@giving_back
 def share_anchors(rows: pa.Table) -> pa.Table:
     """Step 2, a bucket's side: each chunk's anchors that several documents have."""
     values = rows["anchors"].combine_chunks()
@@ -296,11 +297,11 @@ def _joined(rows: pa.Table, name: str) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
+@giving_back
 def cut_strings(docs: pa.Table, shared: pa.Table, span: int, buckets: int) -> pa.Table:
     """Step 3: a chunk's different strings at shared anchors, by bucket."""
     if not docs.num_rows or not shared.num_rows:
         return STRINGS.empty_table()
-    give_back()
     chunk = Chunk(docs, span)
     numbers = chunk.strings(np.sort(_joined(shared, "anchors")))
     n = len(numbers)
@@ -411,9 +412,9 @@ def _owners_of(strings: list[bytes], owner: np.ndarray, span: int) -> list[np.nd
     return [flat[a:a + n - span + 1] for a, n in zip(start.tolist(), size.tolist(), strict=True)]
 
 
+@giving_back
 def sort_strings(rows: pa.Table, span: int) -> pa.Table:
     """Step 4: the owners of the windows of all strings of a bucket, for each chunk."""
-    give_back()
     size, owner, further, number = (_joined(rows, n) for n in ("size", "owner", "further", "number"))
     last = owner + further
     each = np.concatenate([np.diff(c.offsets.to_numpy()) for c in rows["number"].chunks])
@@ -504,9 +505,9 @@ def _spans(docs: pa.Table, told: pa.Table, span: int) -> tuple[Chunk, np.ndarray
     return chunk, np.cumsum(gone[:-1]) > 0
 
 
+@giving_back
 def remove_spans(docs: pa.Table, told: pa.Table, span: int) -> pa.Table:
     """Step 5: each document with the bytes it keeps and the spans it loses."""
-    give_back()
     chunk, gone = _spans(docs, told, span)
     kept, starts, ends = [], [], []
     for a, b, text in zip(chunk.starts.tolist(), chunk.ends.tolist(), chunk.texts, strict=True):
@@ -567,7 +568,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, chunk_bytes: int | None =
              .repartition(parts, "chunk"))
     anchors = (table.groupBy("chunk")
                .applyInArrow(lambda t: list_anchors(t, span, chunks), _spark_schema(ANCHORS)))
-    shared = anchors.groupBy("bucket").applyInArrow(share_anchors, _spark_schema(SHARED))
+    shared = anchors.groupBy("bucket").applyInArrow(lambda t: share_anchors(t), _spark_schema(SHARED))
     strings = (table.groupBy("chunk").cogroup(shared.groupBy("chunk"))
                .applyInArrow(lambda a, b: cut_strings(a, b, span, chunks), _spark_schema(STRINGS)))
     owners = strings.groupBy("bucket").applyInArrow(lambda t: sort_strings(t, span),
@@ -608,5 +609,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
 @F.arrow_udf(StringType())
 def whole_characters(data: pa.Array) -> pa.Array:
     """Bytes as text, without broken characters."""
-    return pa.array([None if b is None else b.decode("utf-8", "ignore") for b in data.to_pylist()], pa.string())
+    texts = pa.array([None if b is None else b.decode("utf-8", "ignore") for b in in_bytes(data)], pa.string())
+    give_back()
+    return texts
 
