@@ -347,11 +347,14 @@ def column_wise(strings: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarra
     """
     m = len(strings)
     size = np.fromiter(map(len, strings), np.int64, m)
-    symbols = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + np.uint16(1)
+    symbols = np.frombuffer(b"".join(strings), np.uint8)
+    # 0 is an end. UTF-8 has no byte 255, so that symbols fit one byte, which sorts faster
+    kind = np.uint8 if not len(symbols) or symbols.max() < 255 else np.uint16
+    symbols = symbols.astype(kind) + kind(1)
     start = np.cumsum(size) - size
     # round 0: the ends, with the last symbol of each string in the transform
     ends = start + size
-    transform = np.where(size > 0, symbols[np.maximum(ends - 1, 0)], 0).astype(np.uint16)
+    transform = np.where(size > 0, symbols[np.maximum(ends - 1, 0)], 0).astype(kind)
     common = np.zeros(m, np.uint8)
     suffix = (ends + np.arange(m)).astype(np.int32)  # a place for each end
     place, active = np.arange(m), np.arange(m)
@@ -386,7 +389,7 @@ def column_wise(strings: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarra
         grown[is_old] = common
         changed = np.flatnonzero(fresh[blank:total])
         grown[m + changed] = value[blank + changed]
-        new_transform = np.empty(size_now, np.uint16)
+        new_transform = np.empty(size_now, kind)
         new_transform[is_old] = transform
         at = start[active] + size[active] - done
         left = np.where(size[active] > done, symbols[np.maximum(at - 1, 0)], 0)
@@ -398,8 +401,8 @@ def column_wise(strings: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarra
     return suffix, common
 
 
-def _owners_of(strings: list[bytes], owner: np.ndarray, span: int) -> list[np.ndarray]:
-    """For each string the owner of each of its windows."""
+def _owners_of(strings: list[bytes], owner: np.ndarray, span: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each string the owner of each of its windows, and the smallest of them."""
     suffix, common = column_wise(strings, span)
     size = np.fromiter(map(len, strings), np.int64, len(strings))
     start = np.cumsum(size) - size + np.arange(len(strings))
@@ -409,7 +412,9 @@ def _owners_of(strings: list[bytes], owner: np.ndarray, span: int) -> list[np.nd
     per = np.repeat(least, np.diff(np.append(begin, len(suffix))))
     flat = np.empty(int(size.sum()) + len(strings), np.int64)
     flat[suffix] = per
-    return [flat[a:a + n - span + 1] for a, n in zip(start.tolist(), size.tolist(), strict=True)]
+    ends = start + size - span + 1
+    least = np.minimum.reduceat(flat, np.stack([start, ends], 1).ravel())[::2]
+    return [flat[a:b] for a, b in zip(start.tolist(), ends.tolist(), strict=True)], least
 
 
 @giving_back
@@ -435,9 +440,10 @@ def sort_strings(rows: pa.Table, span: int) -> pa.Table:
     _, bounds = _bounds(group[order])
     owners: list[np.ndarray | None] = [None] * len(strings)
     waiting: list[int] = []
+    bound = least.copy()
 
     def settle() -> None:
-        found = _owners_of([strings[k] for k in waiting], least[np.array(waiting)], span)
+        found, bound[waiting] = _owners_of([strings[k] for k in waiting], least[np.array(waiting)], span)
         for k, o in zip(waiting, found, strict=True):
             owners[k] = o
         waiting.clear()
@@ -450,16 +456,15 @@ def sort_strings(rows: pa.Table, span: int) -> pa.Table:
     if waiting:
         settle()
     # a chunk hears of a string only if one of its documents loses something by it
-    bound = np.fromiter((least[k] if o is None else o.min() for k, o in enumerate(owners)),
-                        np.int64, len(strings))
     tell = np.flatnonzero(bound[which] < last)
     tell = tell[np.argsort(chunk[tell], kind="stable")]
     keys, bounds = _bounds(chunk[tell])
     told = which[tell].tolist()
     windows = size[tell] - span + 1
-    parts = [np.full(n, least[k]) if owners[k] is None else owners[k]
-             for k, n in zip(told, windows.tolist(), strict=True)]
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    flat = np.repeat(least[which[tell]], windows)
+    for k, a, n in zip(told, (np.cumsum(windows) - windows).tolist(), windows.tolist(), strict=True):
+        if owners[k] is not None:
+            flat[a:a + n] = owners[k]
     # equal neighbours once, with their number
     edge = np.ones(len(flat), bool)
     edge[1:] = flat[1:] != flat[:-1]
