@@ -3,7 +3,7 @@
 The documents are cut into short overlapping strings, and the strings are brought together so
 that every passage of ``span`` bytes meets all its equals in one group:
 
-1. Every window of ``span`` bytes has an anchor, the smallest hash of the 16-byte pieces in it.
+1. Every window of ``span`` bytes has an anchor, the smallest hash of the pieces of ``PIECE`` bytes in it.
    Equal windows have equal anchors, and neighbouring windows mostly share one.
 2. Documents are dealt into chunks. A chunk lists its anchors once each; an anchor seen in one
    document only can't belong to a repeated passage and goes no further.
