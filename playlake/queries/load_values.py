@@ -16,7 +16,7 @@ from ..streaming import load_activity_files
 from ..workspace import scratch_path
 from .modeling import _ARTIST_SQL
 from .registry import query
-from .roles import ARRIVAL, ARRIVAL_SQL_DESC, FACT_SQL, activity, catalog, raw_files, with_roles
+from .roles import ARRIVAL, ARRIVAL_SQL_DESC, FACT_SQL, JSON_FILES, activity, catalog, raw_files, with_roles
 
 
 def _wide(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -62,6 +62,7 @@ def _loaded(spark: SparkSession, sf_dir: str, preset: str) -> DataFrame:
         raw_files(spark, sf_dir, "activity"),
         scratch_path(spark, f"values-{preset}"),
         preset,
+        pattern=JSON_FILES,
     )
     return _wide({name: df.drop("month") if name == "songplay" and preset == "lake" else df
                   for name, df in tables.items()})
@@ -135,5 +136,7 @@ def incremental_star_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch_path(spark, "values-incremental"),
         scratch_path(spark, "progress"),
         files_per_batch=2,
+        pattern=JSON_FILES,
         buckets=16,
+        spread=True,
     ))

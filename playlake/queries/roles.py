@@ -85,13 +85,15 @@ _COLUMNS = {**_FROM_LINEITEM, **_FROM_PART, **_FROM_ORDERS, **_FROM_CUSTOMER, **
 
 
 def activity(
-    spark: SparkSession, sf_dir: str, *columns: str, plays_only: bool = False
+    spark: SparkSession, sf_dir: str, *columns: str, plays_only: bool = False, spread: bool = False
 ) -> DataFrame:
     """The log columns asked for, all of ``LOG_FILE`` by default.
 
     Only the tables those columns come from are joined. The foreign keys are complete, so
     a join that adds no column would neither add nor drop rows. ``plays_only`` gives the
-    lines of the play page, as a filter that the scan can use.
+    lines of the play page, as a filter that the scan can use. ``spread`` deals the line items
+    by their order before it is joined, so that few rows lie in several tasks, too; that is the
+    shuffle that the join takes of many rows anyway, while they are still narrow.
     """
     columns = columns or tuple(LOG_FILE.fieldNames())
     wanted = set(columns)
@@ -110,6 +112,8 @@ def activity(
                 nations = table(spark, sf_dir, "nation")
                 customers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
             buyers = buyers.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        if spread:
+            rows = rows.repartition("l_orderkey")
         rows = rows.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.select([_COLUMNS[c]().alias(c) for c in columns])
 
@@ -208,24 +212,26 @@ def prepare(spark: SparkSession, sf_dir: str) -> None:
         _PREPARED[sf_dir, role] = raw_files(spark, sf_dir, role)
 
 
+#: What the files of ``raw_files`` are named like.
+JSON_FILES = "*.json.gz"
+
+
 def raw_files(spark: SparkSession, sf_dir: str, role: str) -> str:
     """The ``catalog`` or ``activity`` role as JSON files, or as ``event_csv`` files that name
-    the artist on plays only."""
+    the artist on plays only. The files are compressed: as text they are many times the tables."""
     if (sf_dir, role) in _PREPARED:
         return _PREPARED[sf_dir, role]
     path = scratch_path(spark, f"raw-{role}")
     if role == "catalog":
-        catalog(spark, sf_dir).select(SONG_FILE.fieldNames()).write.json(path)
-        return path
-    # The roles come out of joins in few tasks; spread, they become several files.
-    if role == "activity":
-        rows = activity(spark, sf_dir).repartition("sessionId", "itemInSession", "ts")
-        rows.select(LOG_FILE.fieldNames()).write.json(path)
+        catalog(spark, sf_dir).select(SONG_FILE.fieldNames()).write.json(path, compression="gzip")
+    elif role == "activity":
+        # The roles come out of joins in few tasks; spread, they become several files.
+        rows = activity(spark, sf_dir, spread=True)
+        rows.select(LOG_FILE.fieldNames()).write.json(path, compression="gzip")
     else:
-        rows = activity(spark, sf_dir, *EVENT_CSV_COLUMNS)
-        rows = rows.repartition("sessionId", "itemInSession", "ts")
+        rows = activity(spark, sf_dir, *EVENT_CSV_COLUMNS, spread=True)
         artist = F.when(F.col("page") == "NextSong", F.col("artist"))
         rows.withColumn("artist", artist).write.option("header", True).option(
             "escape", '"'
-        ).csv(path)
+        ).csv(path, compression="gzip")
     return path

@@ -19,7 +19,7 @@ from ..streaming import (
 from ..workspace import scratch_path
 from .registry import query
 from .reporting import _COUNT_SQL
-from .roles import catalog, raw_files, with_roles
+from .roles import JSON_FILES, catalog, raw_files, with_roles
 
 _ARTIST_ROWS = (
     "(SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude"
@@ -52,6 +52,7 @@ def _load(spark: SparkSession, sf_dir: str, preset: str) -> DataFrame:
         raw_files(spark, sf_dir, "activity"),
         scratch_path(spark, f"star-{preset}"),
         preset,
+        pattern=JSON_FILES,
     ))
 
 
@@ -120,6 +121,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch_path(spark, "progress"),
         lambda rows, batch: append_batch(refuse_faults(log_faults(rows)), out, batch),
         files_per_batch=FILES_PER_BATCH,
+        spread=True,
     )
     return read_batches(spark, out, STAGING_EVENTS).select(
         "sessionId", "itemInSession", "ts", "page", "song", "artist", "userId"
@@ -145,6 +147,7 @@ def incremental_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch_path(spark, "progress"),
         lambda rows, batch: merge_users_batch(plays(refuse_faults(log_faults(rows))), out, batch, BUCKETS),
         files_per_batch=FILES_PER_BATCH,
+        spread=True,
     )
     return users_now(spark, out)
 
@@ -164,7 +167,9 @@ def incremental_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch_path(spark, "star-incremental"),
         scratch_path(spark, "progress"),
         files_per_batch=FILES_PER_BATCH,
+        pattern=JSON_FILES,
         buckets=BUCKETS,
+        spread=True,
     )
     return quality.load_report({
         t.name: (tables[t.name], list(t.key)) for t in STAR if t.name in tables

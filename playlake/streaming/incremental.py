@@ -67,20 +67,27 @@ def each_new_file(
     *,
     pattern: str | None = None,
     files_per_batch: int | None = None,
+    spread: bool = False,
 ) -> None:
     """Hand all files of JSON lines not seen before to ``handler(rows, batch number)`` and stop.
 
     The rows have the columns of ``schema`` and ``_corrupt_record``, the text of a malformed line:
     the handler decides what becomes of those. ``checkpoint`` remembers the files; a run that finds
     no new ones does nothing, and a batch whose handler failed is handed over again.
+
+    ``spread`` deals the lines over all cores before they are parsed. For compressed files, each of
+    which is read in one task, and parsing takes much longer than reading.
     """
     reader = spark.readStream.option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    lines = reader.text(source)
+    if spread:
+        lines = lines.repartition(spark.sparkContext.defaultParallelism, "value")
     (
-        parse_json_lines(reader.text(source), schema)
+        parse_json_lines(lines, schema)
         .writeStream.foreachBatch(handler)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -151,6 +158,7 @@ def load_activity_files(
     pattern: str | None = "*.json",
     bad: str = "fail",
     buckets: int = BUCKETS,
+    spread: bool = False,
 ) -> dict[str, DataFrame]:
     """New activity files to users, time and songplay below ``out``, under the ``keyed`` rules.
 
@@ -163,7 +171,7 @@ def load_activity_files(
     noted in ``out/commits``. ``out`` belongs to ``checkpoint`` from the first run on (``claim``).
 
     ``catalog`` must be complete before: a play whose song arrives later stays unresolved.
-    Song play ids go on from the rows of earlier batches.
+    Song play ids go on from the rows of earlier batches. ``spread``: see ``each_new_file``.
     """
 
     def handler(raw: DataFrame, batch: int) -> None:
@@ -203,6 +211,7 @@ def load_activity_files(
         handler,
         pattern=pattern,
         files_per_batch=files_per_batch,
+        spread=spread,
     )
     return activity_tables(spark, out)
 

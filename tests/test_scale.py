@@ -1,6 +1,7 @@
 """Properties of the physical plans that decide how a query behaves on large, skewed data."""
 
 import re
+from pathlib import Path
 
 import pytest
 
@@ -15,11 +16,13 @@ from playlake.operators import (
     top_k_per_group,
 )
 from playlake.plans import keyed, reports, star
-from playlake.queries import ORACLE, QUERIES
-from playlake.schemas import SESSION_LIBRARY, SONGPLAY
+from playlake.queries import ORACLE, QUERIES, roles
+from playlake.schemas import LOG_FILE, SESSION_LIBRARY, SONGPLAY
 from playlake.settings import ADAPTIVE
 from playlake.sources import read_parquet, write_keyed, write_parquet
+from playlake.streaming import each_new_file
 from playlake.workspace import scratch_path
+from tests import data
 
 SF = "/root/testdata/sf0.001"
 
@@ -212,3 +215,21 @@ def test_scratch_folders_follow_the_session_setting():
     assert "/playlake/x-" in scratch_path(Session(spark_master="local[8]"), "x")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Session(spark_master="yarn"), "x")
+
+
+def test_raw_files_are_small_and_several(spark):
+    """They are written whole by every load: compressed, and without a shuffle of their wide rows."""
+    for role, pattern in (("catalog", "*.json.gz"), ("activity", "*.json.gz"), ("event_csv", "*.csv.gz")):
+        path = Path(roles.raw_files(spark, SF, role))
+        assert len(list(path.glob(pattern))) == len(list(path.glob("part-*"))) >= (1 if role == "catalog" else 2)
+    plan = roles.activity(spark, SF, spread=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("RepartitionByExpression") and plan.count("RepartitionByExpression") == 1
+
+
+def test_lines_of_compressed_files_are_spread(spark, tmp_path):
+    data.log(spark, *({"ts": i, "itemInSession": i} for i in range(200))).coalesce(1).write.json(
+        str(tmp_path / "log"), compression="gzip")
+    seen = []
+    each_new_file(spark, str(tmp_path / "log"), LOG_FILE, str(tmp_path / "progress"),
+                  lambda rows, batch: seen.append((rows.rdd.getNumPartitions(), rows.count())), spread=True)
+    assert seen == [(spark.sparkContext.defaultParallelism, 200)]
