@@ -43,12 +43,12 @@ FROM activity
 def stage_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every second item's line broken off, every third one's number missing."""
     base, out = scratch_path(spark, "broken"), scratch_path(spark, "staged")
-    log = activity(spark, sf_dir).select(LOG_FILE.fieldNames())
+    log = activity(spark, sf_dir, spread=True).select(LOG_FILE.fieldNames())
     item = F.when(F.col("itemInSession") != 3, F.col("itemInSession")).alias("itemInSession")
     line = F.to_json(F.struct(*[item if c == "itemInSession" else c for c in log.columns]))
     broken = F.when(F.col("itemInSession") == 2, F.left(line, F.length(line) - 3)).otherwise(line)
-    log.select(broken.alias("value")).write.text(f"{base}/log")
-    catalog(spark, sf_dir).select(SONG_FILE.fieldNames()).write.json(f"{base}/songs")
+    log.select(broken.alias("value")).write.text(f"{base}/log", compression="gzip")
+    catalog(spark, sf_dir).select(SONG_FILE.fieldNames()).write.json(f"{base}/songs", compression="gzip")
     events, _ = loads.stage(spark, f"{base}/songs", f"{base}/log", out, bad="quarantine")
     aside = spark.read.parquet(f"{out}/quarantine/staging_events")
     nothing = F.lit(None)
