@@ -31,14 +31,14 @@ UNION ALL SELECT 'itemInSession must not be null', NULL, count(*) FROM numbered
 def incremental_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broken lines and lines without an item number, over several batches: the others are loaded."""
     source, out = scratch_path(spark, "raw-broken"), scratch_path(spark, "star-broken")
-    rows = activity(spark, sf_dir).withColumn("k", F.expr("(sessionId * 7 + itemInSession) % 50"))
+    rows = activity(spark, sf_dir, spread=True).withColumn("k", F.expr("(sessionId * 7 + itemInSession) % 50"))
     item = F.when(F.col("k") != 5, F.col("itemInSession")).alias("itemInSession")
     line = F.to_json(F.struct(*(item if c == "itemInSession" else F.col(c) for c in LOG_FILE.fieldNames())))
     cut = F.when(F.col("k") == 3, F.left(line, F.lit(50))).otherwise(line)
-    rows.select(cut.alias("value")).repartition(4, "value").write.text(source)
+    rows.select(cut.alias("value")).write.text(source, compression="gzip")
     tables = load_activity_files(
         spark, source, catalog(spark, sf_dir), out, scratch_path(spark, "progress"),
-        files_per_batch=2, pattern=None, bad="quarantine", buckets=16,
+        files_per_batch=2, pattern=None, bad="quarantine", buckets=16, spread=True,
     )
     loaded = tables["songplay"].groupBy(F.lit("songplay").alias("kind"), "session_id").agg(F.count("*").alias("n"))
     left_out = quarantined(spark, out).groupBy(F.col("fault").alias("kind")).agg(F.count("*").alias("n"))

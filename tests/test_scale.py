@@ -16,7 +16,7 @@ from playlake.operators import (
     top_k_per_group,
 )
 from playlake.plans import keyed, reports, star
-from playlake.queries import ORACLE, QUERIES, roles
+from playlake.queries import ORACLE, QUERIES, intake, roles, upkeep
 from playlake.schemas import LOG_FILE, SESSION_LIBRARY, SONGPLAY
 from playlake.settings import ADAPTIVE, configure
 from playlake.sources import read_parquet, write_keyed, write_parquet
@@ -233,3 +233,12 @@ def test_lines_of_compressed_files_are_spread(spark, tmp_path):
     each_new_file(spark, str(tmp_path / "log"), LOG_FILE, str(tmp_path / "progress"),
                   lambda rows, batch: seen.append((rows.rdd.getNumPartitions(), rows.count())), spread=True)
     assert seen == [(spark.sparkContext.defaultParallelism, 200)]
+
+
+@pytest.mark.parametrize(("module", "query"), [(intake, "stage_quarantine"), (upkeep, "incremental_quarantine")])
+def test_broken_lines_are_written_compressed_in_as_many_files_as_they_need(spark, tmp_path, monkeypatch, module, query):
+    monkeypatch.setattr(module, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    QUERIES[query](spark, SF)
+    raw = tmp_path / {"stage_quarantine": "broken/log", "incremental_quarantine": "raw-broken"}[query]
+    files = list(raw.glob("part-*"))
+    assert files and len(files) < 4 and all(f.suffix == ".gz" for f in files)
