@@ -39,17 +39,21 @@ def resolve_all(plays: DataFrame, catalog: DataFrame, *, scale: int | None = Non
     )
 
 
-def resolve_first(plays: DataFrame, catalog: DataFrame, *, scale: int | None = None) -> DataFrame:
-    """Each play with at most one matching song, the smallest ``song_id``.
-
-    The catalog is reduced to one song per match key first, so copies of a song never
-    multiply its plays.
-    """
+def first_matches(catalog: DataFrame, *, scale: int | None = None) -> DataFrame:
+    """The catalog reduced to one song per match key, the smallest ``song_id``."""
     keys = [b for _, b in MATCH]
-    one = (
+    return (
         catalog.select("song_id", "artist_id", *(_key(F.col(b), b, scale).alias(b) for b in keys))
         .groupBy(*keys)
         .agg(F.min(F.struct("song_id", "artist_id")).alias("hit"))
         .select(*keys, "hit.song_id", "hit.artist_id")
     )
-    return resolve_all(plays, one, scale=scale)
+
+
+def resolve_first(plays: DataFrame, catalog: DataFrame, *, scale: int | None = None) -> DataFrame:
+    """Each play with at most one matching song, the smallest ``song_id``.
+
+    The catalog is reduced to one song per match key first, so copies of a song never
+    multiply its plays.
+    """
+    return resolve_all(plays, first_matches(catalog, scale=scale), scale=scale)

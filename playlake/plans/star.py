@@ -15,6 +15,7 @@ from ..functions import event_time, round_to_int, time_parts, to_id
 from ..operators import (
     asof_join,
     distinct_rows,
+    first_matches,
     first_per_key,
     known_users,
     latest_per_key,
@@ -157,6 +158,15 @@ def under_stored_artist(catalog: DataFrame, seq: Sequence[str] = ("song_id",)) -
     return catalog.drop("artist_name").join(stored, "artist_id").select(catalog.columns)
 
 
+def first_songs(catalog: DataFrame) -> DataFrame:
+    """The one song that plays of a title, artist and length are matched to by ``match='first'``.
+
+    To be stored where plays come in many batches, and matched by ``match='all'``: the catalog is
+    then reduced once, not with every batch.
+    """
+    return first_matches(under_stored_artist(catalog))
+
+
 def log_times(log: DataFrame, *, precision: str = "s") -> DataFrame:
     """The ``start_time`` of every log line."""
     return log.select(event_time("ts", precision).alias("start_time"))

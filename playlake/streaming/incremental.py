@@ -24,11 +24,13 @@ from ..sources import (
     expire_versions,
     log_faults,
     parse_json_lines,
+    read_parquet,
     read_version,
     refuse_faults,
+    write_parquet,
     write_version,
 )
-from ..workspace import at_once
+from ..workspace import at_once, scratch_path
 from .buckets import BUCKETS, expire_buckets, merge_into_buckets, read_buckets
 from .compaction import FILE_BYTES, append_batch, compact, read_batches
 
@@ -188,7 +190,10 @@ def load_activity_files(
         times = star.time_dimension(
             star.log_times(log, precision="ms"), distinct=False, style="mon0"
         )
-        fact = star.songplays(log, catalog, match="first", precision="ms")
+        if not kept:  # reduced once: a batch's cost must not be the whole catalog's
+            write_parquet(reduced, songs)
+            kept.append(read_parquet(session, songs, reduced.schema))
+        fact = star.songplays(log, kept[0], match="all", precision="ms")
         at_once(
             partial(merge_users_batch, log, f"{out}/users", batch, buckets),
             partial(append_batch, times, f"{out}/time", batch),
@@ -203,6 +208,7 @@ def load_activity_files(
     if bad not in ("fail", "quarantine"):
         raise ValueError(f"bad must be 'fail' or 'quarantine', not {bad!r}")
     claim(spark, out, checkpoint)
+    songs, reduced, kept = scratch_path(spark, "songs"), star.first_songs(catalog), []
     each_new_file(
         spark,
         source,
@@ -213,6 +219,7 @@ def load_activity_files(
         files_per_batch=files_per_batch,
         spread=spread,
     )
+    delete_folder(spark, songs)
     return activity_tables(spark, out)
 
 

@@ -15,6 +15,7 @@ from playlake.streaming import (
     read_batches,
     users_now,
 )
+from playlake.plans import star
 from tests import data
 from tests.data import rows
 from tests.test_sources import event_csv
@@ -233,3 +234,15 @@ def test_a_batch_that_not_all_tables_have_is_not_read(spark, raw, tmp_path):
     merge_users_batch(log, f"{out}/users", 7)
     append_batch(spark.read.parquet(f"{out}/time/batch=0"), f"{out}/time", 7)
     assert {name: rows(df) for name, df in activity_tables(spark, out).items()} == seen
+
+
+def test_the_catalog_is_reduced_once_for_all_batches(spark, tmp_path, monkeypatch):
+    catalog = data.songs(spark, {}, {"song_id": "S0"}, {"song_id": "S2", "title": "other"})
+    data.log(spark, *({"itemInSession": i, "song": s} for i, s in enumerate(["Setanta matins", "other", "none"] * 4))
+             ).repartition(4).write.json(str(tmp_path / "log"))
+    seen, build = [], star.songplays
+    monkeypatch.setattr(star, "songplays", lambda log, songs, **how: seen.append((songs, how["match"])) or build(log, songs, **how))
+    tables = load_activity_files(spark, str(tmp_path / "log"), catalog, str(tmp_path / "out"), str(tmp_path / "progress"),
+                                 files_per_batch=1)
+    assert len(seen) > 1 and {how for _, how in seen} == {"all"} and len({id(songs) for songs, _ in seen}) == 1
+    assert sorted(r.song_id for r in tables["songplay"].collect()) == ["S0"] * 4 + ["S2"] * 4
