@@ -64,7 +64,7 @@ def windowed_play_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             part = part.unionByName(log.filter((F.col("ts") >= cuts[number] - _DAY) & (F.col("ts") < cuts[number]) & ~late))
         if number == 2:
             part = part.unionByName(log.filter(late))
-        part.select(*(c for c in LOG_FILE.fieldNames() if c in part.columns)).coalesce(1).write.json(f"{source}/{number}")
+        part.select(*(c for c in LOG_FILE.fieldNames() if c in part.columns)).repartition(1).write.json(f"{source}/{number}")
     return load_windowed_counts(spark, source, scratch_path(spark, "windows"), scratch_path(spark, "progress"), files_per_batch=1)
 
 

@@ -106,3 +106,16 @@ def test_sums_over_groups_equal_brute_force(spark, zone):
     want = Counter((*key, len(v), float(median(v))) for key, v in groups.items() if len(v) >= 12)
     got = reports.play_rollup(data.log(spark, *log), least=12)
     assert Counter(map(tuple, got.collect())) == want
+
+
+def test_the_stream_files_are_built_by_many_tasks(spark, monkeypatch):
+    """``coalesce(1)`` lets one task read the whole table for each file."""
+    from playlake.queries import QUERIES, moments
+
+    def refuse(self, n):
+        raise AssertionError("one task reads all")
+
+    monkeypatch.setattr(moments, "load_windowed_counts", lambda spark, source, *a, **k: spark.read.text(f"{source}/*"))
+    monkeypatch.setattr(type(spark.range(0)), "coalesce", refuse)
+    files = QUERIES["windowed_play_counts"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert len(files) == 3
