@@ -29,8 +29,11 @@ def play_counts(log: DataFrame, catalog: DataFrame, by: Sequence[str] = ()) -> D
 def _named(
     best: DataFrame, dim: DataFrame, group: Sequence[str], key: str, label: str
 ) -> DataFrame:
-    """``best`` with one ``label`` per row: the smallest, where the dimension has several."""
-    hits = dim.select(key, label).join(best, key)
+    """``best`` with one ``label`` per row: the smallest, where the dimension has several.
+
+    A label that many rows of the dimension repeat is combined per task, before labels are ranked.
+    """
+    hits = dim.select(key, label).join(best, key).distinct()
     return first_per_key(hits, [*group, key], [label])
 
 

@@ -145,6 +145,16 @@ def test_counting_first_sends_a_hot_song_to_the_join_as_one_row(spark, tmp_path,
     assert top.first().asDict() == {"song_id": "0", "title": "hot", "plays": 100_000}
 
 
+def test_repeated_names_are_combined_before_they_are_ranked(spark):
+    """An artist's name stands on each of its songs: only different ones reach the ranking's sort."""
+    counts = spark.range(100).selectExpr("id % 3 AS location", "cast(id % 9 AS string) AS artist_id", "id AS plays")
+    artists = spark.range(1000).selectExpr("cast(id % 9 AS string) AS artist_id", "if(id < 9, null, 'a') AS name")
+    top = reports.top_artists_by_country(counts, artists)
+    physical = plan(top).split("== Physical Plan ==")[1]
+    assert physical.index("WindowGroupLimit") < physical.index("HashAggregate") < physical.index("Join")
+    assert {r.name for r in top.collect()} == {None}  # a missing name comes first, as before
+
+
 def test_no_broadcast_of_a_large_catalog(spark, tmp_path, settings):
     settings({"spark.sql.autoBroadcastJoinThreshold": "1KB",
               "spark.sql.adaptive.autoBroadcastJoinThreshold": "1KB"})
