@@ -10,14 +10,14 @@ from pyspark.sql import types as T
 
 from .. import sources
 from ..operators import dense_key, plays, table_changes
-from ..plans import quality, star
+from ..plans import keyed, quality, star
 from ..schemas import ARTIST, KEYED, LOG_FILE, SONG, STAGED_EVENTS, STAGING_EVENTS, STAGING_SONGS, TIME, USERS
 from ..sources import log_faults, refuse_faults, typed_events
 from ..streaming import append_batch, compact, each_new_file, load_activity_files, quarantined, read_batches
 from ..workspace import scratch_path
-from .lookups import _SESSION_SQL, _SONG_SQL, _USER_SQL, _session_library, _song_library, _user_activity
+from .lookups import _SESSION_SQL, _SONG_SQL, _USER_SQL
 from .registry import query
-from .roles import activity, catalog, event_log, raw_files, with_roles
+from .roles import ARRIVAL, activity, catalog, event_log, raw_files, with_roles
 
 
 @query(with_roles("activity catalog", """
@@ -120,11 +120,14 @@ def staging_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
     layout = (STAGED_EVENTS, STAGING_SONGS, *KEYED)
     sources.reset_tables(spark, layout, database, tables)
-    numbered = dense_key(typed_events(activity(spark, sf_dir)), "event_id", start=0)
+    # the log is joined once: the keyed tables are built from the stored events, too
+    extra = [c for c in ARRIVAL if c not in STAGING_EVENTS.columns]
+    log = typed_events(activity(spark, sf_dir, *STAGING_EVENTS.columns, *extra), keep=extra)
+    numbered = dense_key(log, "event_id", start=0)
     sources.insert_into(numbered, STAGED_EVENTS, database)
     sources.insert_into(catalog(spark, sf_dir), STAGING_SONGS, database)
-    for table, build in zip(KEYED, (_session_library, _user_activity, _song_library), strict=True):
-        sources.insert_into(build(spark, sf_dir), table, database)
+    for table, build in zip(KEYED, (keyed.session_library, keyed.user_activity, keyed.song_library), strict=True):
+        sources.insert_into(build(numbered, ARRIVAL), table, database)
     sources.drop_tables(spark, layout, database)
     spark.sql(f"DROP DATABASE {database}")
     counted = None

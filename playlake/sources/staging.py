@@ -99,9 +99,9 @@ def _typed(
     return df.select([column(f) for f in schema] + list(extra))
 
 
-def typed_events(rows: DataFrame, *, clip: bool = False) -> DataFrame:
-    """Raw log rows as ``staging_events`` rows; blank user ids become NULL."""
-    return _typed(rows, STAGING_EVENTS.schema, clip)
+def typed_events(rows: DataFrame, *, clip: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw log rows as ``staging_events`` rows; blank user ids become NULL. Columns to ``keep`` come along."""
+    return _typed(rows, STAGING_EVENTS.schema, clip, keep)
 
 
 def typed_songs(rows: DataFrame, *, clip: bool = True) -> DataFrame:

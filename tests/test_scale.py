@@ -16,7 +16,7 @@ from playlake.operators import (
     top_k_per_group,
 )
 from playlake.plans import keyed, reports, star
-from playlake.queries import ORACLE, QUERIES, intake, roles, upkeep
+from playlake.queries import ORACLE, QUERIES, intake, lookups, roles, upkeep
 from playlake.schemas import LOG_FILE, SESSION_LIBRARY, SONGPLAY
 from playlake.settings import ADAPTIVE, configure
 from playlake.sources import read_parquet, write_keyed, write_parquet
@@ -252,3 +252,11 @@ def test_broken_lines_are_written_compressed_in_as_many_files_as_they_need(spark
     raw = tmp_path / {"stage_quarantine": "broken/log", "incremental_quarantine": "raw-broken"}[query]
     files = list(raw.glob("part-*"))
     assert files and len(files) < 4 and all(f.suffix == ".gz" for f in files)
+
+
+def test_the_staged_log_is_joined_once(spark, monkeypatch):
+    built = []
+    monkeypatch.setattr(upkeep, "activity", lambda *a, **k: built.append(a) or roles.activity(*a, **k))
+    monkeypatch.setattr(lookups, "activity", upkeep.activity)
+    assert QUERIES["staging_lifecycle"](spark, SF).count() == 5
+    assert len(built) == 1
