@@ -122,7 +122,7 @@ def merge_users_batch(log: DataFrame, base: str, batch: int, buckets: int = BUCK
     """Merge a batch of log lines into the user states below ``base``, bucket by bucket.
 
     The batch is reduced to one state per user before it meets the stored ones, and only buckets
-    with users of the batch are rewritten. The states read are those of an earlier batch, so a
+    with users of the batch are rewritten, or added to where they are large. The states read are those of an earlier batch, so a
     replay gives the same states again.
     """
     merge_into_buckets(star.user_states(log), base, batch, USER_STATES, star.merge_user_states, buckets)
@@ -130,7 +130,7 @@ def merge_users_batch(log: DataFrame, base: str, batch: int, buckets: int = BUCK
 
 def users_now(spark: SparkSession, base: str, up_to: int | None = None) -> DataFrame:
     """The users table as of the last merged batch, or of the last one up to a batch number."""
-    return read_buckets(spark, base, USER_STATES, up_to).select(USERS.columns)
+    return read_buckets(spark, base, USER_STATES, up_to, star.merge_user_states).select(USERS.columns)
 
 
 def _append_numbered(fact: DataFrame, out: str, batch: int) -> None:

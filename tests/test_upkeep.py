@@ -145,6 +145,29 @@ def test_bucketed_states_of_any_table_and_empty_batches(spark, tmp_path):
     assert dict(rows(read_buckets(spark, base, table))) == total
 
 
+def test_batches_add_to_large_buckets_and_rewrite_them_seldom(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("playlake.streaming.buckets.SMALL_ROWS", 10)
+    base = str(tmp_path / "counts")
+    table = Layout("counts", layout("key string\nn bigint"), key=("key",))
+    add = lambda df: df.groupBy("key").agg(F.sum("n").alias("n"))
+    total, written = Counter(), []
+    for batch in range(12):
+        part = [(str(i), batch + i) for i in (range(100) if batch == 0 else range(batch, batch + 20))]
+        for again in range(2 if batch in (0, 3, 6) else 1):  # some are replayed
+            merge_into_buckets(spark.createDataFrame(part, table.schema), base, batch, table, add, 1)
+        for k, n in part:
+            total[k] += n
+        written.append(spark.read.parquet(f"{base}/data/version={batch:012d}").count())
+        assert dict(rows(read_buckets(spark, base, table, merge=add))) == total
+        if batch == 1:
+            with pytest.raises(ValueError, match="merge must say"):
+                read_buckets(spark, base, table)
+        expire_buckets(spark, base, keep=2)
+    # the additions of batches 1 to 5, the sixth rewrites: 100 rows, and so on
+    assert written == [100, 20, 20, 20, 20, 20, 100, 20, 20, 20, 20, 20]
+    assert dict(rows(read_buckets(spark, base, table, up_to=10, merge=add)))["99"] == 99
+
+
 # compaction
 
 
