@@ -17,7 +17,7 @@ from ..streaming import append_batch, compact, each_new_file, load_activity_file
 from ..workspace import scratch_path
 from .lookups import _SESSION_SQL, _SONG_SQL, _USER_SQL
 from .registry import query
-from .roles import ARRIVAL, activity, catalog, event_log, raw_files, with_roles
+from .roles import ARRIVAL, activity, catalog, event_log, raw_files, table, with_roles
 
 
 @query(with_roles("activity catalog", """
@@ -59,10 +59,14 @@ def incremental_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
             compact(spark, out, STAGING_EVENTS, batch, order=["ts"])
             append_batch(rows, out, batch)
 
-    log = activity(spark, sf_dir).select(LOG_FILE.fieldNames())
-    source = scratch_path(spark, "raw-compacted")
-    log.repartition(5, "sessionId", "itemInSession", "ts").write.json(source)
-    each_new_file(spark, source, LOG_FILE, scratch_path(spark, "progress"), append, files_per_batch=1)
+    log, source = activity(spark, sf_dir, spread=True).select(LOG_FILE.fieldNames()), scratch_path(spark, "raw-compacted")
+    # compressed files, enough of them for all cores in each of five batches or a few more
+    rows, least = table(spark, sf_dir, "lineitem").count(), 5 * spark.sparkContext.defaultParallelism
+    log.write.option("maxRecordsPerFile", max(1, -(-rows // least))).json(source, compression="gzip")
+    files = len(spark.read.text(source).inputFiles())
+    each_new_file(
+        spark, source, LOG_FILE, scratch_path(spark, "progress"), append, files_per_batch=max(1, files // 5)
+    )
     return read_batches(spark, out, STAGING_EVENTS).select(
         "sessionId", "itemInSession", "ts", "page", "song", "artist", "userId"
     )

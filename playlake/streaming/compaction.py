@@ -28,6 +28,9 @@ from ..sources import (
 
 FILE_BYTES = 256 << 20
 
+#: Rows that a task sorts in memory for one file: compressed ones may be many times as large there.
+SORT_ROWS = 2_000_000
+
 _BATCH = T.StructField("batch", T.LongType())
 _PARTS = Table("parts", layout("""
     folder bigint
@@ -84,7 +87,8 @@ def compact(
     """Compact the batches up to ``up_to`` that aren't yet; returns how many there were.
 
     ``up_to`` must be a batch that is done, such as the last one that ``load_activity_files`` has
-    noted. With ``order`` the rows are ranged and sorted, so that scans can skip files by it. Only
+    noted. With ``order`` the rows are ranged and sorted, so that scans can skip files by it, and a
+    file has about ``SORT_ROWS`` rows at most, however well they compress. Only
     new batches are rewritten. Their own folders stay for readers that have begun, and go with the
     next compaction. One compaction of a dataset may run at a time.
     """
@@ -98,6 +102,7 @@ def compact(
     rows = spark.read.schema(schema).parquet(path).filter(F.col("batch").between(done + 1, up_to))
     files = max(1, -(-sum(folder_bytes(spark, f) for f in todo.values()) // file_bytes))
     if order:
+        files = max(files, -(-rows.count() // SORT_ROWS))
         rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     else:
         rows = rows.coalesce(files)

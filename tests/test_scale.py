@@ -260,3 +260,11 @@ def test_the_staged_log_is_joined_once(spark, monkeypatch):
     monkeypatch.setattr(lookups, "activity", upkeep.activity)
     assert QUERIES["staging_lifecycle"](spark, SF).count() == 5
     assert len(built) == 1
+
+
+def test_the_log_to_compact_comes_compressed_in_files_for_all_cores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upkeep, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    assert QUERIES["incremental_compacted"](spark, SF).count() > 0
+    files = list((tmp_path / "raw-compacted").glob("part-*"))
+    assert len(files) >= 5 * spark.sparkContext.defaultParallelism and all(f.suffix == ".gz" for f in files)
+    assert 5 <= len(list((tmp_path / "progress" / "commits").glob("[0-9]*"))) <= 9

@@ -309,3 +309,12 @@ def test_events_of_a_batch_keep_their_types(spark, broken):
     events = read_batches(spark, f"{out}/events", STAGING_EVENTS)
     assert events.filter("userId = 8").count() == 4  # the one without an item is there, with its fault beside it
     assert events.filter("userId = 8 AND itemInSession IS NOT NULL").count() == 3
+
+
+def test_a_compacted_file_has_no_more_rows_than_a_task_can_sort(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("playlake.streaming.compaction.SORT_ROWS", 100, raising=False)
+    path, table = str(tmp_path / "t"), Layout("t", layout("at bigint\nnote string"))
+    append_batch(spark.range(1000).selectExpr("id AS at", "'equal' AS note"), path, 0)
+    assert compact(spark, path, table, 0, order=["at"]) == 1
+    assert len(list(Path(path, "_compacted").rglob("*.parquet"))) == 10
+    assert rows(read_batches(spark, path, table), "at") == [(i,) for i in range(1000)]
