@@ -36,6 +36,9 @@ from .compaction import FILE_BYTES, append_batch, compact, read_batches
 
 Handler = Callable[[DataFrame, int], None]
 
+#: Lines that are dealt together; about a block of the shuffle's compression.
+_RUN_BITS = 6
+
 _BATCH = T.StructField("batch", T.LongType())
 _SEQ = T.StructType([STAGING_EVENTS.schema[c] for c in star.ARRIVAL])
 
@@ -60,6 +63,12 @@ USER_STATES = Table(
 )
 
 
+def _dealt(lines: DataFrame) -> DataFrame:
+    """Lines of text dealt over all cores in runs: neighbours are alike, and compress well together."""
+    run = F.shiftright(F.monotonically_increasing_id(), _RUN_BITS).alias("run")
+    return lines.select("value", run).repartition(lines.sparkSession.sparkContext.defaultParallelism, "run").drop("run")
+
+
 def each_new_file(
     spark: SparkSession,
     source: str,
@@ -80,17 +89,18 @@ def each_new_file(
     ``spread`` deals the lines over all cores before they are parsed. For compressed files, each of
     which is read in one task, and parsing takes much longer than reading.
     """
+
+    def parsed(lines: DataFrame, batch: int) -> None:
+        handler(parse_json_lines(_dealt(lines) if spread else lines, schema), batch)
+
     reader = spark.readStream.option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    lines = reader.text(source)
-    if spread:
-        lines = lines.repartition(spark.sparkContext.defaultParallelism, "value")
     (
-        parse_json_lines(lines, schema)
-        .writeStream.foreachBatch(handler)
+        reader.text(source)
+        .writeStream.foreachBatch(parsed)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -4,6 +4,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from playlake.operators import (
     first_per_key,
@@ -245,6 +246,19 @@ def test_lines_of_compressed_files_are_spread(spark, tmp_path):
     assert seen == [(spark.sparkContext.defaultParallelism, 200)]
 
 
+def test_spread_lines_stay_with_their_neighbours(spark, tmp_path):
+    """Neighbours are alike: dealt one by one, the lines compress worse in the shuffle."""
+    data.log(spark, *({"ts": i, "itemInSession": i} for i in range(1024))).coalesce(1).write.json(
+        str(tmp_path / "log"), compression="gzip")
+    seen = []
+    each_new_file(spark, str(tmp_path / "log"), LOG_FILE, str(tmp_path / "progress"),
+                  lambda rows, batch: seen.extend(rows.select(F.spark_partition_id(), "ts").collect()), spread=True)
+    task = dict((ts, part) for part, ts in seen)
+    assert sorted(task) == list(range(1024)) == sorted(ts for _, ts in seen)
+    assert len(set(task.values())) > 1
+    assert all(len({task[ts] for ts in range(at, at + 64)}) == 1 for at in range(0, 1024, 64))
+
+
 @pytest.mark.parametrize(("module", "query"), [(intake, "stage_quarantine"), (upkeep, "incremental_quarantine")])
 def test_broken_lines_are_written_compressed_in_as_many_files_as_they_need(spark, tmp_path, monkeypatch, module, query):
     monkeypatch.setattr(module, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
