@@ -17,7 +17,7 @@ from playlake.operators import (
     top_k_per_group,
 )
 from playlake.plans import keyed, reports, star
-from playlake.queries import ORACLE, QUERIES, intake, lookups, roles, upkeep
+from playlake.queries import ORACLE, QUERIES, intake, lookups, roles, scans, upkeep
 from playlake.schemas import LOG_FILE, SESSION_LIBRARY, SONGPLAY
 from playlake.settings import ADAPTIVE, configure
 from playlake.sources import read_parquet, write_keyed, write_parquet
@@ -259,6 +259,22 @@ def test_spread_lines_stay_with_their_neighbours(spark, tmp_path):
     assert all(len({task[ts] for ts in range(at, at + 64)}) == 1 for at in range(0, 1024, 64))
 
 
+def test_the_two_files_to_report_are_written_from_a_compressed_table(spark, tmp_path, monkeypatch, settings):
+    settings({"spark.sql.session.timeZone": "UTC"})
+    monkeypatch.setattr(scans, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    (report,) = QUERIES["scan_files_report"](spark, SF).collect()
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert report.asDict() == {"total_rows": lines, "files": 3, "empty_files": 1}
+    columns = LOG_FILE.fieldNames()
+    written = spark.read.schema(LOG_FILE).option("recursiveFileLookup", True).json(f"{tmp_path}/report/log")
+    counts = [r["count"] for r in written.groupBy("_metadata.file_path").count().collect()]
+    assert len(counts) == 2 and abs(counts[0] - counts[1]) <= 0.2 * lines
+    log = roles.activity(spark, SF).select(columns)
+    assert written.select(columns).exceptAll(log).isEmpty() and log.exceptAll(written.select(columns)).isEmpty()
+    halves = list((tmp_path / "report-halves").glob("half=*/part-*"))
+    assert {h.parent.name for h in halves} == {"half=0", "half=1"} and all(".zstd." in h.name for h in halves)
+
+
 @pytest.mark.parametrize(("module", "query"), [(intake, "stage_quarantine"), (upkeep, "incremental_quarantine")])
 def test_broken_lines_are_written_compressed_in_as_many_files_as_they_need(spark, tmp_path, monkeypatch, module, query):
     monkeypatch.setattr(module, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
