@@ -35,7 +35,7 @@ def _store_with_position(df: DataFrame, path: str) -> DataFrame:
             _PART: F.shiftright(row, _POS_BITS),
             _POS: row.bitwiseAND(F.lit((1 << _POS_BITS) - 1)),
         })
-        .write.parquet(path)
+        .write.parquet(path, compression="zstd")
     )
     return df.sparkSession.read.parquet(path)
 

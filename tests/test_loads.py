@@ -69,6 +69,16 @@ def test_warehouse_load(spark, raw):
     assert rows(tables["time"], "weekday") == [(4,), (4,)]
 
 
+@pytest.mark.parametrize("preset", ["keyed", "warehouse", "lake"])
+def test_every_table_of_a_load_is_written_compressed_well(spark, raw, tmp_path, preset, monkeypatch):
+    monkeypatch.setattr(loads, "delete_folder", lambda spark, path: None)  # keeps the scratch table
+    loads.load_star(spark, *raw, preset)
+    files = list((tmp_path / "out").rglob("*.parquet"))
+    tables = {"staging_events", "staging_songs", *(t.name for t in STAR)} | ({"_scratch"} if preset != "lake" else set())
+    assert {f.relative_to(tmp_path / "out").parts[0] for f in files if f.is_file()} == tables
+    assert all(f.name.endswith(".zstd.parquet") for f in files)
+
+
 def test_warehouse_load_enforces_required_columns(spark, raw):
     data.log(spark, {"location": None}).write.mode("overwrite").json(raw[1])
     with pytest.raises(Exception, match="location must not be null"):
