@@ -91,22 +91,23 @@ SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(3 AS BIGINT) AS files,
 def scan_files_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two files with rows, and one without any.
 
-    One task writes a file. It reads its half of the log from a compressed table that all tasks wrote,
-    which is a fraction of what a shuffle of the rows would bring it.
+    The two files are compressed: as plain text they are many times all else that the query writes. One task
+    writes a file, and one reads it. All tasks make its lines, in a compressed table with a half for each file, so
+    that the one task only has to pack them.
     """
     path, halves = scratch_path(spark, "report"), scratch_path(spark, "report-halves")
-    log = activity(spark, sf_dir, spread=True).select(LOG_FILE.fieldNames())
+    log = activity(spark, sf_dir, spread=True).select(F.to_json(F.struct(*LOG_FILE.fieldNames())).alias("value"))
     # Runs of 64 neighbours, as they are alike; a task's first two rows come apart, so two rows make two files.
     run = F.shiftright(F.monotonically_increasing_id() + 63, 6)
     spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")  # a task keeps both open, and sorts nothing
-    writer = log.withColumn("half", run % 2).write.partitionBy("half").option("parquet.writer.version", "v2")
-    for name in ("sessionId", "userId", "lastName"):  # a session's lines are neighbours: smaller as they are
-        writer = writer.option(f"parquet.enable.dictionary#{name}", "false")
+    writer = log.withColumn("half", run % 2).write.partitionBy("half").option("parquet.enable.dictionary", "false")
     writer.parquet(halves, compression="zstd")
+    line = T.StructType([T.StructField("value", T.StringType())])
 
     def write(half: int) -> None:
-        rows = sources.read_parquet(spark, f"{halves}/half={half}", LOG_FILE)
-        rows.coalesce(1).write.json(f"{path}/log/{half}")
+        lines = sources.read_parquet(spark, f"{halves}/half={half}", line).coalesce(1)
+        # the lowest level, at a third more bytes: the time of the one task counts
+        lines.write.option("zlib.compress.level", "BEST_SPEED").text(f"{path}/log/{half}", compression="gzip")
 
     at_once(partial(write, 0), partial(write, 1))
     spark.range(1).select(F.lit("").alias("value")).coalesce(1).write.text(f"{path}/blank")

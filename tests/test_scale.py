@@ -275,6 +275,22 @@ def test_the_two_files_to_report_are_written_from_a_compressed_table(spark, tmp_
     assert {h.parent.name for h in halves} == {"half=0", "half=1"} and all(".zstd." in h.name for h in halves)
 
 
+def test_the_two_files_to_report_are_compressed(spark, tmp_path, monkeypatch, settings):
+    """As plain text they are most of what the query writes."""
+    settings({"spark.sql.session.timeZone": "UTC"})
+    monkeypatch.setattr(scans, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    (report,) = QUERIES["scan_files_report"](spark, SF).collect()
+    roles.activity(spark, SF).select(LOG_FILE.fieldNames()).write.json(f"{tmp_path}/plain")
+    plain = spark.read.text(f"{tmp_path}/plain")
+    files = list((tmp_path / "report" / "log").glob("*/part-*"))
+    assert len(files) == 2 and all(f.suffix == ".gz" for f in files)
+    written = spark.read.text([str(f) for f in files])
+    assert written.count() == plain.count() == report.total_rows
+    assert written.exceptAll(plain).isEmpty()
+    size = sum(f.stat().st_size for f in (tmp_path / "plain").glob("part-*"))
+    assert 5 * sum(f.stat().st_size for f in files) < size
+
+
 @pytest.mark.parametrize(("module", "query"), [(intake, "stage_quarantine"), (upkeep, "incremental_quarantine")])
 def test_broken_lines_are_written_compressed_in_as_many_files_as_they_need(spark, tmp_path, monkeypatch, module, query):
     monkeypatch.setattr(module, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
